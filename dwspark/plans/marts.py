@@ -24,11 +24,11 @@ DEFAULT_AS_OF = "2001-01-01"   # age bands are computed as of this date (C12)
 
 
 class Marts:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, order_filter=None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
-        self.src = SourceTables(spark, sf_dir)
+        self.src = SourceTables(spark, sf_dir, order_filter)
         self.corp = Corporate(self.src)
 
     # -- dimensions ------------------------------------------------------------

@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g"))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)

@@ -45,9 +45,13 @@ def _city(k: Column) -> Column:
 class SourceTables:
     """Source-system views over one ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, order_filter=None):
+        """``order_filter`` restricts which orders (sale/purchase headers)
+        are extracted -- the only difference between a full and an
+        incremental load (rule: one code path for both)."""
         self.spark = spark
         self.sf_dir = sf_dir
+        self.order_filter = order_filter
 
     def t(self, name: str, *cols: str) -> DataFrame:
         return sf_table(self.spark, self.sf_dir, name, list(cols) or None)
@@ -176,11 +180,12 @@ class SourceTables:
     def orders(self) -> DataFrame:
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                    "o_orderdate", "o_orderpriority")
-        return o.select(
+        o = o.select(
             "o_orderkey", "o_custkey", "o_orderstatus",
             source_of(F.col("o_custkey")).alias("source_system"),
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("o_totalprice"), F.col("o_orderpriority"))
+        return self.order_filter(o) if self.order_filter is not None else o
 
     @cached_property
     def lines(self) -> DataFrame:
