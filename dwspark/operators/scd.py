@@ -163,3 +163,25 @@ def asof_version_join(events: DataFrame, versions: DataFrame, keys: list[str], e
     hit_open = events.join(current, o_cond, "inner").select(*[events[c] for c in ecols],
                                                             *[current[c] for c in vcols])
     return hit_closed.unionByName(hit_open)
+
+
+def scd2_apply_log(state: DataFrame, log: DataFrame, keys: list[str], attrs: list[str], day: Column,
+                   order: list[str]) -> DataFrame:
+    """Fold a new slice of change log (possibly late / back-dated) into a
+    type-2 state. Only keys present in the slice are recomputed: their
+    version starts become day points, the slice's days are added (a slice
+    row wins over a version start of the same day, being newer), and the
+    history of those keys is derived again exactly as ``scd2_from_change_log``
+    would from the whole log. Untouched keys pass through unchanged."""
+    daily = last_per_key_day(log, keys, attrs, day, order).withColumn("__prio", F.lit(1))
+    touched = daily.select(*keys).distinct()
+    old = state.join(touched, keys, "left_semi")
+    keep = state.join(touched, keys, "left_anti")
+    points = old.select(*keys, "valid_from", *attrs).withColumn("__prio", F.lit(0))
+    both = daily.unionByName(points)
+    pick = F.max_by(F.struct(*attrs), F.col("__prio"))
+    merged = both.groupBy(*keys, "valid_from").agg(pick.alias("__a")).select(
+        *keys, "valid_from", *[F.col(f"__a.{a}").alias(a) for a in attrs])
+    # re-run the one-pass derivation on the per-day points of the touched keys
+    rebuilt = scd2_from_change_log(merged.withColumn("__o", F.lit(0)), keys, attrs, F.col("valid_from"), ["__o"])
+    return keep.select(*rebuilt.columns).unionByName(rebuilt)
