@@ -43,27 +43,36 @@ def scd2_current(state: DataFrame) -> DataFrame:
     return state.filter(F.col("is_current"))
 
 
+def daily_points(log: DataFrame, keys: list[str], attrs: list[str], day: Column,
+                 order: list[str]) -> DataFrame:
+    """The last change of each key on each day (C17), keeping the order
+    value that made it last so later slices can be folded in exactly.
+    ``max_by`` is a partial aggregate: a key with a huge log is combined
+    map-side."""
+    pick = F.max_by(F.struct(*attrs, F.struct(*order).alias("__order")), F.struct(*order))
+    return (log.withColumn("__day", day).groupBy(*keys, "__day").agg(pick.alias("__a"))
+               .select(*keys, F.col("__day").alias("valid_from"),
+                       *[F.col(f"__a.{a}").alias(a) for a in attrs], F.col("__a.__order").alias("__order")))
+
+
 def last_per_key_day(log: DataFrame, keys: list[str], attrs: list[str], day: Column,
                      order: list[str]) -> DataFrame:
-    """The last change of each key on each day wins (C17). ``max_by`` is a
-    partial aggregate, so a key with a huge log is combined map-side."""
-    pick = F.max_by(F.struct(*attrs), F.struct(*order))
-    return (log.withColumn("__day", day).groupBy(*keys, "__day").agg(pick.alias("__a"))
-               .select(*keys, F.col("__day").alias("valid_from"), *[F.col(f"__a.{a}").alias(a) for a in attrs]))
+    """One row per key and day: the day's last attribute values."""
+    return daily_points(log, keys, attrs, day, order).drop("__order")
 
 
-def scd2_from_change_log(log: DataFrame, keys: list[str], attrs: list[str], day: Column,
-                         order: list[str]) -> DataFrame:
-    """The whole type-2 history from a change log in one pass.
+def versions_from_daily(daily: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
+    """Type-2 versions from per-day points: a version starts on a key's
+    first day and wherever the values differ from the previous day's; it
+    ends the day before the next version starts.
 
-    After ``last_per_key_day`` a key has at most one row per day, so the
-    window below holds at most (days in the log's span) rows per key --
-    bounded by the calendar no matter how skewed the log is."""
-    daily = last_per_key_day(log, keys, attrs, day, order)
+    A key has at most one point per day, so the window holds at most (days
+    in the log's span) rows per key -- bounded by the calendar no matter
+    how skewed the log is."""
     w = Window.partitionBy(*keys).orderBy("valid_from")
     prev = [F.lag(F.col(a)).over(w).alias(f"__p_{a}") for a in attrs]
     first = F.row_number().over(w) == 1
-    marked = daily.select("*", first.alias("__first"), *prev)
+    marked = daily.select(*keys, "valid_from", *attrs, first.alias("__first"), *prev)
     changed = reduce(lambda a, b: a | b, [~F.col(a).eqNullSafe(F.col(f"__p_{a}")) for a in attrs])
     versions = marked.filter(F.col("__first") | changed).select(*keys, *attrs, "valid_from")
     nxt = F.lead("valid_from").over(w)
@@ -74,6 +83,12 @@ def scd2_from_change_log(log: DataFrame, keys: list[str], attrs: list[str], day:
                     .select(*keys, *attrs, *SCD2_COLS))
 
 
+def scd2_from_change_log(log: DataFrame, keys: list[str], attrs: list[str], day: Column,
+                         order: list[str]) -> DataFrame:
+    """The whole type-2 history from a change log in one pass."""
+    return versions_from_daily(daily_points(log, keys, attrs, day, order), keys, attrs)
+
+
 def scd2_merge(state: DataFrame, batch: DataFrame, keys: list[str], attrs: list[str],
                effective_date: str | Column) -> DataFrame:
     """Apply one batch (one row per key) effective on ``effective_date``.
@@ -102,12 +117,13 @@ def scd2_merge(state: DataFrame, batch: DataFrame, keys: list[str], attrs: list[
     kept = j.filter(in_s & ~changed).select(*state_cols)
     closed = (j.filter(changed & ~same_day).select(*state_cols)
                 .withColumn("valid_to", F.date_sub(eff, 1)).withColumn("is_current", F.lit(False)))
+    # a changed key keeps its entity key; a new key gets one from its business key
+    entity = F.coalesce(F.col("s.entity_key"), surrogate_key(*[F.col(f"b.{k}") for k in keys]))
     opened = (j.filter((in_b & ~in_s) | changed)
-                .select(*[F.col(f"b.{c}").alias(c) for c in keys + attrs])
+                .select(*[F.col(f"b.{c}").alias(c) for c in keys + attrs], entity.alias("entity_key"))
                 .withColumn("valid_from", eff)
                 .withColumn("valid_to", F.lit(None).cast("date"))
                 .withColumn("is_current", F.lit(True))
-                .withColumn("entity_key", surrogate_key(*keys))
                 .withColumn("version_key", surrogate_key(*keys, "valid_from")))
     cols = keys + attrs + SCD2_COLS
     return (history.select(*cols).unionByName(kept.select(*cols))
@@ -165,23 +181,23 @@ def asof_version_join(events: DataFrame, versions: DataFrame, keys: list[str], e
     return hit_closed.unionByName(hit_open)
 
 
-def scd2_apply_log(state: DataFrame, log: DataFrame, keys: list[str], attrs: list[str], day: Column,
-                   order: list[str]) -> DataFrame:
-    """Fold a new slice of change log (possibly late / back-dated) into a
-    type-2 state. Only keys present in the slice are recomputed: their
-    version starts become day points, the slice's days are added (a slice
-    row wins over a version start of the same day, being newer), and the
-    history of those keys is derived again exactly as ``scd2_from_change_log``
-    would from the whole log. Untouched keys pass through unchanged."""
-    daily = last_per_key_day(log, keys, attrs, day, order).withColumn("__prio", F.lit(1))
-    touched = daily.select(*keys).distinct()
-    old = state.join(touched, keys, "left_semi")
-    keep = state.join(touched, keys, "left_anti")
-    points = old.select(*keys, "valid_from", *attrs).withColumn("__prio", F.lit(0))
-    both = daily.unionByName(points)
-    pick = F.max_by(F.struct(*attrs), F.col("__prio"))
-    merged = both.groupBy(*keys, "valid_from").agg(pick.alias("__a")).select(
-        *keys, "valid_from", *[F.col(f"__a.{a}").alias(a) for a in attrs])
-    # re-run the one-pass derivation on the per-day points of the touched keys
-    rebuilt = scd2_from_change_log(merged.withColumn("__o", F.lit(0)), keys, attrs, F.col("valid_from"), ["__o"])
-    return keep.select(*rebuilt.columns).unionByName(rebuilt)
+def scd2_apply_log(versions: DataFrame, daily: DataFrame, log: DataFrame, keys: list[str],
+                   attrs: list[str], day: Column, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Fold a new slice of change log -- possibly late or back-dated -- into
+    a type-2 state kept as (versions, daily points). Only keys present in
+    the slice are touched: their daily points are merged with the slice's
+    (the later event of a day wins, by the log's order), and their
+    versions are derived again; every other key passes through. The result
+    equals ``scd2_from_change_log`` over the whole log.
+    Returns (new versions, new daily points)."""
+    fresh = daily_points(log, keys, attrs, day, order)
+    touched = fresh.select(*keys).distinct()
+    both = daily.join(touched, keys, "left_semi").unionByName(fresh)
+    pick = F.max_by(F.struct(*attrs, F.col("__order")), F.col("__order"))
+    merged = (both.groupBy(*keys, "valid_from").agg(pick.alias("__a"))
+                  .select(*keys, "valid_from", *[F.col(f"__a.{a}").alias(a) for a in attrs],
+                          F.col("__a.__order").alias("__order")))
+    new_daily = daily.join(touched, keys, "left_anti").unionByName(merged)
+    rebuilt = versions_from_daily(merged, keys, attrs)
+    new_versions = versions.join(touched, keys, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
+    return new_versions, new_daily

@@ -83,7 +83,8 @@ def stream_scd2_history(spark: SparkSession, source_dir: str, base: str | None =
                         files_per_batch: int | None = None) -> str:
     """M2: type-2 history of each user's status maintained per micro-batch
     with ``scd2_apply_log``; each batch writes a new snapshot
-    ``state/batch=<id>``; the highest complete batch is the current state."""
+    ``state/batch=<id>/{versions,daily}``; the highest complete batch is
+    the current state. Late (back-dated) events are folded in exactly."""
     base = base or scratch_path(spark, "status_history")
     keys, attrs, order = ["user_id"], ["status"], ["ts", "event_id"]
 
@@ -102,11 +103,15 @@ def stream_scd2_history(spark: SparkSession, source_dir: str, base: str | None =
         day = F.col("ts").cast("date")
         prev = latest(batch_id)
         if prev is None:
-            new = scd.scd2_from_change_log(log, keys, attrs, day, order)
+            daily = scd.daily_points(log, keys, attrs, day, order)
+            versions = scd.versions_from_daily(daily, keys, attrs)
         else:
-            new = scd.scd2_apply_log(spark.read.parquet(prev), log, keys, attrs, day, order)
+            versions, daily = scd.scd2_apply_log(spark.read.parquet(f"{prev}/versions"),
+                                                 spark.read.parquet(f"{prev}/daily"),
+                                                 log, keys, attrs, day, order)
         tmp = f"{base}/state/_tmp-{batch_id}"
-        new.write.mode("overwrite").parquet(tmp)
+        versions.write.mode("overwrite").parquet(f"{tmp}/versions")
+        daily.write.mode("overwrite").parquet(f"{tmp}/daily")
         _rename(spark, tmp, out)
 
     q = (read_event_stream(spark, source_dir, files_per_batch=files_per_batch).writeStream
@@ -123,7 +128,7 @@ def current_snapshot(spark: SparkSession, base: str) -> DataFrame:
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     ids = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(root)
            if st.getPath().getName().startswith("batch=")]
-    return spark.read.parquet(f"{base}/state/batch={max(ids)}")
+    return spark.read.parquet(f"{base}/state/batch={max(ids)}/versions")
 
 
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
