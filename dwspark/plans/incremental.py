@@ -26,13 +26,15 @@ from .marts import Marts
 
 def watermark_by_source(headers: DataFrame, sources: list[str], id_col: str) -> DataFrame:
     """``coalesce(max(cast(id as bigint)), 0)`` per source; a source with
-    nothing loaded yet gets 0. Ids that are not numbers are ignored
+    nothing loaded yet gets 0 (its placeholder row joins the aggregate by
+    union, not by a join). Ids that are not numbers are ignored
     (``try_cast``, N13) instead of failing the batch."""
     spark = headers.sparkSession
-    got = headers.groupBy("source_system").agg(F.max(F.col(id_col).try_cast("bigint")).alias("wm"))
-    every = spark.createDataFrame([(s,) for s in sources], "source_system string")
-    return (every.join(got, "source_system", "left")
-                 .select("source_system", F.coalesce(F.col("wm"), F.lit(0).cast("bigint")).alias("watermark")))
+    ids = headers.select("source_system", F.col(id_col).cast("string").alias("__id"))
+    every = spark.createDataFrame([(s, None) for s in sources], "source_system string, __id string")
+    return (ids.filter(F.col("source_system").isin(sources)).unionByName(every)
+               .groupBy("source_system")
+               .agg(F.coalesce(F.max(F.col("__id").try_cast("bigint")), F.lit(0).cast("bigint")).alias("watermark")))
 
 
 def after_watermark(wm: DataFrame):
