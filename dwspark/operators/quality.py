@@ -39,6 +39,25 @@ def dq_foreign_key(fact: DataFrame, fact_table: str, fk: str, dim: DataFrame, di
     return orphans.agg(*_report(fact_table, f"fk({fk})", F.sum("n")))
 
 
+def dq_foreign_keys(fact: DataFrame, fact_table: str, fks: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """DQ2 for all foreign keys of one fact in one pass over the fact: the
+    (fk name, key) pairs are counted once, then anti-joined with the union
+    of the dimensions' keys tagged with the same fk name."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("bigint").alias("k"))
+                                for fk, _, _ in fks])).alias("p")
+    counted = (fact.select(pairs).select("p.fk", "p.k").groupBy("fk", "k")
+                   .agg(F.count(F.lit(1)).alias("n")))
+    dims = reduce(lambda a, b: a.unionByName(b),
+                  [d.select(F.lit(fk).alias("fk"), F.col(dk).cast("bigint").alias("k")).distinct()
+                   for fk, d, dk in fks])
+    orphans = counted.join(dims, ["fk", "k"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n"))
+    every = fact.sparkSession.createDataFrame([(fk,) for fk, _, _ in fks], "fk string")
+    return (every.join(orphans, "fk", "left")
+                 .select(F.lit(fact_table).alias("table_name"),
+                         F.concat(F.lit("fk("), F.col("fk"), F.lit(")")).alias("check_name"),
+                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("violations")))
+
+
 def dq_not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """DQ3: NULL count of every NOT NULL column, in one pass."""
     counts = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(c) for c in columns])

@@ -24,12 +24,16 @@ DEFAULT_AS_OF = "2001-01-01"   # age bands are computed as of this date (C12)
 
 
 class Marts:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, order_filter=None):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, order_filter=None,
+                 corp=None):
+        """``corp`` replaces the computed corporate layer with stored tables
+        (``warehouse.StoredCorporate``): marts are built from the corporate
+        layer only (F7)."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.src = SourceTables(spark, sf_dir, order_filter)
-        self.corp = Corporate(self.src)
+        self.corp = corp if corp is not None else Corporate(self.src)
 
     # -- dimensions ------------------------------------------------------------
     @cached_property
@@ -92,13 +96,27 @@ class Marts:
                         "source_system", "supplier_id", F.col("name").alias("supplier_name"), "phone")
 
     # -- bounded-dimension lookups (broadcast, default -1) -------------------
-    def _lookup_bounded(self, df: DataFrame, dim: DataFrame, key: str, id_col: str, out: str) -> DataFrame:
-        """Left join to a dimension bounded by design (<= 10 rows after
-        the dedupe below), hence a broadcast; misses and NULL ids -> -1."""
-        d = (dim.filter(F.col(key) != R.UNKNOWN_KEY)
-                .select(F.col("source_system").alias("__src"), F.col(id_col).alias("__id"),
-                        F.col(key).alias("__key"))
-                .dropDuplicates(["__src", "__id"]))
+    @cached_property
+    def employee_keys(self) -> DataFrame:
+        """(source, employee id) -> key, straight from the corporate rows:
+        the lookup needs no flattened geography."""
+        e = self.corp.employees
+        return e.select("source_system", "employee_id",
+                        surrogate_key(F.col("source_system"), F.col("employee_id")).alias("employee_key"))
+
+    @cached_property
+    def carrier_keys(self) -> DataFrame:
+        c = self.corp.carriers
+        return c.select("source_system", "carrier_id",
+                        surrogate_key(F.col("source_system"), F.col("carrier_id")).alias("carrier_key"))
+
+    def _lookup_bounded(self, df: DataFrame, keys: DataFrame, key: str, id_col: str, out: str) -> DataFrame:
+        """Left join to a dimension bounded by design (9 employees, one
+        carrier per priority code), hence a broadcast; misses and NULL ids
+        fall back to the -1 member (J8)."""
+        d = (keys.select(F.col("source_system").alias("__src"), F.col(id_col).alias("__id"),
+                         F.col(key).alias("__key"))
+                 .dropDuplicates(["__src", "__id"]))
         d = F.broadcast(d)
         j = df.join(d, (df["source_system"] == d["__src"]) & (df[id_col] == d["__id"]), "left")
         return (j.withColumn(out, F.coalesce(F.col("__key"), F.lit(R.UNKNOWN_KEY).cast("bigint")))
@@ -112,8 +130,8 @@ class Marts:
     def fact_sales(self) -> DataFrame:
         """One row per sold item of both sources (F1)."""
         li = self.corp.sales_lines
-        li = self._lookup_bounded(li, self.dim_employee, "employee_key", "employee_id", "employee_key")
-        li = self._lookup_bounded(li, self.dim_carrier, "carrier_key", "carrier_id", "carrier_key")
+        li = self._lookup_bounded(li, self.employee_keys, "employee_key", "employee_id", "employee_key")
+        li = self._lookup_bounded(li, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
         return li.select(
             "source_system", "sale_id", "item_id",
             time_key(F.col("order_date")).alias("time_key"),
@@ -152,8 +170,8 @@ class Marts:
     def fact_deliveries(self) -> DataFrame:
         """One row per wholesale order with items."""
         h = self.corp.sale_headers.filter(F.col("source_system") == SRC_WHOLESALE)
-        h = self._lookup_bounded(h, self.dim_employee, "employee_key", "employee_id", "employee_key")
-        h = self._lookup_bounded(h, self.dim_carrier, "carrier_key", "carrier_id", "carrier_key")
+        h = self._lookup_bounded(h, self.employee_keys, "employee_key", "employee_id", "employee_key")
+        h = self._lookup_bounded(h, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
         j = h.join(self.order_values, "o_orderkey", "left")
         return j.select(
             "source_system", "sale_id",

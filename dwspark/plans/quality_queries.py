@@ -82,7 +82,10 @@ def dq_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marts(spark, sf_dir)
-    return _u([Q.dq_foreign_key(getattr(m, f), f, fk, getattr(m, d), dk) for f, fk, d, dk in FOREIGN_KEYS])
+    facts: dict[str, list] = {}
+    for f, fk, d, dk in FOREIGN_KEYS:
+        facts.setdefault(f, []).append((fk, getattr(m, d), dk))
+    return _u([Q.dq_foreign_keys(getattr(m, f), f, fks) for f, fks in facts.items()])
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
