@@ -56,6 +56,8 @@ def dashboard_sql(where: str = "") -> dict[str, str]:
         "sales_category_by_quarter": f"""SELECT dp.category, {_quarters('fs.item_total')},
             CAST(sum(fs.item_total) AS {M}) AS total {FS} JOIN dim_product dp ON dp.product_key = fs.product_key
             WHERE dp.category IS NOT NULL {w} GROUP BY dp.category ORDER BY total DESC""",
+        "sales_by_currency": f"""SELECT dp.currency, CAST(sum(fs.item_total) AS {M}) AS total_value {FS}
+            JOIN dim_product dp ON dp.product_key = fs.product_key WHERE 1=1 {w} GROUP BY dp.currency""",
         "sales_cube_category_quarter": f"""SELECT dp.category, dt.quarter, CAST(sum(fs.item_total) AS {M}) AS total_value,
             CAST(GROUPING(dp.category, dt.quarter) AS BIGINT) AS grouping_level {FS}
             JOIN dim_product dp ON dp.product_key = fs.product_key WHERE dp.category IS NOT NULL {w}

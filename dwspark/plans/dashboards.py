@@ -119,6 +119,14 @@ def sales_category_by_quarter(m: Marts, f: MartFilters = NO_FILTERS) -> DataFram
             .orderBy(F.col("total").desc())
 
 
+def sales_by_currency(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
+    """C11: the cards add BRL and USD on purpose; this is the same total
+    split by the product's currency."""
+    per_key = _sales(m, f, P_SOURCE).groupBy("product_key").agg(F.sum("item_total").alias("v"))
+    return (per_key.join(m.dim_product.select("product_key", "currency"), "product_key")
+            .groupBy("currency").agg(F.sum("v").cast(MONEY_SUM).alias("total_value")))
+
+
 def sales_cube_category_quarter(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
     """A3: the crosstab's question as a real cube -- every (category,
     quarter) cell plus category totals, quarter totals and the grand total."""

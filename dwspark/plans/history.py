@@ -48,6 +48,14 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.asof_version_join(purchase_events(spark, sf_dir), versions(spark, sf_dir), KEYS, "event_date")
 
 
+def attach_current_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11 (the default rule, C7): a fact gets the version that is current
+    when it is loaded, whatever its own date -- an equi-join on the key with
+    the current versions (exactly one per key)."""
+    cur = scd.scd2_current(versions(spark, sf_dir)).select("user_id", "status", "version_key")
+    return purchase_events(spark, sf_dir).join(cur, "user_id", "inner")
+
+
 def asof_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("events"))
 
@@ -99,6 +107,9 @@ def oracle_sql() -> dict[str, str]:
         "scd2_from_change_log": f"WITH {_versions_sql()} SELECT * FROM versions",
         "scd2_current": f"WITH {_versions_sql()} SELECT * FROM versions WHERE is_current",
         "asof_version_join": f"{ASOF_SQL} SELECT * FROM j",
+        "attach_current_version": f"""{ASOF_SQL} SELECT pe.user_id, pe.event_id, pe.event_date, pe.value, v.status,
+                                             v.version_key FROM pe JOIN versions v ON v.user_id = pe.user_id
+                                             WHERE v.is_current""",
         "asof_status_counts": f"{ASOF_SQL} SELECT status, count(*) AS events FROM j GROUP BY status",
         # merging day D into the history of the days before D must equal the
         # change-log history of all days up to D
@@ -122,6 +133,7 @@ def queries() -> dict:
         "scd2_from_change_log": versions,
         "scd2_current": current_versions,
         "asof_version_join": asof_join,
+        "attach_current_version": attach_current_version,
         "asof_status_counts": asof_status_counts,
         "scd2_merge": merge_one_day,
         "scd1_upsert": scd1_one_day,

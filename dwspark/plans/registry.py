@@ -27,7 +27,7 @@ _PERIOD_ONLY = {"sales_by_source", "sales_ticket_by_income_band",
                 "deliveries_delay_by_carrier", "deliveries_freight_by_carrier",
                 "deliveries_carrier_summary", "deliveries_carrier_by_quarter"}
 
-DASHBOARD_FNS = {fn.__name__: fn for fn in D.ALL + [D.sales_cube_category_quarter]}
+DASHBOARD_FNS = {fn.__name__: fn for fn in D.ALL + [D.sales_cube_category_quarter, D.sales_by_currency]}
 
 
 def _where(name: str) -> str:
