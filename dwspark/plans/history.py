@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key_sql as K
 from ..operators import scd
-from ..sources.readers import sf_table
+from ..sources.readers import sf_table, spread
 
 KEYS, ATTRS, ORDER = ["user_id"], ["status"], ["ts", "event_id"]
 # Parameter: the day merged into the history built from the days before it.
@@ -22,7 +22,7 @@ MERGE_DAY = "2024-01-20"
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    ev = spread(sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"]))
     return ev.select("user_id", "ts", "event_id", F.col("event_type").alias("status"))
 
 
@@ -39,7 +39,7 @@ def current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    ev = spread(sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"]))
     return (ev.filter(F.col("event_type") == "purchase")
               .select("event_id", "user_id", F.col("ts").cast("date").alias("event_date"), "value"))
 

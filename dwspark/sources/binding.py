@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import MONEY, RATE
-from .readers import sf_table
+from .readers import sf_table, spread
 
 # FIXED VALUES: source-system tags of the two simulated sources.
 SRC_WHOLESALE = "WHOLESALE"
@@ -178,8 +178,8 @@ class SourceTables:
     # -- transactions -----------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
-        o = self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                   "o_orderdate", "o_orderpriority")
+        o = spread(self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate", "o_orderpriority"))
         o = o.select(
             "o_orderkey", "o_custkey", "o_orderstatus",
             source_of(F.col("o_custkey")).alias("source_system"),
@@ -189,8 +189,8 @@ class SourceTables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        li = self.t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+        li = spread(self.t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                           "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"))
         return li.select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
             F.col("l_quantity").cast("int").alias("quantity"),
