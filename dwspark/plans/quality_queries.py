@@ -69,8 +69,8 @@ def _u(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def dq_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Marts(spark, sf_dir)
+def dq_unique_keys(spark: SparkSession, sf_dir: str, m=None) -> DataFrame:
+    m = m or Marts(spark, sf_dir)
     parts = []
     for t, (bk, sk) in UNIQUE.items():
         df = getattr(m, t)
@@ -80,8 +80,10 @@ def dq_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _u(parts)
 
 
-def dq_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Marts(spark, sf_dir)
+def dq_foreign_keys(spark: SparkSession, sf_dir: str, m=None) -> DataFrame:
+    """``m``: any marts object (computed ``Marts`` by default, or the stored
+    warehouse's ``StoredMarts``)."""
+    m = m or Marts(spark, sf_dir)
     facts: dict[str, list] = {}
     for f, fk, d, dk in FOREIGN_KEYS:
         facts.setdefault(f, []).append((fk, getattr(m, d), dk))

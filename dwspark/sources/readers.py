@@ -46,11 +46,12 @@ def spread(df: DataFrame) -> DataFrame:
     A parquet file is split by row group; a source written as one row group
     is read by one task, and when the next join is a broadcast nothing
     downstream re-spreads the rows. Then (and only then) the scan is
-    re-partitioned round-robin -- deterministic under task retry since
-    Spark sorts before a round-robin repartition. Inputs that already have
-    enough splits, as any large table does, are left alone."""
+    hash-partitioned on all its columns: deterministic under task retry
+    without the sort a round-robin repartition needs, and no single key can
+    pile up in one partition. Inputs that already have enough splits, as any
+    large table does, are left alone."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want, *df.columns) if df.rdd.getNumPartitions() < want else df
 
 
 def sf_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
