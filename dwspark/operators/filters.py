@@ -29,12 +29,19 @@ class MartFilters:
 
     def period(self, df: DataFrame, date_col: str, allowed=PERIOD) -> DataFrame:
         """Date bounds go straight onto the fact's date column so they are
-        pushed to the scan (and to partition pruning on a year-partitioned
-        fact) before any join."""
+        pushed to the scan before any join; on a year-partitioned fact the
+        implied year bounds prune whole partitions."""
+        partitioned = "year" in df.columns    # stored facts are partitioned by year
         if "date_from" in allowed and self.date_from is not None:
-            df = df.filter(F.col(date_col) >= F.to_date(F.lit(str(self.date_from))))
+            lo = F.to_date(F.lit(str(self.date_from)))
+            df = df.filter(F.col(date_col) >= lo)
+            if partitioned:   # implied bound on the partition column: whole years are pruned
+                df = df.filter(F.col("year") >= F.year(lo))
         if "date_to" in allowed and self.date_to is not None:
-            df = df.filter(F.col(date_col) <= F.to_date(F.lit(str(self.date_to))))
+            hi = F.to_date(F.lit(str(self.date_to)))
+            df = df.filter(F.col(date_col) <= hi)
+            if partitioned:
+                df = df.filter(F.col("year") <= F.year(hi))
         return df
 
     def equals(self, df: DataFrame, name: str, col: str) -> DataFrame:

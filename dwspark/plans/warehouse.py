@@ -114,6 +114,5 @@ class StoredMarts:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DIMENSIONS or name in FACTS:
-            df = self._t(name)
-            return df.drop("year") if name in FACTS else df
+            return self._t(name)      # facts keep their ``year`` partition column
         raise AttributeError(name)
