@@ -12,7 +12,8 @@ from . import history
 
 def stream_events_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = MB.stream_events_to_fact(spark, sf_dir)
-    return spark.read.parquet(sink).drop("batch")
+    cols = ["event_id", "user_id", "event_date", "time_key", "event_type", "value"]
+    return spark.read.parquet(sink).select(*cols)
 
 
 def stream_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:

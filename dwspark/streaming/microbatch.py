@@ -54,9 +54,14 @@ def stream_events_to_fact(spark: SparkSession, source_dir: str, sink: str | None
                           files_per_batch: int | None = None) -> str:
     """M1 + M3: append every new event to the event fact exactly once.
 
-    Each batch writes only rows whose ``event_id`` is not in the sink yet
-    (left anti join on the key), into a directory named by its batchId;
-    a replayed batch finds its directory and skips."""
+    Each batch writes only rows whose event is not in the sink yet (left
+    anti join), into a directory named by its batchId; a replayed batch
+    finds its directory and skips. The sink is partitioned by event date
+    and an event's date never changes, so the anti join runs on
+    (event_date, event_id) against only the sink partitions of the dates
+    present in the batch (a semi join with the batch's dates, which
+    dynamic partition pruning turns into a partition filter), not against
+    the whole history."""
     sink = sink or scratch_path(spark, "fact_events")
     checkpoint = sink + "_checkpoint"
 
@@ -64,12 +69,18 @@ def stream_events_to_fact(spark: SparkSession, source_dir: str, sink: str | None
         out = f"{sink}/batch={batch_id}"
         if _exists(spark, out):
             return
-        rows = event_fact_rows(batch)
+        rows = event_fact_rows(batch).persist()
         if _exists(spark, sink):
-            target = spark.read.parquet(sink).select("event_id")
-            rows = new_rows(target, rows, ["event_id"])
+            # the batch's dates (a handful) prune the sink's date partitions
+            dates = F.broadcast(rows.select("event_date").distinct())
+            target = (spark.read.parquet(sink).select("event_date", "event_id")
+                      .join(dates, "event_date", "left_semi"))
+            fresh = new_rows(target, rows, ["event_date", "event_id"])
+        else:
+            fresh = rows
         tmp = f"{sink}/_tmp-{batch_id}"   # '_' prefix: invisible to readers
-        rows.write.mode("overwrite").parquet(tmp)
+        fresh.write.mode("overwrite").partitionBy("event_date").parquet(tmp)
+        rows.unpersist()
         _rename(spark, tmp, out)
 
     q = (read_event_stream(spark, source_dir, files_per_batch=files_per_batch).writeStream
