@@ -112,12 +112,18 @@ def _ctes() -> list[tuple[str, str]]:
                    CASE WHEN source_system = '{WS}' THEN order_date + 28 END AS due_date,
                    CASE WHEN source_system = '{WS}' THEN CAST(round(CAST(o_totalprice AS DECIMAL(15,2)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(15,2)) END AS freight
             FROM orders_b"""),
+        ("headers_addr", f"""
+            SELECT h.*, CASE WHEN h.source_system = '{WS}' THEN h.customer_id
+                             ELSE CAST(pa.address_id AS VARCHAR) END AS address_id
+            FROM headers h LEFT JOIN (SELECT person_id, max(address_id) AS address_id FROM rt_addresses
+                                      GROUP BY person_id) pa
+                 ON h.source_system = '{RT}' AND h.customer_id = CAST(pa.person_id AS VARCHAR)"""),
         ("sales_lines0", f"""
             SELECT li.*, h.*,
                    CASE WHEN h.source_system = '{WS}'
                         THEN CAST(round(li.quantity * li.unit_price * li.discount_rate, 2) AS DECIMAL(15,2))
                         ELSE CAST(0 AS DECIMAL(15,2)) END AS discount_amount
-            FROM lines_b li JOIN headers h ON li.l_orderkey = h.o_orderkey"""),
+            FROM lines_b li JOIN headers_addr h ON li.l_orderkey = h.o_orderkey"""),
         ("sales_lines", """
             SELECT *, CAST(round(quantity * unit_price - discount_amount, 2) AS DECIMAL(15,2)) AS item_total
             FROM sales_lines0"""),
@@ -239,7 +245,7 @@ def _ctes() -> list[tuple[str, str]]:
                    {_tk('sl.order_date')} AS time_key, sl.order_date AS sale_date,
                    {K('sl.source_system', 'sl.customer_id')} AS customer_key,
                    {K('sl.source_system', 'CAST(sl.l_partkey AS VARCHAR)')} AS product_key,
-                   {K('sl.source_system', 'sl.customer_id')} AS address_key,
+                   {K('sl.source_system', 'sl.address_id')} AS address_key,
                    coalesce(e.employee_key, -1) AS employee_key, coalesce(c.carrier_key, -1) AS carrier_key,
                    {_decode('sl.sale_type_code', R.SALE_TYPE_LABELS)} AS sale_type,
                    sl.quantity, sl.unit_price, sl.discount_amount, sl.item_total

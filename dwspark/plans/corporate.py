@@ -190,11 +190,24 @@ class Corporate:
                                        "category", "price", F.lit(R.CURRENCY_WHOLESALE).alias("currency"))))
 
     # -- transactions ----------------------------------------------------------
+    @cached_property
+    def headers_with_address(self) -> DataFrame:
+        """Sale headers with their delivery address (C4): a retail sale is
+        delivered to its customer's address -- the person's one address
+        (P4, one row per person, so the join cannot fan out); a wholesale
+        customer's address id is the customer id itself."""
+        h = self.src.header_attributes(self.src.orders)
+        pa = self.person_address.select(F.col("person_id").cast("string").alias("__pid"),
+                                        F.col("address_id").cast("string").alias("__aid"))
+        j = h.join(pa, (h["source_system"] == SRC_RETAIL) & (h["customer_id"] == pa["__pid"]), "left")
+        addr = F.when(F.col("source_system") == SRC_WHOLESALE, F.col("customer_id")).otherwise(F.col("__aid"))
+        return j.withColumn("address_id", addr).drop("__pid", "__aid")
+
     @cached_property
     def sales_lines(self) -> DataFrame:
         """Header x item, inner -- headers without items never load.
         Discount is a money amount per item, rounded per item (C1, C6)."""
-        h = self.src.header_attributes(self.src.orders)
+        h = self.headers_with_address
         li = self.src.lines
         ws = F.col("source_system") == SRC_WHOLESALE
         j = li.join(h, li.l_orderkey == h.o_orderkey, "inner")

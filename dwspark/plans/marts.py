@@ -138,7 +138,7 @@ class Marts:
             F.col("order_date").alias("sale_date"),
             surrogate_key(F.col("source_system"), F.col("customer_id")).alias("customer_key"),
             surrogate_key(F.col("source_system"), F.col("product_id")).alias("product_key"),
-            surrogate_key(F.col("source_system"), F.col("customer_id")).alias("address_key"),
+            surrogate_key(F.col("source_system"), F.col("address_id")).alias("address_key"),
             "employee_key", "carrier_key",
             R.sale_type(F.col("sale_type_code")).alias("sale_type"),
             "quantity", "unit_price", "discount_amount", "item_total")

@@ -23,7 +23,7 @@ from .marts import Marts
 
 # corporate tables written by the full load (what the marts read)
 CORPORATE = ["address_inputs", "countries", "states", "cities", "addresses", "customers", "employees",
-             "carriers", "suppliers", "products", "sales_lines", "sale_headers", "purchase_lines",
+             "carriers", "suppliers", "products", "person_address", "sales_lines", "sale_headers", "purchase_lines",
              "purchase_headers"]
 DIMENSIONS = ["dim_customer", "dim_product", "dim_address", "dim_employee", "dim_carrier", "dim_supplier"]
 FACTS = {"fact_sales": "sale_date", "fact_purchases": "purchase_date", "fact_deliveries": "order_date"}
@@ -32,7 +32,8 @@ FACTS = {"fact_sales": "sale_date", "fact_purchases": "purchase_date", "fact_del
 # dependency waves of the corporate layer: a table only reads tables of
 # earlier waves (stored copies)
 CORPORATE_WAVES = [
-    ["purchase_lines", "sales_lines"],
+    ["purchase_lines", "person_address"],
+    ["sales_lines"],
     ["address_inputs", "purchase_headers", "sale_headers", "customers", "employees", "carriers", "products",
      "suppliers"],
     ["countries", "states", "cities", "addresses"],
