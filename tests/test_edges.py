@@ -117,3 +117,18 @@ def test_append_new_is_replay_safe(spark):
     once = append_new(target, batch, ["s", "id"])
     twice = append_new(once, batch, ["s", "id"])
     assert once.count() == twice.count() == 3
+
+
+def test_attach_time_key_null_date_gives_null_key(spark):
+    from dwspark.operators.lookup import attach_time_key
+    df = spark.createDataFrame([(dt.date(1996, 7, 4),), (None,)], "d date")
+    assert [r.k for r in attach_time_key(df, "d", "k").collect()] == [19960704, None]
+
+
+def test_snapshot_write_and_staging_read_back(spark):
+    from dwspark.operators.sinks import full_refresh, stage
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    p1, p2 = full_refresh(df, "t"), full_refresh(df, "t")
+    assert p1 != p2                                   # every refresh is a new snapshot
+    assert sorted(tuple(r) for r in spark.read.parquet(p1).collect()) == [(1, "a"), (2, "b")]
+    assert stage(df, "delta").count() == 2
