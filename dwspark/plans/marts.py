@@ -123,9 +123,6 @@ class Marts:
                  .drop("__src", "__id", "__key"))
 
     # -- facts -------------------------------------------------------------------
-    def sales_lines(self) -> DataFrame:
-        return self.corp.sales_lines
-
     @cached_property
     def fact_sales(self) -> DataFrame:
         """One row per sold item of both sources (F1)."""

@@ -90,40 +90,93 @@ def stream_events_to_fact(spark: SparkSession, source_dir: str, sink: str | None
     return sink
 
 
+STATE_BUCKETS = 16
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _committed(spark: SparkSession, base: str) -> set[int]:
+    fs, root = _fs(spark, f"{base}/_commits")
+    if not fs.exists(root):
+        return set()
+    return {int(st.getPath().getName()) for st in fs.listStatus(root)}
+
+
+def _latest_per_bucket(spark: SparkSession, base: str, before: int | None = None) -> dict[int, str]:
+    """bucket -> path of its newest committed snapshot (older than ``before``)."""
+    done = _committed(spark, base)
+    fs, root = _fs(spark, f"{base}/state")
+    out: dict[int, tuple[int, str]] = {}
+    if not fs.exists(root):
+        return {}
+    for b in fs.listStatus(root):
+        name = b.getPath().getName()
+        if not name.startswith("bucket="):
+            continue
+        bucket = int(name.split("=")[1])
+        for v in fs.listStatus(b.getPath()):
+            bid = int(v.getPath().getName().split("=")[1])
+            if bid in done and (before is None or bid < before) and bid >= out.get(bucket, (-1, ""))[0]:
+                out[bucket] = (bid, f"{base}/state/{name}/batch={bid}")
+    return {k: p for k, (_, p) in out.items()}
+
+
 def stream_scd2_history(spark: SparkSession, source_dir: str, base: str | None = None,
-                        files_per_batch: int | None = None) -> str:
-    """M2: type-2 history of each user's status maintained per micro-batch
-    with ``scd2_apply_log``; each batch writes a new snapshot
-    ``state/batch=<id>/{versions,daily}``; the highest complete batch is
-    the current state. Late (back-dated) events are folded in exactly."""
+                        files_per_batch: int | None = None, buckets: int = STATE_BUCKETS) -> str:
+    """M2: type-2 history of each user's status maintained per micro-batch.
+
+    The state (versions + per-day points) is split into ``buckets`` by a
+    hash of the key, stored as ``state/bucket=<b>/batch=<id>``. A batch
+    reads and rewrites only the buckets its keys fall in (``scd2_apply_log``
+    on those buckets), so its cost follows the batch, not the whole state.
+    After all its buckets are in place the batch writes ``_commits/<id>``;
+    readers and later batches only see committed snapshots, so a failed
+    attempt is invisible and a replayed batch is a no-op. Late (back-dated)
+    events are folded in exactly."""
     base = base or scratch_path(spark, "status_history")
     keys, attrs, order = ["user_id"], ["status"], ["ts", "event_id"]
-
-    def latest(batch_id: int) -> str | None:
-        for b in range(batch_id - 1, -1, -1):
-            p = f"{base}/state/batch={b}"
-            if _exists(spark, p):
-                return p
-        return None
+    bucket_of = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        out = f"{base}/state/batch={batch_id}"
-        if _exists(spark, out):
+        if batch_id in _committed(spark, base):
             return
-        log = batch.select("user_id", "ts", "event_id", F.col("event_type").alias("status"))
+        log = batch.select("user_id", "ts", "event_id", F.col("event_type").alias("status")) \
+                   .withColumn("__bucket", bucket_of).persist()
+        # touched bucket ids: at most ``buckets`` values, bounded by construction
+        touched = sorted(r[0] for r in log.select("__bucket").distinct().collect())
+        prev = _latest_per_bucket(spark, base, before=batch_id)
+        old = [prev[b] for b in touched if b in prev]
         day = F.col("ts").cast("date")
-        prev = latest(batch_id)
-        if prev is None:
+        log = log.drop("__bucket")
+        if old:
+            versions, daily = scd.scd2_apply_log(spark.read.parquet(*[f"{p}/versions" for p in old]),
+                                                 spark.read.parquet(*[f"{p}/daily" for p in old]),
+                                                 log, keys, attrs, day, order)
+        else:
             daily = scd.daily_points(log, keys, attrs, day, order)
             versions = scd.versions_from_daily(daily, keys, attrs)
-        else:
-            versions, daily = scd.scd2_apply_log(spark.read.parquet(f"{prev}/versions"),
-                                                 spark.read.parquet(f"{prev}/daily"),
-                                                 log, keys, attrs, day, order)
-        tmp = f"{base}/state/_tmp-{batch_id}"
-        versions.write.mode("overwrite").parquet(f"{tmp}/versions")
-        daily.write.mode("overwrite").parquet(f"{tmp}/daily")
-        _rename(spark, tmp, out)
+        tmp = f"{base}/_tmp-{batch_id}"
+        versions.withColumn("bucket", bucket_of).write.mode("overwrite").partitionBy("bucket") \
+                .parquet(f"{tmp}/versions")
+        daily.withColumn("bucket", bucket_of).write.mode("overwrite").partitionBy("bucket") \
+             .parquet(f"{tmp}/daily")
+        fs, _ = _fs(spark, base)
+        jvm = spark.sparkContext._jvm
+        for b in touched:
+            dst = f"{base}/state/bucket={b}/batch={batch_id}"
+            d = jvm.org.apache.hadoop.fs.Path(dst)
+            if fs.exists(d):            # left over by a failed attempt (never committed)
+                fs.delete(d, True)
+            fs.mkdirs(d)
+            for part in ("versions", "daily"):
+                src = jvm.org.apache.hadoop.fs.Path(f"{tmp}/{part}/bucket={b}")
+                fs.rename(src, jvm.org.apache.hadoop.fs.Path(f"{dst}/{part}"))
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{base}/_commits/{batch_id}"))
+        log.unpersist()
 
     q = (read_event_stream(spark, source_dir, files_per_batch=files_per_batch).writeStream
          .foreachBatch(apply).option("checkpointLocation", base + "/_checkpoint")
@@ -133,13 +186,9 @@ def stream_scd2_history(spark: SparkSession, source_dir: str, base: str | None =
 
 
 def current_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """Read the newest state snapshot written by ``stream_scd2_history``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{base}/state")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    ids = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(root)
-           if st.getPath().getName().startswith("batch=")]
-    return spark.read.parquet(f"{base}/state/batch={max(ids)}/versions")
+    """The current type-2 state: every bucket's newest committed versions."""
+    paths = _latest_per_bucket(spark, base)
+    return spark.read.parquet(*[f"{p}/versions" for p in paths.values()])
 
 
 def _rename(spark: SparkSession, src: str, dst: str) -> None:

@@ -42,6 +42,11 @@ def test_stream_scd2_over_batches_equals_change_log(spark, sf_small):
     MB.stream_scd2_history(spark, src, base=base, files_per_batch=1)
     got = MB.current_snapshot(spark, base)
     whole = history.versions(spark, sf_small)
+    snaps = [(b, v) for b in os.listdir(os.path.join(base, "state")) if b.startswith("bucket=")
+             for v in os.listdir(os.path.join(base, "state", b))]
+    assert {v for _, v in snaps} == {f"batch={i}" for i in range(4)}        # every batch committed
+    assert sorted(os.listdir(os.path.join(base, "_commits"))) == ["0", "1", "2", "3"]
+    assert all(sum(1 for _, v in snaps if v == f"batch={i}") <= MB.STATE_BUCKETS for i in range(4))
     cols = ["user_id", "status", "valid_from", "valid_to", "is_current", "version_key"]
     assert sorted(tuple(r) for r in got.select(cols).collect()) == \
         sorted(tuple(r) for r in whole.select(cols).collect())
