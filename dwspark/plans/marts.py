@@ -123,6 +123,19 @@ class Marts:
                  .drop("__src", "__id", "__key"))
 
     # -- facts -------------------------------------------------------------------
+    @cached_property
+    def fact_sales_core(self) -> DataFrame:
+        """``fact_sales`` without the employee/carrier lookups: the sales
+        cards never read those keys, and a left join cannot be pruned away."""
+        li = self.corp.sales_lines
+        return li.select(
+            "source_system", "sale_id", "item_id",
+            time_key(F.col("order_date")).alias("time_key"),
+            F.col("order_date").alias("sale_date"),
+            surrogate_key(F.col("source_system"), F.col("customer_id")).alias("customer_key"),
+            surrogate_key(F.col("source_system"), F.col("product_id")).alias("product_key"),
+            "quantity", "unit_price", "discount_amount", "item_total")
+
     @cached_property
     def fact_sales(self) -> DataFrame:
         """One row per sold item of both sources (F1)."""
