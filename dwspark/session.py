@@ -3,7 +3,6 @@ folder used for checkpoints and snapshot tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,8 +26,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.ui.showConsoleProgress", "false"))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -40,26 +38,21 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the
-    session. Only when neither is set -- local tests -- a folder of our own
-    is created and registered, so later callers see the same one.
+    session. Where neither is set, a plain ``local[...]`` session -- tests, in
+    which driver and executors are one process -- gets a folder of its own;
+    any other master raises, since a folder on one machine's disk would be
+    read back incomplete.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        base = conf
-    else:
-        base = spark.sparkContext.getCheckpointDir()
-        if not base:
-            base = tempfile.mkdtemp(prefix="dwspark-")
-            spark.sparkContext.setCheckpointDir(base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="dwspark-")
+        spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = f"{base}/dwspark/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return f"{shared_dir(spark)}/dwspark/{name}-{uuid.uuid4().hex[:12]}"
