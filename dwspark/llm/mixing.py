@@ -149,6 +149,6 @@ def mixed_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
     joined = docs.join(parts, "row")
     joined = joined.withColumn("_words", words(F.col("text")))
     some = F.flatten(F.transform("_spans", lambda x: F.slice("_words", x["from"].cast("int") + 1, (x["to"] - x["from"]).cast("int"))))
-    return (joined.withColumn("text", F.when(F.col("_took") == F.col("size"), F.col("text"))
+    return (joined.withColumn("text", F.when(F.col("_took") == F.size("_words"), F.col("text"))
                               .otherwise(F.array_join(some, " ")))
             .drop("_took", "_spans", "_words"))

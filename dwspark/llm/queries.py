@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
+from .chat_format import conversation_digests, format_windows
 from .common import stored, table, utf8_bytes
+from .decontamination import contained_items
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import document_rows, mix, taken_words
+from .near_dedup import near_dedup
 from .sharding import shard_balanced
 from .token_output import read_token_files, write_token_files
 
@@ -36,17 +39,34 @@ def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def op4_minhash_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -7, whose texts are control strings."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return conversation_digests(format_windows(turns))
+
+
 def op8_extendible_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_containment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row")
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -58,10 +78,11 @@ def op10_bit_plane_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_label_propagation_shards, op2_weighted_mix, op5_line_dedup, op8_extendible_hash_dedup,
-             op10_bit_plane_token_files]
+    found = [op1_label_propagation_shards, op2_weighted_mix, op4_minhash_hamming_dedup, op5_line_dedup, op7_budgeted_chat_windows,
+             op8_extendible_hash_dedup, op9_containment_decontamination, op10_bit_plane_token_files]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": sql.LINE_DEDUP, "op8_extendible_hash_dedup": sql.EXACT_DEDUP}
+    return {"op4_minhash_hamming_dedup": sql.NEAR_DEDUP, "op5_line_dedup": sql.LINE_DEDUP, "op8_extendible_hash_dedup": sql.EXACT_DEDUP,
+            "op9_containment_decontamination": sql.CONTAINED_ITEMS}

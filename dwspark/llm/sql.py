@@ -20,3 +20,38 @@ EXACT_DEDUP = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
+
+_SHINGLES = f"""
+words AS (
+  SELECT {{id}}, list_filter(regexp_split_to_array({_ASCII_LOWER.format("coalesce(text, '')")},
+                             '[ ' || chr(9) || '-' || chr(13) || ']+'), lambda x: x <> '') AS w
+  FROM {{table}}),
+{{name}} AS (
+  SELECT DISTINCT {{id}}, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM words)"""
+
+NEAR_DEDUP = f"""
+WITH RECURSIVE {_SHINGLES.format(id="doc_id", table="documents", name="shingles")},
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+  WHERE 100 * same >= 75 * (sx.n + sy.n - same)),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT x AS doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(y) AS component_id, x = min(y) AS kept
+FROM reach LEFT JOIN sizes s ON s.doc_id = x GROUP BY x"""
+
+CONTAINED_ITEMS = f"""
+WITH {_SHINGLES.format(id="doc_id", table="documents", name="of_docs")},
+{_SHINGLES.format(id="item_id", table="benchmark", name="of_items").replace("words AS", "item_words AS").replace("FROM words", "FROM item_words")},
+sizes AS (SELECT item_id, count(*) AS n_item FROM of_items GROUP BY item_id),
+pairs AS (
+  SELECT doc_id, item_id, count(*) AS n_shared FROM of_docs JOIN of_items USING (shingle) GROUP BY 1, 2)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM pairs JOIN sizes USING (item_id) WHERE 100 * n_shared >= 75 * n_item"""
