@@ -141,6 +141,21 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
     return of
 
 
+def grouped_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Per input row: doc_id, row (identity), n_shingles, and group: what its component shares, null without shingles."""
+    ship(docs.sparkSession)
+    table = stored(signature_table(docs, id_col, text_col), "signatures")
+    nodes = stored(table.filter("n_shingles > 0").groupBy("node").agg(
+        F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.min("row").alias("row")), "nodes")
+    rows = docs.select(row_identity(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
+    of = linked_nodes(nodes, rows, percent)
+    grouped = table.select("doc_id", "row", "n_shingles", F.col("node").alias("group"))
+    if of is None:
+        return grouped
+    return (grouped.join(of.withColumnRenamed("node", "group"), "group", "left")
+            .withColumn("group", F.coalesce("component", "group")).drop("component"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -151,17 +166,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     have no shingles and are linked with nothing; a row of them is its own
     component. Null ids count only where a component has no other.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    table = stored(signature_table(docs, id_col, text_col), "signatures")
-    nodes = stored(table.filter("n_shingles > 0").groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.min("row").alias("row")), "nodes")
-    rows = docs.select(row_identity(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
-    of = linked_nodes(nodes, rows, percent)
-    grouped = table.select("doc_id", "n_shingles", "node")
-    if of is not None:
-        grouped = grouped.join(of, "node", "left").withColumn("node", F.coalesce("component", "node")).drop("component")
-    least = grouped.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("component_id"))
-    return (grouped.join(least, "node", "left")
-            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    grouped = grouped_rows(docs, id_col, text_col, percent)
+    least = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return (grouped.join(least, "group", "left")
+            .withColumn("component_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The columns of ``docs`` (doc_id and text among them), one row of each
+    component: that of the least id, null ids last. Rows without shingles all
+    stay. Of exactly repeated rows one stays."""
+    grouped = grouped_rows(docs, "doc_id", "text", percent).withColumn("key", F.coalesce(F.hex("group"), "row"))
+    keep = grouped.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return (docs.withColumn("_row", row_identity(F.col("doc_id"), F.col("text")))
+            .join(keep.select(F.col("first.row").alias("_row")), "_row", "left_semi")
+            .dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import sql
 from .chat_format import conversation_digests, format_windows
 from .common import stored, table, utf8_bytes
@@ -16,8 +18,10 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import document_rows, mix, taken_words
 from .near_dedup import near_dedup
+from .quality import score_quality
+from .secret_scan import scan_secrets
 from .sharding import shard_balanced
-from .token_output import read_token_files, write_token_files
+from .token_output import read_token_files, vocabulary_path, write_token_files
 
 
 def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +43,11 @@ def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def op3_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "p_content", "p_meta", "score", "accepted")
+
+
 def op4_minhash_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -49,6 +58,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -7, whose texts are control strings."""
     said = "</s>[INST] ok [/INST]"
@@ -67,22 +80,19 @@ def op9_containment_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return found.drop("row")
 
 
-def vocabulary_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op10_bit_plane_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_token_files(table(spark, sf_dir, "documents"), vocabulary_path())
     return read_token_files(spark, path)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_label_propagation_shards, op2_weighted_mix, op4_minhash_hamming_dedup, op5_line_dedup, op7_budgeted_chat_windows,
-             op8_extendible_hash_dedup, op9_containment_decontamination, op10_bit_plane_token_files]
-    return {f.__name__: f for f in found}
+    found = [op1_label_propagation_shards, op2_weighted_mix, op3_co_trained_quality, op4_minhash_hamming_dedup,
+             op5_line_dedup, op6_secret_forest, op7_budgeted_chat_windows, op8_extendible_hash_dedup,
+             op9_containment_decontamination, op10_bit_plane_token_files]
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash_hamming_dedup": sql.NEAR_DEDUP, "op5_line_dedup": sql.LINE_DEDUP, "op8_extendible_hash_dedup": sql.EXACT_DEDUP,
-            "op9_containment_decontamination": sql.CONTAINED_ITEMS}
+    found = {"op4_minhash_hamming_dedup": sql.NEAR_DEDUP, "op5_line_dedup": sql.LINE_DEDUP,
+             "op8_extendible_hash_dedup": sql.EXACT_DEDUP, "op9_containment_decontamination": sql.CONTAINED_ITEMS}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -65,6 +65,12 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary lies; the workers find it at the same place."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def encoder(path: str) -> Encoder:
     """One per Python worker and vocabulary."""
     if path not in _encoders:
