@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import n_cells, running_sum, stored
 
-ROUNDS = 3
-FINISH = 3
+ROUNDS = 2
+FINISH = 2
 
 
 def _votes(placed: DataFrame, links: DataFrame) -> DataFrame:
@@ -34,10 +34,16 @@ def _votes(placed: DataFrame, links: DataFrame) -> DataFrame:
             .select("row", (-F.col("vote.col2")).alias("target")))
 
 
-def _level(placed: DataFrame, n_shards: int, cells: int, room: float, order: list[str]) -> DataFrame:
-    """Shards shed what lies beyond ``room`` times the mean by ``order``; the
-    shed rows fill shards below the mean, in one sequence."""
-    load = {r.shard: r.load for r in placed.groupBy("shard").agg(F.sum("size").alias("load")).collect()}
+def _loads(placed: DataFrame) -> tuple[dict[int, int], int]:
+    """Bytes by shard, and how many rows have just moved: one row per shard comes to the driver."""
+    found = placed.groupBy("shard").agg(F.sum("size").alias("load"), F.sum("moved").alias("moved")).collect()
+    return {r.shard: r.load for r in found}, sum(r.moved for r in found)
+
+
+def _level(placed: DataFrame, load: dict[int, int], n_shards: int, cells: int, room: float) -> DataFrame:
+    """Shards shed what lies beyond ``room`` times the mean, linked and large
+    rows being the last to go; the shed rows fill shards below the mean, in
+    one sequence."""
     mean = sum(load.values()) / n_shards
     quota = mean * room
     if max(load.values(), default=0) <= quota:
@@ -46,8 +52,9 @@ def _level(placed: DataFrame, n_shards: int, cells: int, room: float, order: lis
     full = [s for s, x in load.items() if x > quota]
     # rows in the order in which they stay; cells go by size class, then by hash, so none grows with a hot group
     big = (placed.filter(F.col("shard").isin(full))
+           .withColumn("first", 1 - F.col("linked"))
            .withColumn("rank", (-F.floor(F.log2("size") * 8)).cast("long")).withColumn("salt", cell))
-    ranked = running_sum(big, ["shard"], [*order, "rank", "salt"], ["row"], "size", "before")
+    ranked = running_sum(big, ["shard"], ["first", "rank", "salt"], ["row"], "size", "before")
     shed = stored(ranked.filter(F.col("before") + F.col("size") > quota)
                   .select("row", "size", "hub", "linked", "shard"), "shed")
     lost = {r.shard: r.load for r in shed.groupBy("shard").agg(F.sum("size").alias("load")).collect()}
@@ -90,18 +97,17 @@ def shard_balanced(docs: DataFrame, links: DataFrame, n_shards: int = 24, rounds
     placed = stored(docs.select("row", "size").join(hub, "row", "left")
                     .withColumn("linked", F.col("hub").isNotNull().cast("int"))
                     .withColumn("hub", F.coalesce("hub", F.xxhash64("row")))
-                    .withColumn("shard", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(n_shards)).cast("int")), "placed")
+                    .withColumn("shard", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(n_shards)).cast("int")).withColumn("moved", F.lit(0)), "placed")
     for _ in range(rounds):
-        wish = placed.join(_votes(placed, links), "row", "left")
-        moves = stored(wish.withColumn("moved", F.coalesce(F.col("target") != F.col("shard"), F.lit(False)))
+        wish = placed.drop("moved").join(_votes(placed, links), "row", "left")
+        moves = stored(wish.withColumn("moved", F.coalesce(F.col("target") != F.col("shard"), F.lit(False)).cast("int"))
                        .withColumn("shard", F.coalesce("target", "shard").cast("int")).drop("target"), "moves")
-        if not moves.filter("moved").limit(1).count():
+        load, moved = _loads(moves)
+        if not moved:
             break
-        placed = stored(_level(moves.drop("moved").withColumn("first", 1 - F.col("linked")),
-                               n_shards, cells, 1 + slack, ["first"]).drop("first"), "placed")
+        placed = stored(_level(moves, load, n_shards, cells, 1 + slack), "placed")
     for _ in range(FINISH):
-        placed = stored(_level(placed.withColumn("first", 1 - F.col("linked")), n_shards, cells, 1.0, ["first"])
-                        .drop("first"), "placed")
+        placed = stored(_level(placed, _loads(placed)[0], n_shards, cells, 1.0), "placed")
     out = stored(docs.join(placed.select("row", "shard"), "row")
                  .withColumn("cell", F.pmod(F.xxhash64("row"), F.lit(cells))).withColumn("one", F.lit(1)), "sharded")
     return running_sum(out, ["shard"], ["cell"], ["row"], "one", "slot").drop("cell", "one")
