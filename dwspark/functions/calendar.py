@@ -10,20 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# FIXED VALUES: the reference calendar span; the binding needs 1992 because
-# the supplied orders start in 1995 (see README).
-REFERENCE_START = "1996-01-01"
-REFERENCE_END = "2035-12-31"
-BINDING_START = "1992-01-01"
-BINDING_END = "2035-12-31"
+# One span for facts, cards and the out-of-calendar check. A date outside it stays in the facts
+# (its calendar columns are null in the cards) and is reported by the check.
+CALENDAR_START = "1992-01-01"
+CALENDAR_END = "2035-12-31"
 
 
 def time_key(d: Column) -> Column:
+    """The date as a number, yyyymmdd."""
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def calendar_dim(spark: SparkSession, start: str = BINDING_START,
-                 end: str = BINDING_END) -> DataFrame:
+def calendar_dim(spark: SparkSession, start: str = CALENDAR_START,
+                 end: str = CALENDAR_END) -> DataFrame:
     days = spark.range(1).select(
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)),
                              F.expr("INTERVAL 1 DAY"))).alias("date"))

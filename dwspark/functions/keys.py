@@ -16,6 +16,7 @@ from .rules import UNKNOWN_KEY
 
 
 def surrogate_key(*parts: Column | str) -> Column:
+    """A number that follows from the parts of the business key alone."""
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
     text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

@@ -118,6 +118,16 @@ def phone_text(area_code: Column, number: Column) -> Column:
     return F.concat(F.lit("("), area_code.cast("string"), F.lit(") "), number.cast("string"))
 
 
+def currency_of(is_wholesale: Column) -> Column:
+    """The one currency that a source's prices are in."""
+    return F.when(is_wholesale, F.lit(CURRENCY_WHOLESALE)).otherwise(F.lit(CURRENCY_RETAIL))
+
+
+def as_it_is(c: Column) -> Column:
+    """The source's own value, cast at most."""
+    return c
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     """Whole days later - earlier as int; NULL if either is NULL."""
     return F.datediff(later, earlier)

@@ -27,5 +27,9 @@ def cube_totals(df: DataFrame, dims: list[str], measure: str, out: str) -> DataF
 
 
 def ratio(num: Column, den: Column, scale: int) -> Column:
-    """round(num / nullif(den, 0), scale) computed in double."""
-    return F.round(num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), scale)
+    """num / den rounded half up to ``scale`` digits, exact in decimals; null for a den of 0.
+
+    The division's own digits (at least six behind the point) are more than the digits kept; an exact half
+    of the last digit kept needs one more only, so rounding twice changes nothing for the scales used here."""
+    n, d = num.cast("decimal(28,2)"), F.nullif(den.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
+    return F.round(n / d, scale)

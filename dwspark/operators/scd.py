@@ -160,7 +160,9 @@ def asof_version_join(events: DataFrame, versions: DataFrame, keys: list[str], e
       worth of versions;
     * the open version is unique per key, so it is joined on the key alone
       (at most one partner per event).
-    A hot key then only skews the probe side, which AQE splits."""
+    A hot key then only skews the probe side, which AQE splits. An event
+    before its key's first version, or of a key without versions, has no
+    version and is left out."""
     trunc = (lambda c: F.trunc(c, bucket))
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
     vcols = [c for c in versions.columns if c not in keys]

@@ -27,16 +27,16 @@ def full_refresh(df: DataFrame, name: str, partition_by: list[str] | None = None
 
 def append_new(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
     """The target plus the batch rows whose business key is not in
-    the target yet -- replaying a batch adds nothing. The anti join only
-    ships the target's key columns."""
-    fresh = batch.join(target.select(*key).distinct(), key, "left_anti")
-    return target.unionByName(fresh)
+    the target yet, one row per key -- replaying a batch adds nothing, nor
+    does a row that a batch holds twice. The anti join only ships the
+    target's key columns."""
+    return target.unionByName(new_rows(target, batch, key))
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
     """Only the rows ``append_new`` would add (what gets written with
     ``mode('append')``)."""
-    return batch.join(target.select(*key).distinct(), key, "left_anti")
+    return batch.dropDuplicates(key).join(target.select(*key).distinct(), key, "left_anti")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

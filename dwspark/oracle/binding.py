@@ -66,11 +66,11 @@ def _ctes() -> list[tuple[str, str]]:
                    'ADDR-S' || CAST(s_suppkey AS VARCHAR) AS address, {city.format(k='s_suppkey')} AS city,
                    nr.n_name AS region, lpad(CAST(s_suppkey * 7919 % 100000 AS VARCHAR), 5, '0') AS postal_code,
                    nr.r_name AS country
-            FROM supplier s LEFT JOIN nr ON s.s_nationkey = nr.n_nationkey WHERE s_suppkey BETWEEN 1 AND 9"""),
+            FROM supplier s LEFT JOIN nr ON s.s_nationkey = nr.n_nationkey"""),
         ("ws_carriers", """
-            SELECT DISTINCT substring(o_orderpriority, 1, 1) AS carrier_id,
-                   substring(o_orderpriority, 3, 100) AS company_name,
-                   '(555) 000-000' || substring(o_orderpriority, 1, 1) AS phone
+            SELECT DISTINCT split_part(o_orderpriority, '-', 1) AS carrier_id,
+                   CASE WHEN contains(o_orderpriority, '-') THEN substr(o_orderpriority, strpos(o_orderpriority, '-') + 1) ELSE '' END AS company_name,
+                   '(555) 000-000' || split_part(o_orderpriority, '-', 1) AS phone
             FROM orders"""),
         ("rt_persons", """
             SELECT c_custkey AS person_id, c_name AS name, CASE WHEN c_custkey % 4 = 1 THEN 'F' ELSE 'M' END AS sex,
@@ -107,8 +107,8 @@ def _ctes() -> list[tuple[str, str]]:
             SELECT o_orderkey, source_system, order_date, o_orderstatus,
                    CAST(o_orderkey AS VARCHAR) AS sale_id, CAST(o_custkey AS VARCHAR) AS customer_id,
                    CASE WHEN source_system <> '{WS}' THEN CAST(o_orderkey % 4 AS INTEGER) END AS sale_type_code,
-                   CASE WHEN source_system = '{WS}' THEN CAST(nullif(o_orderkey % 10, 0) AS VARCHAR) END AS employee_id,
-                   CASE WHEN source_system = '{WS}' AND o_orderstatus <> 'P' THEN substring(o_orderpriority, 1, 1) END AS carrier_id,
+                   CASE WHEN source_system = '{WS}' THEN CAST(nullif(o_orderkey % ((SELECT max(s_suppkey) FROM supplier) + 1), 0) AS VARCHAR) END AS employee_id,
+                   CASE WHEN source_system = '{WS}' AND o_orderstatus <> 'P' THEN split_part(o_orderpriority, '-', 1) END AS carrier_id,
                    CASE WHEN source_system = '{WS}' THEN order_date + 28 END AS due_date,
                    CASE WHEN source_system = '{WS}' THEN CAST(round(CAST(o_totalprice AS DECIMAL(15,2)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(15,2)) END AS freight
             FROM orders_b"""),
@@ -151,33 +151,33 @@ def _ctes() -> list[tuple[str, str]]:
             SELECT '{RT}' AS source_system, CAST(address_id AS VARCHAR) AS address_id,
                    CASE WHEN address_type_code = 1 THEN '{R.ADDRESS_TYPE_HOME}' ELSE '{R.ADDRESS_TYPE_BUSINESS}' END AS address_type,
                    street, postal_code, district, '{R.RETAIL_COUNTRY}' AS country, state_name, state_code, city, city_region,
-                   CAST(address_id AS BIGINT) AS geo_order
+                   0 AS geo_rank, TRY_CAST(address_id AS BIGINT) AS geo_number, CAST(address_id AS VARCHAR) AS geo_text
             FROM rt_addresses
             UNION ALL
             SELECT '{WS}', customer_id, NULL, address, postal_code, NULL,
                    coalesce(nullif(country, ''), '{R.NOT_INFORMED}'), coalesce(nullif(region, ''), '{R.NOT_INFORMED}'),
                    substring(coalesce(nullif(region, ''), '{R.STATE_CODE_DEFAULT}'), 1, 10),
                    coalesce(nullif(city, ''), '{R.NOT_INFORMED}'), region,
-                   1000000000000000 + CAST(customer_id AS BIGINT)
+                   1, TRY_CAST(customer_id AS BIGINT), customer_id
             FROM ws_customers
             UNION ALL
             SELECT '{WS}', 'EMP-' || employee_id, '{R.ADDRESS_TYPE_BUSINESS}', address, postal_code, NULL,
                    coalesce(nullif(country, ''), '{R.NOT_INFORMED}'), coalesce(nullif(region, ''), '{R.NOT_INFORMED}'),
                    substring(coalesce(nullif(region, ''), '{R.STATE_CODE_DEFAULT}'), 1, 10),
                    coalesce(nullif(city, ''), '{R.NOT_INFORMED}'), region,
-                   2000000000000000 + CAST(employee_id AS BIGINT)
+                   2, TRY_CAST(employee_id AS BIGINT), employee_id
             FROM ws_employees
             UNION ALL
             SELECT '{RT}', 'SUP-' || CAST(supplier_id AS VARCHAR), '{R.ADDRESS_TYPE_BUSINESS}', street, postal_code,
                    district, '{R.RETAIL_COUNTRY}', state_name, state_code, city, city_region,
-                   3000000000000000 + supplier_id
+                   3, CAST(supplier_id AS BIGINT), CAST(supplier_id AS VARCHAR)
             FROM rt_suppliers_used"""),
         ("geo_states", """
-            SELECT country, state_code, arg_min(state_name, geo_order) AS state_name
-            FROM address_inputs GROUP BY country, state_code"""),
+            SELECT country, state_code, state_name FROM address_inputs
+            QUALIFY row_number() OVER (PARTITION BY country, state_code ORDER BY geo_rank, geo_number NULLS FIRST, geo_text) = 1"""),
         ("geo_cities", """
-            SELECT country, state_code, city, arg_min(city_region, geo_order) AS city_region
-            FROM address_inputs GROUP BY country, state_code, city"""),
+            SELECT country, state_code, city, city_region FROM address_inputs
+            QUALIFY row_number() OVER (PARTITION BY country, state_code, city ORDER BY geo_rank, geo_number NULLS FIRST, geo_text) = 1"""),
         ("dim_address", f"""
             SELECT {K('a.source_system', 'a.address_id')} AS address_key, a.source_system, a.address_id,
                    a.address_type, a.street, a.postal_code, a.district, c.city_region, a.city, s.state_name AS state,

@@ -22,11 +22,12 @@ from ..sources.binding import (PURCHASE_RETURN_FLAG, SRC_RETAIL, SRC_WHOLESALE,
 # Order in which the reference would meet each address during a full load;
 # used to make "first writer wins" deterministic (rule C5).
 _RANK_RETAIL, _RANK_WHOLESALE, _RANK_EMPLOYEE, _RANK_SUPPLIER = 0, 1, 2, 3
-_RANK_SCALE = 10 ** 15
 
 
-def _order(rank: int, numeric_id) -> F.Column:
-    return F.lit(rank).cast("bigint") * F.lit(_RANK_SCALE) + numeric_id.cast("bigint")
+def _order(rank: int, source_id) -> F.Column:
+    """Source first, then numeric ids by number; ids that are no numbers come before them, by text."""
+    text = source_id.cast("string")
+    return F.struct(F.lit(rank).alias("rank"), text.try_cast("bigint").alias("number"), text.alias("text"))
 
 
 class Corporate:
@@ -197,17 +198,25 @@ class Corporate:
         (P4, one row per person, so the join cannot fan out); a wholesale
         customer's address id is the customer id itself."""
         h = self.src.header_attributes(self.src.orders)
-        pa = self.person_address.select(F.col("person_id").cast("string").alias("__pid"),
-                                        F.col("address_id").cast("string").alias("__aid"))
-        j = h.join(pa, (h["source_system"] == SRC_RETAIL) & (h["customer_id"] == pa["__pid"]), "left")
-        addr = F.when(F.col("source_system") == SRC_WHOLESALE, F.col("customer_id")).otherwise(F.col("__aid"))
-        return j.withColumn("address_id", addr).drop("__pid", "__aid")
+        wholesale = h.filter(F.col("source_system") == SRC_WHOLESALE).withColumn("address_id", F.col("customer_id"))
+        pa = self.person_address.select(F.col("person_id").cast("string").alias("customer_id"),
+                                        F.col("address_id").cast("string").alias("address_id"))
+        retail = h.filter(F.col("source_system") == SRC_RETAIL).join(pa, "customer_id", "left")
+        return retail.unionByName(wholesale)      # only retail orders meet the persons
 
     @cached_property
     def sales_lines(self) -> DataFrame:
-        """Header x item, inner -- headers without items never load.
+        """J2 with the delivery address, as stored and as ``fact_sales`` reads it."""
+        return self._sale_items(self.headers_with_address)
+
+    @cached_property
+    def sales_items(self) -> DataFrame:
+        """J2 without the address: no person is looked up for cards that never read it."""
+        return self._sale_items(self.src.header_attributes(self.src.orders))
+
+    def _sale_items(self, h: DataFrame) -> DataFrame:
+        """Header x item, inner -- headers without items never load.
         Discount is a money amount per item, rounded per item (C1, C6)."""
-        h = self.headers_with_address
         li = self.src.lines
         ws = F.col("source_system") == SRC_WHOLESALE
         j = li.join(h, li.l_orderkey == h.o_orderkey, "inner")

@@ -3,15 +3,14 @@ deliveries), each a function ``(marts, filters) -> DataFrame``.
 
 Plan shape used throughout, for scale:
 * period bounds filter the fact's own date column (pushed to the scan);
-* the calendar (fixed size) is broadcast;
+* the calendar (fixed size) is broadcast, other dimensions as Spark's size check decides;
 * facts are pre-aggregated to the dimension key *before* joining a
   possibly large dimension, then re-aggregated by the dimension's name --
   the join sees one row per key instead of one per item, and a hot key
   is combined map-side instead of skewing a join partition;
 * name filters (carrier, supplier) become a semi join against the
   filtered dimension.
-Money is decimal end to end; ratios are computed in double and rounded,
-matching the cards' ``round(x / nullif(n, 0), k)``.
+Money is decimal end to end, ratios too.
 """
 
 from __future__ import annotations
@@ -31,9 +30,13 @@ P_CARRIER = PERIOD + ("carrier",)
 P_SUPPLIER = PERIOD + ("supplier",)
 
 
-def _calendar(m: Marts, *cols: str) -> DataFrame:
-    # Fixed-size (one row per day of a fixed span): safe to broadcast.
-    return F.broadcast(m.dim_time.select("time_key", *cols))
+def _with_calendar(fact: DataFrame, m: Marts, key: str, cols: tuple[str, ...]) -> DataFrame:
+    """The fact with calendar columns. A row dated outside the calendar stays, with nulls: it counts in
+    every total, and the calendar check reports it. Cards that need no calendar column skip the join. The
+    calendar has one row per day of a fixed span, so it may be broadcast."""
+    if not cols:
+        return fact
+    return fact.join(F.broadcast(m.dim_time.select(F.col("time_key").alias(key), *cols)), key, "left")
 
 
 def _money_sum(col: str, alias: str):
@@ -47,7 +50,7 @@ def _sales(m: Marts, f: MartFilters, allowed, *cal_cols: str) -> DataFrame:
     fs = f.period(m.fact_sales if fs is None else fs, "sale_date", allowed)
     if "source_system" in allowed:
         fs = f.equals(fs, "source_system", "source_system")
-    return fs.join(_calendar(m, *cal_cols), "time_key")
+    return _with_calendar(fs, m, "time_key", cal_cols)
 
 
 def sales_total(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
@@ -145,7 +148,7 @@ def _purchases(m: Marts, f: MartFilters, allowed, *cal_cols: str) -> DataFrame:
     if "supplier" in allowed and f.supplier is not None:
         chosen = m.dim_supplier.filter(F.col("supplier_name") == f.supplier).select("supplier_key")
         fp = fp.join(chosen, "supplier_key", "left_semi")
-    return fp.join(_calendar(m, *cal_cols), "time_key")
+    return _with_calendar(fp, m, "time_key", cal_cols)
 
 
 def purchases_total(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
@@ -220,13 +223,12 @@ def _deliveries(m: Marts, f: MartFilters, allowed, *cal_cols: str) -> DataFrame:
     fd = f.period(m.fact_deliveries, "order_date", allowed)
     if "carrier" in allowed and f.carrier is not None:
         chosen = m.dim_carrier.filter(F.col("carrier_name") == f.carrier).select("carrier_key")
-        fd = fd.join(F.broadcast(chosen), "carrier_key", "left_semi")
-    return fd.join(_calendar(m, *cal_cols).withColumnRenamed("time_key", "order_time_key"), "order_time_key")
+        fd = fd.join(chosen, "carrier_key", "left_semi")
+    return _with_calendar(fd, m, "order_time_key", cal_cols)
 
 
 def _carriers(m: Marts) -> DataFrame:
-    # Bounded by design (one row per carrier code + the -1 member).
-    return F.broadcast(m.dim_carrier.select("carrier_key", "carrier_name"))
+    return m.dim_carrier.select("carrier_key", "carrier_name")
 
 
 def deliveries_count(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
@@ -279,7 +281,7 @@ def deliveries_by_month(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
 def deliveries_top10_employees(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
     d = _deliveries(m, f, P_CARRIER)
     per_key = d.groupBy("employee_key").agg(F.sum("order_value").alias("v"))
-    emp = F.broadcast(m.dim_employee.select("employee_key", "employee_name"))   # bounded by design
+    emp = m.dim_employee.select("employee_key", "employee_name")
     by_name = (per_key.join(emp, "employee_key", "left")
                .filter(F.col("employee_name") != R.UNKNOWN_NAME)
                .groupBy("employee_name").agg(F.sum("v").cast(MONEY_SUM).alias("total_value")))

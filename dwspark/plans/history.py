@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key_sql as K
 from ..operators import scd
-from ..sources.readers import sf_table, spread
+from ..sources.readers import sf_table
 
 KEYS, ATTRS, ORDER = ["user_id"], ["status"], ["ts", "event_id"]
-# Parameter: the day merged into the history built from the days before it.
-MERGE_DAY = "2024-01-20"
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spread(sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"]))
+    ev = sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
     return ev.select("user_id", "ts", "event_id", F.col("event_type").alias("status"))
 
 
@@ -39,7 +37,7 @@ def current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spread(sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"]))
+    ev = sf_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     return (ev.filter(F.col("event_type") == "purchase")
               .select("event_id", "user_id", F.col("ts").cast("date").alias("event_date"), "value"))
 
@@ -60,22 +58,27 @@ def asof_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("events"))
 
 
-def merge_one_day(spark: SparkSession, sf_dir: str, day: str = MERGE_DAY) -> DataFrame:
-    """History of the days before ``day`` merged with ``day``'s batch."""
+def last_day(log: DataFrame) -> F.Column:
+    """The last day of the log, a scalar subquery."""
+    return log.select(F.max(_day())).scalar()
+
+
+def merge_last_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of all days but the last, merged with the last day's batch: it covers every event."""
     log = change_log(spark, sf_dir)
-    before = log.filter(_day() < F.to_date(F.lit(day)))
-    state = scd.scd2_from_change_log(before, KEYS, ATTRS, _day(), ORDER)
-    batch = (scd.last_per_key_day(log.filter(_day() == F.to_date(F.lit(day))), KEYS, ATTRS, _day(), ORDER)
-             .drop("valid_from"))
+    day = last_day(log)
+    state = scd.scd2_from_change_log(log.filter(_day() < day), KEYS, ATTRS, _day(), ORDER)
+    batch = scd.last_per_key_day(log.filter(_day() == day), KEYS, ATTRS, _day(), ORDER).drop("valid_from")
     return scd.scd2_merge(state, batch, KEYS, ATTRS, day)
 
 
-def scd1_one_day(spark: SparkSession, sf_dir: str, day: str = MERGE_DAY) -> DataFrame:
-    """Type-1 state (last status before ``day``) upserted with ``day``."""
+def scd1_last_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-1 state (last status before the last day) upserted with the last day."""
     log = change_log(spark, sf_dir)
+    day = last_day(log)
     pick = F.max_by(F.col("status"), F.struct(*ORDER)).alias("status")
-    state = log.filter(_day() < F.to_date(F.lit(day))).groupBy("user_id").agg(pick)
-    batch = log.filter(_day() == F.to_date(F.lit(day))).groupBy("user_id").agg(pick)
+    state = log.filter(_day() < day).groupBy("user_id").agg(pick)
+    batch = log.filter(_day() == day).groupBy("user_id").agg(pick)
     return scd.scd1_upsert(state, batch, KEYS, ATTRS)
 
 
@@ -102,7 +105,7 @@ ASOF_SQL = f"""WITH {_versions_sql()},
 
 
 def oracle_sql() -> dict[str, str]:
-    d = MERGE_DAY
+    last = "(SELECT max(CAST(ts AS DATE)) FROM events)"
     return {
         "scd2_from_change_log": f"WITH {_versions_sql()} SELECT * FROM versions",
         "scd2_current": f"WITH {_versions_sql()} SELECT * FROM versions WHERE is_current",
@@ -111,14 +114,13 @@ def oracle_sql() -> dict[str, str]:
                                              v.version_key FROM pe JOIN versions v ON v.user_id = pe.user_id
                                              WHERE v.is_current""",
         "asof_status_counts": f"{ASOF_SQL} SELECT status, count(*) AS events FROM j GROUP BY status",
-        # merging day D into the history of the days before D must equal the
-        # change-log history of all days up to D
-        "scd2_merge": f"WITH {_versions_sql(f'WHERE CAST(ts AS DATE) <= DATE {chr(39)}{d}{chr(39)}')} SELECT * FROM versions",
+        # merging the last day into the history of the days before must equal the history of all days
+        "scd2_merge": f"WITH {_versions_sql()} SELECT * FROM versions",
         "scd1_upsert": f"""WITH
             s AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS status FROM events
-                  WHERE CAST(ts AS DATE) < DATE '{d}' GROUP BY user_id),
+                  WHERE CAST(ts AS DATE) < {last} GROUP BY user_id),
             b AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS status FROM events
-                  WHERE CAST(ts AS DATE) = DATE '{d}' GROUP BY user_id)
+                  WHERE CAST(ts AS DATE) = {last} GROUP BY user_id)
             SELECT coalesce(b.user_id, s.user_id) AS user_id,
                    CASE WHEN b.user_id IS NOT NULL THEN b.status ELSE s.status END AS status,
                    CASE WHEN s.user_id IS NULL THEN 'insert'
@@ -135,6 +137,6 @@ def queries() -> dict:
         "asof_version_join": asof_join,
         "attach_current_version": attach_current_version,
         "asof_status_counts": asof_status_counts,
-        "scd2_merge": merge_one_day,
-        "scd1_upsert": scd1_one_day,
+        "scd2_merge": merge_last_day,
+        "scd1_upsert": scd1_last_day,
     }

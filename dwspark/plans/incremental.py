@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scd import scd1_upsert
-from ..operators.sinks import append_new
 from ..oracle.binding import with_binding
 from ..sources.binding import SRC_RETAIL, SRC_WHOLESALE
 from ..sources.readers import sf_table
@@ -138,7 +137,9 @@ class IncrementalLoad:
     def fact_sales_replayed(self) -> DataFrame:
         """Applying the same delta a second time adds nothing."""
         once = self.fact_sales_initial_plus_delta()
-        return append_new(once, self.fact_sales_incremental(), ["source_system", "sale_id"])
+        loaded = once.select("source_system", "sale_id").distinct()
+        again = self.fact_sales_incremental().join(loaded, ["source_system", "sale_id"], "left_anti")
+        return once.unionByName(again)
 
 
 def _q(method: str):

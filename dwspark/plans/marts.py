@@ -2,8 +2,7 @@
 
 Dimension keys are deterministic functions of the business key
 (``functions.keys``), so facts get most keys by projection instead of a
-join. Only the bounded dimensions (employee, carrier: a handful of rows
-by construction) are joined, as broadcasts, because their lookup must
+join. Only employees and carriers are joined, because their lookup must
 fall back to the -1 member (J8).
 """
 
@@ -11,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -95,7 +94,7 @@ class Marts:
         return s.select(surrogate_key(F.col("source_system"), F.col("supplier_id")).alias("supplier_key"),
                         "source_system", "supplier_id", F.col("name").alias("supplier_name"), "phone")
 
-    # -- bounded-dimension lookups (broadcast, default -1) -------------------
+    # -- lookups that default to -1 -------------------
     @cached_property
     def employee_keys(self) -> DataFrame:
         """(source, employee id) -> key, straight from the corporate rows:
@@ -110,14 +109,12 @@ class Marts:
         return c.select("source_system", "carrier_id",
                         surrogate_key(F.col("source_system"), F.col("carrier_id")).alias("carrier_key"))
 
-    def _lookup_bounded(self, df: DataFrame, keys: DataFrame, key: str, id_col: str, out: str) -> DataFrame:
-        """Left join to a dimension bounded by design (9 employees, one
-        carrier per priority code), hence a broadcast; misses and NULL ids
-        fall back to the -1 member (J8)."""
+    def _lookup(self, df: DataFrame, keys: DataFrame, key: str, id_col: str, out: str) -> DataFrame:
+        """Left join to a dimension's keys; misses and NULL ids fall back to
+        the -1 member (J8). Spark broadcasts the keys if their size allows."""
         d = (keys.select(F.col("source_system").alias("__src"), F.col(id_col).alias("__id"),
                          F.col(key).alias("__key"))
                  .dropDuplicates(["__src", "__id"]))
-        d = F.broadcast(d)
         j = df.join(d, (df["source_system"] == d["__src"]) & (df[id_col] == d["__id"]), "left")
         return (j.withColumn(out, F.coalesce(F.col("__key"), F.lit(R.UNKNOWN_KEY).cast("bigint")))
                  .drop("__src", "__id", "__key"))
@@ -126,8 +123,8 @@ class Marts:
     @cached_property
     def fact_sales_core(self) -> DataFrame:
         """``fact_sales`` without the employee/carrier lookups: the sales
-        cards never read those keys, and a left join cannot be pruned away."""
-        li = self.corp.sales_lines
+        cards never read those keys, nor the address, and a left join cannot be pruned away."""
+        li = self.corp.sales_items
         return li.select(
             "source_system", "sale_id", "item_id",
             time_key(F.col("order_date")).alias("time_key"),
@@ -140,8 +137,8 @@ class Marts:
     def fact_sales(self) -> DataFrame:
         """One row per sold item of both sources (F1)."""
         li = self.corp.sales_lines
-        li = self._lookup_bounded(li, self.employee_keys, "employee_key", "employee_id", "employee_key")
-        li = self._lookup_bounded(li, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
+        li = self._lookup(li, self.employee_keys, "employee_key", "employee_id", "employee_key")
+        li = self._lookup(li, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
         return li.select(
             "source_system", "sale_id", "item_id",
             time_key(F.col("order_date")).alias("time_key"),
@@ -157,8 +154,11 @@ class Marts:
     def fact_purchases(self) -> DataFrame:
         """One row per purchased item, retail only."""
         li = self.corp.purchase_lines
-        h = self.corp.purchase_headers
-        j = li.join(h, ["l_orderkey", "l_suppkey"], "inner")
+        # the purchase's entry date is its last ship date: a window over lines that the
+        # header join has dealt by order already, not a second scan
+        last = F.max("ship_date").over(Window.partitionBy("l_orderkey", "l_suppkey"))
+        j = (li.withColumn("entry_date", F.when(F.col("o_orderstatus") != "O", last))
+             .withColumn("lead_time_days", R.days_between(F.col("entry_date"), F.col("order_date"))))
         sup = F.col("l_suppkey").cast("string")
         return j.select(
             F.lit(SRC_RETAIL).alias("source_system"), "purchase_id",
@@ -173,17 +173,20 @@ class Marts:
     @cached_property
     def order_values(self) -> DataFrame:
         """A1: items pre-aggregated to the order (wholesale money rule)."""
-        li = self.corp.sales_lines.filter(F.col("source_system") == SRC_WHOLESALE)
-        return li.groupBy("o_orderkey").agg(F.sum("item_total").alias("order_value"))
+        li = self.corp.sales_items.filter(F.col("source_system") == SRC_WHOLESALE)
+        return li.groupBy("o_orderkey").agg(
+            F.sum("item_total").alias("order_value"), F.max("ship_date").alias("last_ship_date"),
+            *[F.first(c).alias(c) for c in ("source_system", "sale_id", "order_date", "o_orderstatus", "customer_id",
+                                            "employee_id", "carrier_id", "due_date", "freight")])
 
     @cached_property
     def fact_deliveries(self) -> DataFrame:
         """One row per wholesale order with items."""
-        h = self.corp.sale_headers.filter(F.col("source_system") == SRC_WHOLESALE)
-        h = self._lookup_bounded(h, self.employee_keys, "employee_key", "employee_id", "employee_key")
-        h = self._lookup_bounded(h, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
-        j = h.join(self.order_values, "o_orderkey", "left")
-        return j.select(
+        # lines are read once: value, ship date and header of an order in one aggregate
+        h = self.order_values.withColumn("shipped_date", F.when(F.col("o_orderstatus") != "O", F.col("last_ship_date")))
+        h = self._lookup(h, self.employee_keys, "employee_key", "employee_id", "employee_key")
+        h = self._lookup(h, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
+        return h.select(
             "source_system", "sale_id",
             time_key(F.col("order_date")).alias("order_time_key"),
             F.when(F.col("shipped_date").isNotNull(), time_key(F.col("shipped_date"))).alias("ship_time_key"),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import REFERENCE_END, REFERENCE_START
+from ..functions.calendar import CALENDAR_END, CALENDAR_START
 from ..operators import quality as Q
 from ..oracle.binding import with_binding
 from . import history
@@ -110,14 +110,14 @@ def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_out_of_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marts(spark, sf_dir)
-    return _u([Q.dq_out_of_calendar(getattr(m, t), t, c, REFERENCE_START, REFERENCE_END)
+    return _u([Q.dq_out_of_calendar(getattr(m, t), t, c, CALENDAR_START, CALENDAR_END)
                for t, c in CALENDAR_DATES])
 
 
 def out_of_calendar_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarantine: the sales the reference calendar cannot key."""
+    """The sales that the calendar does not cover: they count in totals, but in no month or quarter."""
     fs = Marts(spark, sf_dir).fact_sales
-    bad = Q.out_of_calendar_rows(fs, "sale_date", REFERENCE_START, REFERENCE_END)
+    bad = Q.out_of_calendar_rows(fs, "sale_date", CALENDAR_START, CALENDAR_END)
     return bad.groupBy("source_system", "sale_id", "sale_date").agg(F.count(F.lit(1)).alias("items"))
 
 
@@ -153,7 +153,7 @@ def oracle_sql() -> dict:
     ck = [_rep(t, name, f"sum(CASE WHEN NOT ({pred}) THEN 1 ELSE 0 END)", t)
           for name, (t, pred) in CHECKS_SQL.items()]
     cal = [_rep(t, f"in_calendar({c})",
-                f"sum(CASE WHEN {c} IS NOT NULL AND ({c} < DATE '{REFERENCE_START}' OR {c} > DATE '{REFERENCE_END}') "
+                f"sum(CASE WHEN {c} IS NOT NULL AND ({c} < DATE '{CALENDAR_START}' OR {c} > DATE '{CALENDAR_END}') "
                 f"THEN 1 ELSE 0 END)", t) for t, c in CALENDAR_DATES]
     v = history._versions_sql()
     scd = f"""WITH {v},
@@ -175,7 +175,7 @@ def oracle_sql() -> dict:
         "dq_checks": with_binding(" UNION ALL ".join(ck)),
         "dq_out_of_calendar": with_binding(" UNION ALL ".join(cal)),
         "out_of_calendar_sales": with_binding(f"""SELECT source_system, sale_id, sale_date, count(*) AS items
-            FROM fact_sales WHERE sale_date < DATE '{REFERENCE_START}' OR sale_date > DATE '{REFERENCE_END}'
+            FROM fact_sales WHERE sale_date < DATE '{CALENDAR_START}' OR sale_date > DATE '{CALENDAR_END}'
             GROUP BY source_system, sale_id, sale_date"""),
         "dq_scd2_history": scd,
     }

@@ -31,15 +31,14 @@ DASHBOARD_FNS = {fn.__name__: fn for fn in D.ALL + [D.sales_cube_category_quarte
 
 
 def _where(name: str) -> str:
-    period_col = {"sales": "dt.date", "purchases": "dt.date", "deliveries": "dt.date"}[name.split("_")[0]]
-    w = f" AND {period_col} >= DATE '{FILTER_FROM}' AND {period_col} <= DATE '{FILTER_TO}'"
+    w = f"day BETWEEN DATE '{FILTER_FROM}' AND DATE '{FILTER_TO}'"
     if name in _PERIOD_ONLY:
         return w
     if name.startswith("sales"):
-        return w + f" AND fs.source_system = '{FILTER_SOURCE}'"
+        return w + f" AND source_system = '{FILTER_SOURCE}'"
     if name.startswith("purchases"):
-        return w + f" AND fo.supplier_name = '{FILTER_SUPPLIER}'"
-    return w + f" AND tr.carrier_name = '{FILTER_CARRIER}'"
+        return w + f" AND supplier_name = '{FILTER_SUPPLIER}'"
+    return w + f" AND carrier_name = '{FILTER_CARRIER}'"
 
 
 def _dashboard(fn, filters: MartFilters) -> Callable[[SparkSession, str], DataFrame]:

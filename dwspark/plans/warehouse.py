@@ -95,6 +95,8 @@ class StoredCorporate:
         self.spark, self.path = spark, path
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name == "sales_items":
+            return self.sales_lines            # the stored lines carry the address; pruning skips it
         if name in CORPORATE:
             return self.spark.read.parquet(f"{self.path}/{name}")
         raise AttributeError(name)

@@ -19,13 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import MONEY, RATE
-from .readers import sf_table, spread
+from .readers import sf_table
 
 # FIXED VALUES: source-system tags of the two simulated sources.
 SRC_WHOLESALE = "WHOLESALE"
 SRC_RETAIL = "RETAIL"
 # Binding parameters (see README, "Test-data binding").
-EMPLOYEE_MAX_ID = 9          # employees are supplier keys 1..9
 DUE_DAYS = 28                # promised date = order date + 28 days
 FREIGHT_RATE = "0.01"        # freight = 1 % of the order's total price
 INCOME_FACTOR = "2.5"        # income = account balance * 2.5
@@ -35,6 +34,7 @@ PURCHASE_RETURN_FLAG = "R"   # retail purchases = lines flagged 'R'
 
 
 def source_of(custkey: Column) -> Column:
+    """The source system that a row comes from."""
     return F.when(custkey % 2 == 0, F.lit(SRC_WHOLESALE)).otherwise(F.lit(SRC_RETAIL))
 
 
@@ -80,8 +80,8 @@ class SourceTables:
 
     @cached_property
     def wholesale_employees(self) -> DataFrame:
-        s = (self.t("supplier", "s_suppkey", "s_name", "s_nationkey")
-             .filter(F.col("s_suppkey").between(1, EMPLOYEE_MAX_ID)))
+        """Every supplier row plays an employee."""
+        s = self.t("supplier", "s_suppkey", "s_name", "s_nationkey")
         k = F.col("s_suppkey")
         return (s.join(self.nation_region, s.s_nationkey == F.col("n_nationkey"), "left")
                  .select(k.cast("string").alias("employee_id"),
@@ -95,12 +95,17 @@ class SourceTables:
                          F.lpad((k * 7919 % 100000).cast("string"), 5, "0").alias("postal_code"),
                          F.col("r_name").alias("country")))
 
+    @cached_property
+    def last_employee(self) -> Column:
+        """The largest employee id, a scalar subquery: orders are spread over all of them."""
+        return self.t("supplier", "s_suppkey").select(F.max("s_suppkey")).scalar()
+
     @cached_property
     def wholesale_carriers(self) -> DataFrame:
-        """Carriers = distinct order priorities ('1-URGENT' -> id 1)."""
+        """Carriers = distinct order priorities: the id before the first dash, the name behind it."""
         o = self.t("orders", "o_orderpriority")
-        return (o.select(F.substring("o_orderpriority", 1, 1).alias("carrier_id"),
-                         F.substring("o_orderpriority", 3, 100).alias("company_name"))
+        return (o.select(F.substring_index("o_orderpriority", "-", 1).alias("carrier_id"),
+                         F.regexp_extract("o_orderpriority", "(?s)^[^-]*-(.*)$", 1).alias("company_name"))
                  .distinct()
                  .withColumn("phone", F.concat(F.lit("(555) 000-000"), F.col("carrier_id"))))
 
@@ -178,8 +183,8 @@ class SourceTables:
     # -- transactions -----------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
-        o = spread(self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                          "o_orderdate", "o_orderpriority"))
+        o = self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate", "o_orderpriority")
         o = o.select(
             "o_orderkey", "o_custkey", "o_orderstatus",
             source_of(F.col("o_custkey")).alias("source_system"),
@@ -189,8 +194,8 @@ class SourceTables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        li = spread(self.t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                           "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"))
+        li = self.t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                           "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
         return li.select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
             F.col("l_quantity").cast("int").alias("quantity"),
@@ -207,9 +212,9 @@ class SourceTables:
             k.cast("string").alias("sale_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             F.when(~ws, k % 4).cast("int").alias("sale_type_code"),
-            F.when(ws, F.nullif(k % 10, F.lit(0)).cast("string")).alias("employee_id"),
+            F.when(ws, F.nullif(k % (self.last_employee + 1), F.lit(0)).cast("string")).alias("employee_id"),
             F.when(ws & (F.col("o_orderstatus") != "P"),
-                   F.substring("o_orderpriority", 1, 1)).alias("carrier_id"),
+                   F.substring_index("o_orderpriority", "-", 1)).alias("carrier_id"),
             F.when(ws, F.date_add("order_date", DUE_DAYS)).alias("due_date"),
             F.when(ws, F.round(F.col("o_totalprice").cast(MONEY) * F.lit(FREIGHT_RATE).cast("decimal(3,2)"), 2)
                    .cast(MONEY)).alias("freight"))

@@ -40,21 +40,6 @@ def read_table(spark: SparkSession, spec: TableSpec | str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A parquet file is split by row group; a source written as one row group
-    is read by one task, and when the next join is a broadcast nothing
-    downstream re-spreads the rows. Then (and only then) the scan is
-    re-partitioned round-robin: no key can pile up in one partition, it is
-    deterministic under task retry (Spark sorts before a round-robin
-    repartition), and -- unlike hashing on columns -- it references no
-    column, so column pruning still reaches the scan. Inputs that already
-    have enough splits, as any large table does, are left alone."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def sf_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """One of the supplied tables: ``{sf_dir}/{name}.parquet``."""
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns)

@@ -13,7 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from dwspark.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     # tests only: a checkpoint folder of our own when the session has none
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dwspark-test-"))

@@ -1,7 +1,8 @@
 """Every registered query against its DuckDB oracle on the smallest data."""
 import pytest
 
-import __spark_entry__ as E
+import __spark_entry__ as entry_point
+from dwspark.plans import registry as E
 from dwspark.oracle.compare import compare, duck_connection
 
 SF = "/root/testdata/sf0.001"
@@ -25,5 +26,5 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_entry_runs(spark):
-    rows = E.entry(spark).collect()
+    rows = entry_point.entry(spark).collect()
     assert len(rows) > 0 and set(rows[0].asDict()) == {"category", "T1", "T2", "T3", "T4", "total"}

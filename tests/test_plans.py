@@ -2,7 +2,7 @@
 pruning reach the parquet scan, bounded dimensions are broadcast."""
 import pytest
 
-import __spark_entry__ as E
+from dwspark.plans import registry as E
 from dwspark.operators.filters import MartFilters
 from dwspark.plans import dashboards as D
 from dwspark.plans.marts import Marts
