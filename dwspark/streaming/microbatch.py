@@ -1,20 +1,25 @@
 """Incremental loads as Structured Streaming micro-batches (M1-M3).
 
-The reference's incremental job is a manually triggered micro-batch. Here
-the same batch functions run inside ``foreachBatch`` of a file-source
-stream with ``trigger(availableNow=True)``: every new file is processed
-once, progress lives in the checkpoint, and each batch's output is
-written idempotently (keyed by ``batchId``), so a restarted query that
-replays a batch changes nothing.
-
-State (the type-2 history) is not kept in a stateful operator: it is a
-snapshot table per batch under the shared folder, read back by the next
-batch -- the same tables the batch path writes.
+A file-source stream with ``trigger(availableNow=True)`` hands each new file to
+``foreachBatch`` once. What a batch does is decided by content, never by its
+batch id: ids restart with a lost checkpoint, contents don't. New events are
+those whose key the sink does not hold, and folding an event into the history
+twice changes nothing; so a replay, a lost checkpoint or a batch of old and new
+files all end in the same tables.
+
+A table is a set of immutable folders and a manifest, a small text file that
+names those that count. A batch writes its folders under names that were never used
+before and then creates the next manifest, which fails if it exists. That one step
+publishes all of the batch; nothing is renamed, and what a crashed attempt
+left is named by no manifest. Small folders are compacted, folders that the
+last manifests don't name are removed.
 """
 
 from __future__ import annotations
 
-import os
+import json
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +30,10 @@ from ..operators.sinks import new_rows
 from ..session import scratch_path
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+FACT_SCHEMA = "event_id bigint, user_id bigint, time_key int, event_type string, value double, event_date date"
+MANIFESTS_KEPT = 5
+PARTS_BEFORE_COMPACTION = 32
+ROWS_PER_BUCKET = 1_000_000
 
 
 def read_event_stream(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
@@ -42,157 +51,190 @@ def event_fact_rows(events: DataFrame) -> DataFrame:
                          "event_type", "value")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", "", 1))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+@dataclass
+class Manifest:
+    """The folders of a table: part name -> where it is, and the table's settings."""
+    version: int = 0
+    parts: dict[str, str] = field(default_factory=dict)
+    settings: dict[str, int] = field(default_factory=dict)
+
+
+class ManifestTable:
+    """Immutable folders under ``base``/data, named by ``base``/_manifest/<version>."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, p: str):
+        return self.jvm.org.apache.hadoop.fs.Path(p)
+
+    def _versions(self) -> list[int]:
+        root = self._path(f"{self.base}/_manifest")
+        if not self.fs.exists(root):
+            return []
+        return sorted(int(s.getPath().getName()) for s in self.fs.listStatus(root))
+
+    def read(self) -> Manifest:
+        versions = self._versions()
+        if not versions:
+            return Manifest()
+        lines = self.spark.read.text(f"{self.base}/_manifest/{versions[-1]}").collect()
+        found = json.loads("".join(r.value for r in lines))
+        return Manifest(versions[-1], found["parts"], found["settings"])
+
+    def new_folder(self) -> str:
+        return f"data/{uuid.uuid4().hex}"
+
+    def publish(self, last: Manifest, parts: dict[str, str], settings: dict[str, int] | None = None) -> None:
+        """The one step that makes a batch visible; fails if another writer was faster."""
+        self.fs.mkdirs(self._path(f"{self.base}/_manifest"))
+        body = json.dumps({"parts": parts, "settings": settings or last.settings}).encode()
+        out = self.fs.create(self._path(f"{self.base}/_manifest/{last.version + 1}"), False)
+        try:
+            out.write(bytearray(body))
+        finally:
+            out.close()
+        self._expire()
+
+    def _expire(self) -> None:
+        """Old manifests go, and with them the folders that no kept manifest names."""
+        versions = self._versions()
+        old, kept = versions[:-MANIFESTS_KEPT], versions[-MANIFESTS_KEPT:]
+        if not old:
+            return
+        named: set[str] = set()
+        for v in kept:
+            lines = self.spark.read.text(f"{self.base}/_manifest/{v}").collect()
+            named |= {p.split("/")[1] for p in json.loads("".join(r.value for r in lines))["parts"].values()}
+        for v in old:
+            self.fs.delete(self._path(f"{self.base}/_manifest/{v}"), False)
+        for s in self.fs.listStatus(self._path(f"{self.base}/data")):
+            if s.getPath().getName() not in named:
+                self.fs.delete(s.getPath(), True)
+
+    def load(self, schema: str, paths: list[str], base: str = "data") -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.base}/{p}" for p in paths])
+
+
+# -- M1: append ------------------------------------------------------------------
+def _load_fact(table: ManifestTable, manifest: Manifest) -> DataFrame:
+    """The fact's rows; each part is partitioned by event date."""
+    parts = [table.spark.read.option("basePath", f"{table.base}/{p}").schema(FACT_SCHEMA).parquet(f"{table.base}/{p}")
+             for p in manifest.parts.values()]
+    out = table.spark.createDataFrame([], FACT_SCHEMA)
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
+def event_fact(spark: SparkSession, sink: str) -> DataFrame:
+    """What has been published of the event fact."""
+    table = ManifestTable(spark, sink)
+    return _load_fact(table, table.read())
+
+
+def append_events(spark: SparkSession, sink: str, batch: DataFrame) -> None:
+    """Append the events of ``batch`` that the sink does not hold, each once.
+
+    An event's date never changes, so the anti join only reads the sink's
+    partitions of the batch's dates (a semi join that Spark turns into a
+    partition filter)."""
+    table = ManifestTable(spark, sink)
+    last = table.read()
+    rows = event_fact_rows(batch).persist()
+    try:
+        held = _load_fact(table, last).select("event_date", "event_id")
+        held = held.join(rows.select("event_date").distinct(), "event_date", "left_semi")
+        fresh = new_rows(held, rows, ["event_date", "event_id"])
+        folder = table.new_folder()
+        fresh.write.partitionBy("event_date").parquet(f"{table.base}/{folder}")
+    finally:
+        rows.unpersist()
+    parts = {**last.parts, folder: folder}
+    if len(parts) > PARTS_BEFORE_COMPACTION:
+        whole = table.new_folder()
+        (_load_fact(table, Manifest(0, parts)).hint("rebalance", "event_date")
+         .write.partitionBy("event_date").parquet(f"{table.base}/{whole}"))
+        parts = {whole: whole}
+    table.publish(last, parts)
 
 
 def stream_events_to_fact(spark: SparkSession, source_dir: str, sink: str | None = None,
-                          files_per_batch: int | None = None) -> str:
-    """M1 + M3: append every new event to the event fact exactly once.
-
-    Each batch writes only rows whose event is not in the sink yet (left
-    anti join), into a directory named by its batchId; a replayed batch
-    finds its directory and skips. The sink is partitioned by event date
-    and an event's date never changes, so the anti join runs on
-    (event_date, event_id) against only the sink partitions of the dates
-    present in the batch (a semi join with the batch's dates, which
-    dynamic partition pruning turns into a partition filter), not against
-    the whole history."""
+                          files_per_batch: int | None = None, checkpoint: str | None = None,
+                          glob: str = "events*.parquet") -> str:
+    """M1 + M3: append every new event to the event fact exactly once."""
     sink = sink or scratch_path(spark, "fact_events")
-    checkpoint = sink + "_checkpoint"
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = f"{sink}/batch={batch_id}"
-        if _exists(spark, out):
-            return
-        rows = event_fact_rows(batch).persist()
-        if _exists(spark, sink):
-            # the batch's dates (a handful) prune the sink's date partitions
-            dates = F.broadcast(rows.select("event_date").distinct())
-            target = (spark.read.parquet(sink).select("event_date", "event_id")
-                      .join(dates, "event_date", "left_semi"))
-            fresh = new_rows(target, rows, ["event_date", "event_id"])
-        else:
-            fresh = rows
-        tmp = f"{sink}/_tmp-{batch_id}"   # '_' prefix: invisible to readers
-        fresh.write.mode("overwrite").partitionBy("event_date").parquet(tmp)
-        rows.unpersist()
-        _rename(spark, tmp, out)
-
-    q = (read_event_stream(spark, source_dir, files_per_batch=files_per_batch).writeStream
-         .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    q = (read_event_stream(spark, source_dir, glob, files_per_batch).writeStream
+         .foreachBatch(lambda batch, _: append_events(spark, sink, batch))
+         .option("checkpointLocation", checkpoint or sink + "_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return sink
 
 
-STATE_BUCKETS = 16
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
+# -- M2: type-2 history ------------------------------------------------------------
+KEYS, ATTRS, ORDER = ["user_id"], ["status"], ["ts", "event_id"]
+VERSIONS_SCHEMA = ("user_id bigint, status string, entity_key bigint, version_key bigint, valid_from date, "
+                   "valid_to date, is_current boolean")
+DAILY_SCHEMA = "user_id bigint, valid_from date, status string, __order struct<ts:timestamp_ntz,event_id:bigint>"
 
-def _committed(spark: SparkSession, base: str) -> set[int]:
-    fs, root = _fs(spark, f"{base}/_commits")
-    if not fs.exists(root):
-        return set()
-    return {int(st.getPath().getName()) for st in fs.listStatus(root)}
 
+def _bucket(n: int) -> F.Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in KEYS]), F.lit(n)).cast("int")
 
-def _latest_per_bucket(spark: SparkSession, base: str, before: int | None = None) -> dict[int, str]:
-    """bucket -> path of its newest committed snapshot (older than ``before``)."""
-    done = _committed(spark, base)
-    fs, root = _fs(spark, f"{base}/state")
-    out: dict[int, tuple[int, str]] = {}
-    if not fs.exists(root):
-        return {}
-    for b in fs.listStatus(root):
-        name = b.getPath().getName()
-        if not name.startswith("bucket="):
-            continue
-        bucket = int(name.split("=")[1])
-        for v in fs.listStatus(b.getPath()):
-            bid = int(v.getPath().getName().split("=")[1])
-            if bid in done and (before is None or bid < before) and bid >= out.get(bucket, (-1, ""))[0]:
-                out[bucket] = (bid, f"{base}/state/{name}/batch={bid}")
-    return {k: p for k, (_, p) in out.items()}
 
+def fold_events(spark: SparkSession, base: str, batch: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
+    """Fold a batch of events, late ones too, into the history.
 
-def stream_scd2_history(spark: SparkSession, source_dir: str, base: str | None = None,
-                        files_per_batch: int | None = None, buckets: int = STATE_BUCKETS) -> str:
-    """M2: type-2 history of each user's status maintained per micro-batch.
-
-    The state (versions + per-day points) is split into ``buckets`` by a
-    hash of the key, stored as ``state/bucket=<b>/batch=<id>``. A batch
-    reads and rewrites only the buckets its keys fall in (``scd2_apply_log``
-    on those buckets), so its cost follows the batch, not the whole state.
-    After all its buckets are in place the batch writes ``_commits/<id>``;
-    readers and later batches only see committed snapshots, so a failed
-    attempt is invisible and a replayed batch is a no-op. Late (back-dated)
-    events are folded in exactly."""
-    base = base or scratch_path(spark, "status_history")
-    keys, attrs, order = ["user_id"], ["status"], ["ts", "event_id"]
-    bucket_of = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch_id in _committed(spark, base):
+    The state is kept in buckets by key; a batch reads and rewrites the
+    buckets of its own keys only. Their number follows the state: it doubles
+    when a bucket has grown beyond ``rows_per_bucket`` daily points, so a batch's cost stays in
+    proportion to its keys however large the state is."""
+    table = ManifestTable(spark, base)
+    last = table.read()
+    n = last.settings.get("buckets", 1)
+    split = last.settings.get("largest", 0) > rows_per_bucket
+    n = 2 * n if split else n
+    log = batch.select("user_id", "ts", "event_id", F.col("event_type").alias("status")).persist()
+    try:
+        touched = [r[0] for r in log.select(_bucket(n).alias("b")).distinct().collect()]     # n values at most
+        if not touched:
             return
-        log = batch.select("user_id", "ts", "event_id", F.col("event_type").alias("status")) \
-                   .withColumn("__bucket", bucket_of).persist()
-        # touched bucket ids: at most ``buckets`` values, bounded by construction
-        touched = sorted(r[0] for r in log.select("__bucket").distinct().collect())
-        prev = _latest_per_bucket(spark, base, before=batch_id)
-        old = [prev[b] for b in touched if b in prev]
+        old = list(last.parts.values()) if split else [last.parts[k] for b in touched if (k := str(b)) in last.parts]
         day = F.col("ts").cast("date")
-        log = log.drop("__bucket")
-        if old:
-            versions, daily = scd.scd2_apply_log(spark.read.parquet(*[f"{p}/versions" for p in old]),
-                                                 spark.read.parquet(*[f"{p}/daily" for p in old]),
-                                                 log, keys, attrs, day, order)
-        else:
-            daily = scd.daily_points(log, keys, attrs, day, order)
-            versions = scd.versions_from_daily(daily, keys, attrs)
-        tmp = f"{base}/_tmp-{batch_id}"
-        versions.withColumn("bucket", bucket_of).write.mode("overwrite").partitionBy("bucket") \
-                .parquet(f"{tmp}/versions")
-        daily.withColumn("bucket", bucket_of).write.mode("overwrite").partitionBy("bucket") \
-             .parquet(f"{tmp}/daily")
-        fs, _ = _fs(spark, base)
-        jvm = spark.sparkContext._jvm
-        for b in touched:
-            dst = f"{base}/state/bucket={b}/batch={batch_id}"
-            d = jvm.org.apache.hadoop.fs.Path(dst)
-            if fs.exists(d):            # left over by a failed attempt (never committed)
-                fs.delete(d, True)
-            fs.mkdirs(d)
-            for part in ("versions", "daily"):
-                src = jvm.org.apache.hadoop.fs.Path(f"{tmp}/{part}/bucket={b}")
-                fs.rename(src, jvm.org.apache.hadoop.fs.Path(f"{dst}/{part}"))
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{base}/_commits/{batch_id}"))
+        versions = table.load(VERSIONS_SCHEMA, [p.replace("/daily/", "/versions/") for p in old])
+        daily = table.load(DAILY_SCHEMA, old)
+        versions, daily = scd.scd2_apply_log(versions, daily, log, KEYS, ATTRS, day, ORDER)
+        folder = table.new_folder()
+        for name, rows in (("versions", versions), ("daily", daily)):
+            rows.withColumn("bucket", _bucket(n)).write.partitionBy("bucket").parquet(f"{table.base}/{folder}/{name}")
+    finally:
         log.unpersist()
+    written = {r.bucket: r.n for r in spark.read.parquet(f"{table.base}/{folder}/daily")
+               .groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    parts = {} if split else dict(last.parts)
+    parts |= {str(b): f"{folder}/daily/bucket={b}" for b in written}
+    largest = max([*written.values(), 0 if split else last.settings.get("largest", 0)])
+    table.publish(last, parts, {"buckets": n, "largest": largest})
+
 
-    q = (read_event_stream(spark, source_dir, files_per_batch=files_per_batch).writeStream
-         .foreachBatch(apply).option("checkpointLocation", base + "/_checkpoint")
-         .trigger(availableNow=True).start())
+def stream_scd2_history(spark: SparkSession, source_dir: str, base: str | None = None,
+                        files_per_batch: int | None = None, checkpoint: str | None = None,
+                        rows_per_bucket: int = ROWS_PER_BUCKET, glob: str = "events*.parquet") -> str:
+    """M2: type-2 history of each user's status maintained per micro-batch."""
+    base = base or scratch_path(spark, "status_history")
+    q = (read_event_stream(spark, source_dir, glob, files_per_batch).writeStream
+         .foreachBatch(lambda batch, _: fold_events(spark, base, batch, rows_per_bucket))
+         .option("checkpointLocation", checkpoint or base + "_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return base
 
 
 def current_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """The current type-2 state: every bucket's newest committed versions."""
-    paths = _latest_per_bucket(spark, base)
-    return spark.read.parquet(*[f"{p}/versions" for p in paths.values()])
-
-
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    """Publish a finished batch directory atomically (a rename)."""
-    jvm = spark.sparkContext._jvm
-    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
+    """The published type-2 state."""
+    table = ManifestTable(spark, base)
+    paths = [p.replace("/daily/", "/versions/") for p in table.read().parts.values()]
+    return table.load(VERSIONS_SCHEMA, paths)

@@ -1,52 +1,102 @@
-"""Streaming (available-now micro-batches) must equal the batch result,
-over several micro-batches and after a replay."""
+"""Streams must equal the batch result over several micro-batches, after a lost
+checkpoint, a crash, and with events that come twice or late."""
 import os
-import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from dwspark.plans import history
 from dwspark.streaming import microbatch as MB
 
 
-def _split_events(spark, sf_small):
-    """Copy the fixture's events into 4 files by day (the stream's input)."""
-    src = tempfile.mkdtemp(prefix="events-src-")
-    ev = spark.read.parquet(f"{sf_small}/events.parquet")
-    bucket = F.floor((F.dayofmonth(F.col("ts").cast("date")) - 1) / 8)
-    for b in range(4):
-        part = ev.filter(bucket == b)
-        tmp = os.path.join(src, f"_part{b}")
-        part.coalesce(1).write.parquet(tmp)
+@pytest.fixture
+def events(spark, sf_small):
+    return spark.read.parquet(f"{sf_small}/events.parquet")
+
+
+def _deliver(events, folder, *names):
+    """Files of the events of some quarters of the month."""
+    os.makedirs(folder, exist_ok=True)
+    for b in names:
+        tmp = f"{folder}/_part{b}"
+        events.filter(F.floor((F.dayofmonth(F.col("ts").cast("date")) - 1) / 8) == b).coalesce(1).write.parquet(tmp)
         f = [x for x in os.listdir(tmp) if x.endswith(".parquet")][0]
-        os.rename(os.path.join(tmp, f), os.path.join(src, f"events-{b}.parquet"))
-    return src
-
-
-def test_stream_fact_equals_batch_and_replay_is_noop(spark, sf_small):
-    src = _split_events(spark, sf_small)
-    sink = os.path.join(tempfile.mkdtemp(prefix="sink-"), "fact_events")
-    MB.stream_events_to_fact(spark, src, sink=sink, files_per_batch=1)
-    got = spark.read.parquet(sink)
-    assert got.select("batch").distinct().count() == 4          # four micro-batches
-    expected = MB.event_fact_rows(spark.read.parquet(f"{sf_small}/events.parquet"))
-    assert got.count() == expected.count() == got.select("event_id").distinct().count()
-    # a new query over the same input (lost checkpoint = full replay) adds nothing
-    MB.stream_events_to_fact(spark, src, sink=sink + "_again", files_per_batch=2)
-    assert spark.read.parquet(sink + "_again").count() == expected.count()
-
-
-def test_stream_scd2_over_batches_equals_change_log(spark, sf_small):
-    src = _split_events(spark, sf_small)
-    base = os.path.join(tempfile.mkdtemp(prefix="hist-"), "h")
-    MB.stream_scd2_history(spark, src, base=base, files_per_batch=1)
-    got = MB.current_snapshot(spark, base)
-    whole = history.versions(spark, sf_small)
-    snaps = [(b, v) for b in os.listdir(os.path.join(base, "state")) if b.startswith("bucket=")
-             for v in os.listdir(os.path.join(base, "state", b))]
-    assert {v for _, v in snaps} == {f"batch={i}" for i in range(4)}        # every batch committed
-    assert sorted(os.listdir(os.path.join(base, "_commits"))) == ["0", "1", "2", "3"]
-    assert all(sum(1 for _, v in snaps if v == f"batch={i}") <= MB.STATE_BUCKETS for i in range(4))
-    cols = ["user_id", "status", "valid_from", "valid_to", "is_current", "version_key"]
-    assert sorted(tuple(r) for r in got.select(cols).collect()) == \
-        sorted(tuple(r) for r in whole.select(cols).collect())
+        os.rename(f"{tmp}/{f}", f"{folder}/events-{b}.parquet")
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
+
+
+def _versions(df):
+    return _rows(df.select("user_id", "status", "valid_from", "valid_to", "is_current", "version_key"))
+
+
+def test_fact_after_a_lost_checkpoint_with_old_and_new_files(spark, events, sf_small, tmp_path):
+    src, sink = str(tmp_path / "src"), str(tmp_path / "fact")
+    _deliver(events, src, 0, 1)
+    MB.stream_events_to_fact(spark, src, sink, files_per_batch=1, checkpoint=str(tmp_path / "c1"))
+    _deliver(events, src, 2, 3)
+    MB.stream_events_to_fact(spark, src, sink, files_per_batch=4, checkpoint=str(tmp_path / "c2"))
+    want = _rows(MB.event_fact_rows(events))
+    assert _rows(MB.event_fact(spark, sink)) == want
+    MB.stream_events_to_fact(spark, src, sink, files_per_batch=1, checkpoint=str(tmp_path / "c3"))   # all of it again
+    assert _rows(MB.event_fact(spark, sink)) == want
+
+
+def test_history_after_a_lost_checkpoint_late_events_and_split_buckets(spark, events, sf_small, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path / "history")
+    _deliver(events, src, 2, 0)                                                                       # late ones follow
+    MB.stream_scd2_history(spark, src, base, files_per_batch=1, checkpoint=str(tmp_path / "c1"), rows_per_bucket=40)
+    _deliver(events, src, 3, 1)
+    MB.stream_scd2_history(spark, src, base, files_per_batch=2, checkpoint=str(tmp_path / "c2"), rows_per_bucket=40)
+    assert _versions(MB.current_snapshot(spark, base)) == _versions(history.versions(spark, sf_small))
+    assert MB.ManifestTable(spark, base).read().settings["buckets"] >= 4
+
+
+def test_events_twice_in_one_batch_count_once(spark, events, tmp_path):
+    sink = str(tmp_path / "fact")
+    MB.append_events(spark, sink, events.unionByName(events.limit(20)))
+    MB.append_events(spark, sink, events.limit(50))
+    assert _rows(MB.event_fact(spark, sink)) == _rows(MB.event_fact_rows(events))
+
+
+def test_a_crash_before_publishing_leaves_nothing_behind(spark, events, tmp_path, monkeypatch):
+    sink, base = str(tmp_path / "fact"), str(tmp_path / "history")
+    half = events.filter("event_id % 2 = 0")
+
+    def crash(*a, **k):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(MB.ManifestTable, "publish", crash)
+        for step in (lambda: MB.append_events(spark, sink, events), lambda: MB.fold_events(spark, base, events)):
+            with pytest.raises(RuntimeError):
+                step()
+    assert MB.event_fact(spark, sink).count() == 0 and MB.current_snapshot(spark, base).count() == 0
+    MB.append_events(spark, sink, half)
+    MB.append_events(spark, sink, events)
+    MB.fold_events(spark, base, half)
+    MB.fold_events(spark, base, events)
+    assert _rows(MB.event_fact(spark, sink)) == _rows(MB.event_fact_rows(events))
+    log = events.select("user_id", "ts", "event_id", F.col("event_type").alias("status"))
+    want = MB.scd.scd2_from_change_log(log, MB.KEYS, MB.ATTRS, F.col("ts").cast("date"), MB.ORDER)
+    assert _versions(MB.current_snapshot(spark, base)) == _versions(want)
+
+
+def test_two_writers_cannot_publish_the_same_version(spark, events, tmp_path):
+    table = MB.ManifestTable(spark, str(tmp_path / "t"))
+    first = table.read()
+    table.publish(first, {"a": "data/a"})
+    with pytest.raises(Exception, match="exist"):
+        table.publish(first, {"b": "data/b"})
+    assert table.read().parts == {"a": "data/a"}
+
+
+def test_old_folders_expire_and_small_ones_are_compacted(spark, events, tmp_path, monkeypatch):
+    monkeypatch.setattr(MB, "PARTS_BEFORE_COMPACTION", 3)
+    sink = str(tmp_path / "fact")
+    for k in range(9):
+        MB.append_events(spark, sink, events.filter(f"event_id % 9 = {k}"))
+    assert _rows(MB.event_fact(spark, sink)) == _rows(MB.event_fact_rows(events))
+    assert len(os.listdir(f"{sink}/data")) <= 3 * MB.MANIFESTS_KEPT
+    assert len([f for f in os.listdir(f"{sink}/_manifest") if not f.startswith(".")]) == MB.MANIFESTS_KEPT
