@@ -39,6 +39,12 @@ def new_rows(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
     return batch.dropDuplicates(key).join(target.select(*key).distinct(), key, "left_anti")
 
 
+def items_of_new(target: DataFrame, batch: DataFrame, header: list[str]) -> DataFrame:
+    """All items of the headers that the target does not hold yet. Items have
+    no key of their own: a header's items are loaded together or not at all."""
+    return batch.join(target.select(*header).distinct(), header, "left_anti")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Materialize a delta once (staging) and read it back, so the many
     downstream jobs of a batch do not re-extract from the sources."""
