@@ -13,10 +13,12 @@ file system that Spark writes to; a lost task leaves no half-written record.
 
 from __future__ import annotations
 
+import os
 import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,37 +31,89 @@ from .common import ship
 
 BLOCK = 65_536             # ids in a block
 RECORD = 524_288           # ids after which a record ends with the document at hand
-WORDS_HELD = 400_000       # bound on the word cache of a Python worker
+WORDS_HELD = 1_500_000      # bound on the word cache of a Python worker
+TEXTS = 500                # encoded at a time
 RECORD_SCHEMA = ("part int, record int, first long, ids long, doc_ids array<long>, lengths array<long>, "
                  "block int, unit string, planes array<int>, payload binary")
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# A byte-level vocabulary writes a byte as a letter: printable ones as they are in Latin-1, the others, in order, from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+SPACE_LETTER = chr(BYTE_LETTERS[0x20])
+RUN = re.compile(r" \s|\s ")         # a space next to other white space
 
 
 class Encoder:
     """Ids of texts. A text is cut at each space that stands between two other
     characters that are not white space; the byte-level pre-tokenizer always
     starts a new word there, so the pieces encode to the same ids as the whole
-    text. Most pieces occur again and again and are encoded once."""
+    text. Most pieces occur again and again; each is encoded once and its ids
+    are kept as bytes, up to WORDS_HELD pieces."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks use the cores already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.spaced: dict[str, list[int]] = {}          # ids of a piece with its space before it
+        self.held: dict[str, bytes] = {}          # ids of a piece with its space before it
+        self.trails: dict[str, bytes] = {}        # ids of a run of punctuation
+        self.model = self.tokenizer.model
+        self.by_model = all(self._model_ids(w) == self._bytes([" " + w])[0] for w in ("hello", "Straße", "été", "слово", "語"))
+        self.line = int(np.frombuffer(self._bytes(["\n"])[0], np.uint32)[0])
+        self.by_line = self._bytes([" 1a\n b2"])[0] == b"".join(self._bytes([" 1a", "\n", " b2"]))
+
+    def _batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _bytes(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, np.uint32).tobytes() for ids in self._batch(texts)]
+
+    def _model_ids(self, word: str) -> bytes:
+        """Ids of a space and a run of letters, which the pre-tokenizer never splits."""
+        letters = SPACE_LETTER + (word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS))
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Letters, with or without punctuation behind them, go to the vocabulary's model at once. Other
+        pieces without white space are encoded many at a time, a line feed between them: it is an id of its own."""
+        left = []
+        for p in pieces:
+            word = p.rstrip(string.punctuation)
+            if self.by_model and word.isalpha():
+                ids = self._model_ids(word)
+                if len(word) < len(p):
+                    trail = p[len(word):]
+                    if trail not in self.trails:
+                        self.trails[trail] = self._bytes([trail])[0]
+                    ids += self.trails[trail]
+                self.held[p] = ids
+            else:
+                left.append(p)
+        plain = [p for p in left if self.by_line and p.split() == [p]]
+        for i in range(0, len(plain), 10_000):
+            some = plain[i:i + 10_000]
+            ids = np.frombuffer(self._bytes([" " + "\n ".join(some)])[0], np.uint32)
+            ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
+            raw, at = ids.tobytes(), 0
+            for piece, end in zip(some, ends, strict=True):
+                self.held[piece] = raw[4 * at:4 * end]
+                at = end + 1
+        known = set(plain)
+        rest = [p for p in left if p not in known]
+        self.held.update(zip(rest, self._bytes([" " + p for p in rest]), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [CUT.split(t) for t in texts]
-        if len(self.spaced) > WORDS_HELD:
-            self.spaced.clear()
-        spaced, batch = self.spaced, self.tokenizer.encode_batch_fast
-        new = list({p for pieces in cut for p in pieces[1:] if p not in spaced})
-        for i in range(0, len(new), 10_000):
-            for piece, e in zip(new[i:i + 10_000], batch([" " + p for p in new[i:i + 10_000]], add_special_tokens=False), strict=True):
-                spaced[piece] = e.ids
-        heads = batch([pieces[0] for pieces in cut], add_special_tokens=False)
-        return [np.fromiter(chain(head.ids, chain.from_iterable(map(spaced.__getitem__, pieces[1:]))), np.uint32)
-                for head, pieces in zip(heads, cut, strict=True)]
+        cut = [CUT.split(t) if RUN.search(t) else t.split(" ") for t in texts]
+        heads = self._batch([pieces[0] for pieces in cut])
+        tails = [pieces[1:] for pieces in cut]
+        if len(self.held) > WORDS_HELD:
+            self.held.clear()
+            self.trails.clear()
+        self._learn(list(set().union(*tails).difference(self.held)))
+        ids = self.held.__getitem__
+        return [np.concatenate((np.array(head, np.uint32), np.frombuffer(b"".join(map(ids, tail)), np.uint32)))
+                for head, tail in zip(heads, tails, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -132,8 +186,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
         for batch in batches:
             part = int(batch["part"].iloc[0]) if len(batch) else part
             texts, names = batch["text"].tolist(), batch["doc_id"].astype("Int64").tolist()
-            for i in range(0, len(texts), 64):
-                for name, x in zip(names[i:i + 64], enc.encode(texts[i:i + 64]), strict=True):
+            for i in range(0, len(texts), TEXTS):
+                for name, x in zip(names[i:i + TEXTS], enc.encode(texts[i:i + TEXTS]), strict=True):
                     doc_ids.append(None if name is pd.NA else name)
                     ids.append(np.append(x, np.uint32(end_id)))
                     n += len(x) + 1
