@@ -132,3 +132,39 @@ def test_snapshot_write_and_staging_read_back(spark):
     assert p1 != p2                                   # every refresh is a new snapshot
     assert sorted(tuple(r) for r in spark.read.parquet(p1).collect()) == [(1, "a"), (2, "b")]
     assert stage(df, "delta").count() == 2
+
+
+def test_cards_sort_and_put_nulls_where_they_say(spark, sf_small):
+    """Order by a measure, by a hidden key, nulls first."""
+    from dwspark.plans import dashboards as D
+    from dwspark.plans.marts import Marts
+    m = Marts(spark, sf_small)
+    months = [r.month for r in D.sales_by_month(m).collect()]
+    assert months == sorted(months) and len(months) == 12
+    totals = [r.total_value for r in D.sales_by_category(m).collect()]
+    assert totals == sorted(totals, reverse=True)
+    carriers = Marts(spark, sf_small)
+    carriers.__dict__["fact_deliveries"] = m.fact_deliveries.withColumn(
+        "freight", F.when(F.col("carrier_key") != F.lit(-1), F.col("freight")))
+    freights = [r.avg_freight for r in D.deliveries_freight_by_carrier(carriers).collect()]
+    assert freights[0] is None and freights[1:] == sorted(freights[1:], reverse=True)
+
+
+def test_a_fact_outside_the_calendar_counts_but_has_no_month(spark, sf_small):
+    from dwspark.plans import dashboards as D
+    from dwspark.plans.marts import Marts
+    m = Marts(spark, sf_small)
+    fact = m.fact_sales_core
+    first = fact.limit(1).withColumn("sale_date", F.to_date(F.lit("1901-01-01"))).withColumn("time_key", F.lit(19010101))
+    m.__dict__["fact_sales_core"] = fact.unionByName(first)
+    by_month = {r.month: r.total_value for r in D.sales_by_month(m).collect()}
+    assert None in by_month and sum(by_month.values()) == D.sales_total(m).first().total_value
+
+
+def test_ratio_is_exact_beyond_doubles(spark):
+    from decimal import Decimal
+
+    from dwspark.operators.aggregates import ratio
+    df = spark.createDataFrame([(Decimal("90071992547409930.05"), 2), (Decimal("1.00"), 0), (Decimal("-0.01"), 4)], "n decimal(28,2), d long")
+    got = [r.q for r in df.select(ratio(F.col("n"), F.col("d"), 2).alias("q")).collect()]
+    assert got[0] == Decimal("45035996273704965.03") and got[1] is None and got[2] == 0
