@@ -31,6 +31,7 @@ ROUNDS, SURE, MOST_NEW = 3, 0.97, 400
 ACCEPT = 0.3                       # a document goes only if good quality is that unlikely
 FEW = 300                          # grams; the vector of a text with fewer is shorter, so its score stays near the mean
 CONTENT_BITS, META_BITS = 11, 8
+PARTS = 10**15                     # of the hash range, fine enough for a sample of any table
 PIECE = 1 << 20                    # bytes of a text that are counted at a time
 
 
@@ -188,7 +189,7 @@ def _sampled(df: DataFrame, most: int, seed: int) -> DataFrame:
     n = df.count()
     if n <= most:
         return df
-    return df.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    return df.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PARTS)) < int(PARTS * most / n))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_labelled: int = MAX_LABELLED,
@@ -205,7 +206,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     if min((known["y"] == 0).sum(), (known["y"] == 1).sum()) < 8:
         return None
     n = docs.count()
-    others = view.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(1_000_000)) < int(1_000_000 * min(1, max_pool / n)))
+    others = view.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(PARTS)) < int(PARTS * min(1, max_pool / max(n, 1))))
     pool = _featured(others.join(labels.select("doc_id"), "doc_id", "left_anti"), []).limit(2 * max_pool).toPandas()
     known = known.sort_values(["doc_id", "meta"]).reset_index(drop=True)
     pool = pool.sort_values(["doc_id", "meta"]).reset_index(drop=True)
