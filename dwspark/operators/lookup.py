@@ -40,14 +40,12 @@ def first_wins(df: DataFrame, keys: list[str], values: list[str], order: Column)
 
 
 def attach_key(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], key_col: str,
-               out_col: str, default: int | None = None, broadcast: bool = False) -> DataFrame:
+               out_col: str, default: int | None = None) -> DataFrame:
     """Left join ``fact`` to ``dim`` on (fact column, dim column) pairs and
     add ``out_col`` = the dimension key (``default`` where nothing matched).
-    Set ``broadcast`` only for dimensions whose size is bounded by design."""
+    Whether the dimension is broadcast is left to Spark's size check."""
     d = dim.select(*[F.col(dc).alias(f"__k{i}") for i, (_, dc) in enumerate(on)],
                    F.col(key_col).alias("__key"))
-    if broadcast:
-        d = F.broadcast(d)
     cond = [fact[fc] == d[f"__k{i}"] for i, (fc, _) in enumerate(on)]
     j = fact.join(d, cond, "left")
     key = F.col("__key") if default is None else F.coalesce(F.col("__key"), F.lit(default).cast("bigint"))

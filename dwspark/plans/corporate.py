@@ -35,6 +35,28 @@ class Corporate:
         self.src = src
 
     # -- geography ---------------------------------------------------------
+    @staticmethod
+    def _free_text(df: DataFrame, id_col, addr_type, rank: int, num) -> DataFrame:
+        """Conformed addresses of the wholesale source, whose geography is free text."""
+        region = F.col("region")
+        return df.select(
+            F.lit(SRC_WHOLESALE).alias("source_system"),
+            id_col.alias("address_id"),
+            F.lit(addr_type).cast("string").alias("address_type"),
+            F.col("address").alias("street"), F.col("postal_code"),
+            F.lit(None).cast("string").alias("district"),
+            R.or_default(F.col("country"), R.NOT_INFORMED).alias("country"),
+            R.or_default(region, R.NOT_INFORMED).alias("state_name"),
+            F.substring(R.or_default(region, R.STATE_CODE_DEFAULT), 1, 10).alias("state_code"),
+            R.or_default(F.col("city"), R.NOT_INFORMED).alias("city"),
+            region.alias("city_region"),
+            _order(rank, num).alias("geo_order"))
+
+    @cached_property
+    def employee_addresses(self) -> DataFrame:
+        return self._free_text(self.src.wholesale_employees, F.concat(F.lit("EMP-"), F.col("employee_id")),
+                               R.ADDRESS_TYPE_BUSINESS, _RANK_EMPLOYEE, F.col("employee_id"))
+
     @cached_property
     def address_inputs(self) -> DataFrame:
         """Every address of every source in one conformed shape."""
@@ -49,26 +71,9 @@ class Corporate:
             F.col("city"), F.col("city_region"),
             _order(_RANK_RETAIL, F.col("address_id")).alias("geo_order"))
 
-        def free_text(df: DataFrame, id_col, addr_type, rank: int, num) -> DataFrame:
-            region = F.col("region")
-            return df.select(
-                F.lit(SRC_WHOLESALE).alias("source_system"),
-                id_col.alias("address_id"),
-                F.lit(addr_type).cast("string").alias("address_type"),
-                F.col("address").alias("street"), F.col("postal_code"),
-                F.lit(None).cast("string").alias("district"),
-                R.or_default(F.col("country"), R.NOT_INFORMED).alias("country"),
-                R.or_default(region, R.NOT_INFORMED).alias("state_name"),
-                F.substring(R.or_default(region, R.STATE_CODE_DEFAULT), 1, 10).alias("state_code"),
-                R.or_default(F.col("city"), R.NOT_INFORMED).alias("city"),
-                region.alias("city_region"),
-                _order(rank, num).alias("geo_order"))
-
-        wholesale = free_text(s.wholesale_customers, F.col("customer_id"), None, _RANK_WHOLESALE,
-                              F.col("customer_id"))
-        employees = free_text(s.wholesale_employees,
-                              F.concat(F.lit("EMP-"), F.col("employee_id")), R.ADDRESS_TYPE_BUSINESS,
-                              _RANK_EMPLOYEE, F.col("employee_id"))
+        wholesale = self._free_text(s.wholesale_customers, F.col("customer_id"), None, _RANK_WHOLESALE,
+                                    F.col("customer_id"))
+        employees = self.employee_addresses
         suppliers = self.supplier_master.select(
             F.lit(SRC_RETAIL).alias("source_system"),
             F.concat(F.lit("SUP-"), F.col("supplier_id").cast("string")).alias("address_id"),

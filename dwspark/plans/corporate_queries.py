@@ -11,7 +11,7 @@ from ..functions.keys import surrogate_key_sql as K
 from ..operators.lookup import resolve_lookup
 from ..oracle.binding import with_binding
 from ..sources.readers import sf_table
-from .marts import Marts
+from .marts import Marts, staged_marts
 
 
 def _m(spark: SparkSession, sf_dir: str) -> Marts:
@@ -91,7 +91,7 @@ def reconciliation_counts(spark, sf_dir) -> DataFrame:
     """A4: the before/after check -- row counts of the loaded layers in one
     row. Each count is its own aggregate; the one-row results are put side
     by side through scalar subqueries (no join)."""
-    m = _m(spark, sf_dir)
+    m = staged_marts(spark, sf_dir)
     c = m.corp
     parts = {
         "corporate_sales": c.sale_headers, "corporate_sale_items": c.sales_lines,

@@ -16,12 +16,23 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.calendar import calendar_dim, time_key
 from ..functions.keys import surrogate_key, with_unknown_member
+from ..operators.sinks import stage
 from ..sources.binding import SRC_RETAIL, SRC_WHOLESALE, SourceTables
 from .corporate import Corporate
 
 DEFAULT_AS_OF = "2001-01-01"   # age bands are computed as of this date (C12)
 
 
+def staged_marts(spark: SparkSession, sf_dir: str) -> Marts:
+    """Marts whose corporate layer is written once and read by every fact and
+    dimension: for jobs that go over many of them."""
+    m = Marts(spark, sf_dir)
+    for name in ("purchase_lines", "sales_lines", "address_inputs"):
+        m.corp.__dict__[name] = stage(getattr(m.corp, name), name)
+    m.corp.__dict__["sales_items"] = m.corp.sales_lines
+    return m
+
+
 class Marts:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, order_filter=None,
                  corp=None):
@@ -70,8 +81,9 @@ class Marts:
     def dim_employee(self) -> DataFrame:
         """Employees flattened with their address (J5: left joins) + -1."""
         e = self.corp.employees
-        addr = self.dim_address.select(F.col("source_system").alias("a_src"), F.col("address_id").alias("a_id"),
-                                       "city", "country")
+        # an address keeps its own city and country, so no other address needs to be read
+        addr = self.corp.employee_addresses.select(F.col("source_system").alias("a_src"), F.col("address_id").alias("a_id"),
+                                                   "city", "country")
         d = (e.join(addr, (e.source_system == addr.a_src) & (e.address_id == addr.a_id), "left")
               .select(surrogate_key(F.col("source_system"), F.col("employee_id")).alias("employee_key"),
                       "source_system", "employee_id", F.col("name").alias("employee_name"), "title",

@@ -13,7 +13,7 @@ from ..functions.calendar import CALENDAR_END, CALENDAR_START
 from ..operators import quality as Q
 from ..oracle.binding import with_binding
 from . import history
-from .marts import Marts
+from .marts import Marts, staged_marts
 
 UNIQUE = {  # table -> business key (the surrogate key is checked as well)
     "dim_customer": (["source_system", "customer_id"], "customer_key"),
@@ -70,7 +70,7 @@ def _u(parts: list[DataFrame]) -> DataFrame:
 
 
 def dq_unique_keys(spark: SparkSession, sf_dir: str, m=None) -> DataFrame:
-    m = m or Marts(spark, sf_dir)
+    m = m or staged_marts(spark, sf_dir)
     parts = []
     for t, (bk, sk) in UNIQUE.items():
         df = getattr(m, t)
@@ -83,7 +83,7 @@ def dq_unique_keys(spark: SparkSession, sf_dir: str, m=None) -> DataFrame:
 def dq_foreign_keys(spark: SparkSession, sf_dir: str, m=None) -> DataFrame:
     """``m``: any marts object (computed ``Marts`` by default, or the stored
     warehouse's ``StoredMarts``)."""
-    m = m or Marts(spark, sf_dir)
+    m = m or staged_marts(spark, sf_dir)
     facts: dict[str, list] = {}
     for f, fk, d, dk in FOREIGN_KEYS:
         facts.setdefault(f, []).append((fk, getattr(m, d), dk))
@@ -91,7 +91,7 @@ def dq_foreign_keys(spark: SparkSession, sf_dir: str, m=None) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Marts(spark, sf_dir)
+    m = staged_marts(spark, sf_dir)
     return _u([Q.dq_not_null(getattr(m, t), t, cols) for t, cols in NOT_NULL.items()])
 
 
@@ -101,7 +101,7 @@ def dq_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Marts(spark, sf_dir)
+    m = staged_marts(spark, sf_dir)
     by_table: dict[str, dict] = {}
     for name, (t, pred) in CHECKS_SQL.items():
         by_table.setdefault(t, {})[name] = F.expr(pred)
@@ -109,7 +109,7 @@ def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_out_of_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Marts(spark, sf_dir)
+    m = staged_marts(spark, sf_dir)
     return _u([Q.dq_out_of_calendar(getattr(m, t), t, c, CALENDAR_START, CALENDAR_END)
                for t, c in CALENDAR_DATES])
 

@@ -97,6 +97,8 @@ class StoredCorporate:
     def __getattr__(self, name: str) -> DataFrame:
         if name == "sales_items":
             return self.sales_lines            # the stored lines carry the address; pruning skips it
+        if name == "employee_addresses":
+            return self.address_inputs.filter(F.col("address_id").startswith("EMP-"))
         if name in CORPORATE:
             return self.spark.read.parquet(f"{self.path}/{name}")
         raise AttributeError(name)

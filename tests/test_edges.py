@@ -18,7 +18,7 @@ from dwspark.plans.incremental import watermark_by_source
 def test_attach_key_defaults_to_unknown_member(spark):
     fact = spark.createDataFrame([("A", "1"), ("A", "99"), ("A", None)], "src string, emp string")
     dim = spark.createDataFrame([("A", "1", 10)], "s string, id string, k bigint")
-    out = attach_key(fact, dim, [("src", "s"), ("emp", "id")], "k", "emp_key", default=-1, broadcast=True)
+    out = attach_key(fact, dim, [("src", "s"), ("emp", "id")], "k", "emp_key", default=-1)
     got = {r.emp: r.emp_key for r in out.collect()}
     assert got == {"1": 10, "99": -1, None: -1}
 

@@ -33,3 +33,22 @@ def test_period_filter_and_pruning_reach_the_scan(spark):
 def test_calendar_and_bounded_dims_are_broadcast(spark):
     p = _plan(D.deliveries_carrier_summary(Marts(spark, SF)))
     assert "BroadcastHashJoin" in p
+
+
+def _scans(df, table):
+    """Scans of a table in the physical plan before any exchange is reused."""
+    return sum(f"/{table}.parquet" in line for line in _plan(df).split("\n"))
+
+
+def test_each_fact_reads_its_lines_once(spark):
+    m = Marts(spark, SF)
+    assert _scans(m.fact_purchases, "lineitem") == 1
+    assert _scans(m.fact_deliveries, "lineitem") == 1
+    assert _scans(m.fact_sales_core, "lineitem") == 1
+    assert _scans(m.dim_employee, "lineitem") == 0
+    assert _scans(D.sales_total(m), "customer") == 0
+
+
+def test_quality_jobs_read_the_stored_layer(spark):
+    from dwspark.plans import quality_queries as QQ
+    assert _scans(QQ.dq_foreign_keys(spark, SF), "lineitem") == 0
