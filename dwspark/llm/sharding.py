@@ -28,6 +28,8 @@ def _votes(placed: DataFrame, links: DataFrame) -> DataFrame:
             .groupBy("link", "shard").agg(F.count("*").alias("members"))
             .groupBy("link").agg(F.max(F.struct("members", -F.col("shard"))).alias("best"))
             .select("link", (-F.col("best.col2")).alias("target"), F.col("best.members").alias("members")))
+    # stored: both sides of the join below are then dealt anew, and a hub with many members can be split
+    hubs = stored(hubs, "hubs")
     return (links.join(hubs, "link")
             .groupBy("row", "target").agg(F.sum("members").alias("weight"))
             .groupBy("row").agg(F.max(F.struct("weight", -F.col("target"))).alias("vote"))
