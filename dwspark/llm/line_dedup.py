@@ -14,7 +14,6 @@ of their own, which every task holds and probes before anything is sent.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
