@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-MAX_LABELLED, MAX_POOL = 6_000, 4_000
+MAX_LABELLED, MAX_POOL = 4_000, 2_000
 ROUNDS, SURE, MOST_NEW = 3, 0.97, 400
 ACCEPT = 0.3                       # a document goes only if good quality is that unlikely
 FEW = 300                          # grams; the vector of a text with fewer is shorter, so its score stays near the mean
@@ -210,7 +210,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     pool = _featured(others.join(labels.select("doc_id"), "doc_id", "left_anti"), []).limit(2 * max_pool).toPandas()
     known = known.sort_values(["doc_id", "meta"]).reset_index(drop=True)
     pool = pool.sort_values(["doc_id", "meta"]).reset_index(drop=True)
-    matrix = lambda p, c, bits: np.frombuffer(b"".join(p[c]), np.float32).reshape(len(p), 1 << bits)
+    def matrix(p: pd.DataFrame, c: str, bits: int) -> np.ndarray:
+        """The column's rows as one matrix; the column itself is given up, the driver holds each row once."""
+        out = np.empty((len(p), 1 << bits), np.float32)
+        for i, row in enumerate(p.pop(c)):
+            out[i] = np.frombuffer(row, np.float16)
+        return out
+
     held = np.array([zlib.crc32(str(d).encode()) % 4 == 0 for d in known["doc_id"]])
     y = known["y"].to_numpy(np.float32)
     if min(((y == c) & (held == h)).sum() for c in (0, 1) for h in (True, False)) == 0:
@@ -227,8 +233,8 @@ def _featured(view: DataFrame, carry: list[str]) -> DataFrame:
             for lo in range(0, len(batch), 256):
                 part = batch.iloc[lo:lo + 256]
                 yield pd.DataFrame({"doc_id": part["doc_id"].array, **{c: part[c].array for c in carry},
-                                    "content": [r.tobytes() for r in content_features(list(part["text"]))],
-                                    "meta": [r.tobytes() for r in meta_features(part)]})
+                                    "content": [r.tobytes() for r in content_features(list(part["text"])).astype(np.float16)],
+                                    "meta": [r.tobytes() for r in meta_features(part).astype(np.float16)]})
     kind = view.schema["doc_id"].dataType.simpleString()
     return view.mapInPandas(run, f"doc_id {kind}, " + "".join(f"{c} int, " for c in carry) + "content binary, meta binary")
 
