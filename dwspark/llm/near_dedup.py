@@ -1,6 +1,6 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-A signature has 64 values of 16 bits. Texts of Jaccard similarity s differ in
+A signature has 64 values of 15 bits (14 in each fourth). Texts of Jaccard similarity s differ in
 about 64 (1 - s) values; at 0.75 more than RADIUS = 30 differ with a chance of
 about 3 in 100,000. The values are split into 15 chunks of four in which one
 value may differ and one chunk of four in which none may: were there two
@@ -10,17 +10,21 @@ meets under one of the 61 keys that stand for a chunk with one value left out
 (or none). Every pair within the radius is found; pairs are then confirmed on
 the full shingle sets of the texts.
 
-Texts with the same shingle set are one node. A key with many nodes is worked
-off in stars: every node is compared with the head of its keys only, and
-linked nodes become one component; heads differ from round to round. Only nodes of different
-components that still share a key are then compared pair by pair, within the
-radius. No link between components is lost, and none within one is needed.
+Texts with the same shingle set are one node. A key with many nodes is first
+worked off in stars: every node is compared with the head of its keys only, and
+linked nodes become one component; heads differ from round to round. What is left are keys
+whose nodes lie in different components. They are compared in blocks: a unit holds two blocks
+of a key, and what leaves it is no list of pairs but a spanning forest of the
+pairs within the radius. The trees of all units form clusters, and a cluster is
+compared in blocks again, now on the full shingle sets. So no pair within the
+radius is missed, rows grow with the nodes and not with their pairs, and no unit is larger than
+two blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,11 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import row_identity, ship, stored
 from .components import components
-from .shingles import overlap, shingle_sets, signatures
+from .shingles import VALUE_BITS, overlap, overlaps, shingle_sets, signatures
 
 VALUES, PER_CHUNK, RADIUS = 64, 4, 30
-STAR_ROUNDS = 3
-_LANES = 0x0001000100010001
+STAR_ROUNDS, STAR_HEADS = 2, 8
+KEY_BLOCK, CLUSTER_BLOCK = 1000, 200    # nodes
+CARRIES = 0x4000800080008000
 
 
 def _signed(x: int) -> int:
@@ -49,13 +54,11 @@ def chunk_keys(sig: Column) -> Column:
 
 
 def differing_values(a: Column, b: Column) -> Column:
-    """Number of 16-bit values in which two signatures differ."""
-    def gather(x: Column, bits: int) -> Column:
-        return F.transform(x, lambda v: v.bitwiseOR(F.shiftrightunsigned(v, bits)))
-    x = F.zip_with(a, b, lambda i, j: i.bitwiseXOR(j))
-    for bits in (8, 4, 2, 1):           # each value's bits into its lowest
-        x = gather(x, bits)
-    return F.aggregate(x, F.lit(0), lambda n, v: n + F.bit_count(v.bitwiseAND(F.lit(_LANES))))
+    """Number of values in which two signatures differ. Each value leaves the top bit of its
+    16 free, so adding ones to all bits below carries into it just if they aren't all zero."""
+    def one(c: int) -> Column:
+        return F.bit_count((a[c].bitwiseXOR(b[c]) + F.lit(VALUE_BITS)).bitwiseAND(F.lit(CARRIES)))
+    return sum((one(c) for c in range(1, VALUES // PER_CHUNK)), one(0))
 
 
 def signature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -105,6 +108,7 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
               & (differing_values(F.col("sig_a"), F.col("sig_b")) <= RADIUS))
 
     links, of = None, None
+
     def labelled() -> DataFrame:
         if of is None:
             return members.withColumn("component", F.col("node"))
@@ -124,23 +128,101 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
         heads = (at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                        F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(r))).alias("head"))
                  .filter("lo != hi"))
+        # the first heads of a node in the round's order: the same few for a whole group, so that
+        # candidates grow with the nodes and components are shallow; what they miss is left to the units
+        order = F.struct(F.xxhash64("head.node", F.lit(r)).alias("order"), F.col("head.node").alias("b"))
         pairs = (at.join(heads, "key").filter(F.col("component") != F.col("head.component"))
-                 .select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct())
+                 .groupBy(F.col("node").alias("a")).agg(F.collect_set(order).alias("heads"))      # one per key at most
+                 .select("a", F.explode(F.slice(F.array_sort("heads"), 1, STAR_HEADS)).alias("h")).select("a", "h.b"))
         near = (pairs.join(side("a"), "a").join(side("b"), "b").filter(within)
-                .withColumn("far", differing_values(F.col("sig_a"), F.col("sig_b")))
-                .groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b")))
+                .groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(r))).alias("b")))
         if not take(_confirm(near, texts, percent)):
             break
 
     at = labelled()
-    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    left = stored(at.join(mixed.select("key"), "key", "left_semi").join(sizes, "node"), "mixed-keys")
-    a, b = (left.withColumnsRenamed({"node": x, "component": f"c_{x}", "n": f"n_{x}", "sig": f"sig_{x}"}) for x in "ab")
-    rest = a.join(b, (a["key"] == b["key"]) & (F.col("c_a") < F.col("c_b")) & within).select("a", "b").distinct()
-    take(_confirm(rest, texts, percent))
+    mixed = (at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("count"))
+             .filter("lo != hi").select("key", "count"))
+    left = at.join(mixed, "key").join(sizes, "node")
+    trees = stored(_in_units(left, "key", KEY_BLOCK).mapInPandas(
+        lambda batches: _forests(batches, lambda g: _within_radius(g, percent)), "a binary, b binary"), "radius-trees")
+    if not trees.limit(1).count():
+        return of
+    clusters = components(trees).withColumnRenamed("component", "cluster")
+    count = clusters.groupBy("cluster").agg(F.count("*").alias("count"))
+    told = clusters.join(count, "cluster").join(texts, "node")
+    told = (told.withColumn("component", F.col("node")) if of is None else
+            told.join(of, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    take(_in_units(told, "cluster", CLUSTER_BLOCK).mapInPandas(
+        lambda batches: _forests(batches, lambda g: _similar(g, percent)), "a binary, b binary"))
     return of
 
 
+def _in_units(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """Deals each group (of ``count`` rows) into blocks and repeats a row for
+    every unit, a pair of blocks, that it is part of; a unit's rows lie side by side."""
+    blocks = F.ceil(F.col("count") / block).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    units = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+    unit = [group, "i", "j"]
+    return (rows.withColumn("unit", F.explode(units)).withColumns({"i": F.col("unit.i"), "j": F.col("unit.j")})
+            .drop("unit", "count").repartition(*unit).sortWithinPartitions(*unit)
+            .withColumn("unit", F.xxhash64(*unit)).drop("i", "j", group))
+
+
+def _forests(batches: Iterator[pd.DataFrame], linked: Callable[[pd.DataFrame], np.ndarray]) -> Iterator[pd.DataFrame]:
+    """For each unit, edges (a, b) that connect what ``linked``, a matrix over its rows, connects."""
+    def tree(g: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+        if len(g) < 2:
+            return []
+        near, nodes = linked(g), g["node"].tolist()
+        label = np.arange(len(g))
+        while True:
+            new = np.minimum(label, np.where(near, label, len(g)).min(axis=1))
+            new = new[new]
+            if (new == label).all():
+                return [(nodes[i], nodes[k]) for i, k in enumerate(label) if i != k]
+            label = new
+
+    held = None
+    for batch in batches:
+        batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        unit = batch["unit"].to_numpy()
+        cuts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1)]
+        found = [e for lo, hi in zip(cuts, cuts[1:], strict=False) for e in tree(batch.iloc[lo:hi])]
+        held = batch.iloc[cuts[-1]:]
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
+    if held is not None and (found := tree(held)):
+        yield pd.DataFrame(found, columns=["a", "b"])
+
+
+def _apart(g: pd.DataFrame, percent: int, n: np.ndarray) -> np.ndarray:
+    """Pairs of different components whose sizes allow the similarity."""
+    of = pd.factorize(g["component"])[0]
+    small, large = np.minimum(n[:, None], n), np.maximum(n[:, None], n)
+    return (of[:, None] != of) & (100 * small >= percent * large)
+
+
+def _within_radius(g: pd.DataFrame, percent: int) -> np.ndarray:
+    sig = np.stack(g["sig"].to_list())
+    apart = _apart(g, percent, g["n"].to_numpy())
+    differ = np.zeros((len(g), len(g)), np.uint8)
+    if apart.any():
+        for w in sig.T:
+            differ += np.bitwise_count(((w[:, None] ^ w) + VALUE_BITS) & CARRIES)
+    return apart & (differ <= RADIUS)
+
+
+def _similar(g: pd.DataFrame, percent: int) -> np.ndarray:
+    sets = list(shingle_sets(g["text"]))
+    n = np.array([len(x) for x in sets])
+    apart = _apart(g, percent, n)
+    if not apart.any():
+        return apart
+    same = overlaps(sets)
+    return apart & (100 * same >= percent * (n[:, None] + n - same))
+
+
 def grouped_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Per input row: doc_id, row (identity), n_shingles, and group: what its component shares, null without shingles."""
     ship(docs.sparkSession)

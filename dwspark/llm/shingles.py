@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 SEGMENT = 1 << 21           # bytes hashed at a time
+VALUE_BITS = 0x3FFF7FFF7FFF7FFF      # of four values packed in a long
 U = np.uint64
 
 _space = np.zeros(256, bool)
@@ -100,7 +101,7 @@ def _sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray], n_values: int) -> np.ndarray:
-    """16 bits of each of ``n_values`` minhashes of each set, four to a long; zeros for an empty set."""
+    """Some bits of each of ``n_values`` minhashes of each set, four to a long (see VALUE_BITS); zeros for an empty set."""
     out = np.zeros((len(sets), n_values), np.uint16)
     rows = [i for i, s in enumerate(sets) if len(s)]
     multipliers = mix(np.arange(1, n_values + 1, dtype=U) * U(0xA0761D6478BD642F)) | U(1)
@@ -116,8 +117,27 @@ def signatures(sets: list[np.ndarray], n_values: int) -> np.ndarray:
         for j, m in enumerate(multipliers):
             out[rows[lo:hi], j] = (mix(np.minimum.reduceat(flat * m, begin)) >> U(48)).astype(np.uint16)
         lo = hi
-    return out.view(np.int64)
+    return out.view(np.int64) & np.int64(VALUE_BITS)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
+
+
+def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, as a matrix; ``width`` shared shingles are counted at a time."""
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.concatenate(([True], flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, bool)
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column)[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [lo, lo + width])
+        m = np.zeros((len(sets), width), np.float32)
+        m[owner[a:b], column[a:b] - lo] = 1
+        out += (m @ m.T).astype(np.int64)
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
