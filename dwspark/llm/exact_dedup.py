@@ -67,7 +67,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cells = {r.cell: r.n for r in repeated.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n")).collect()}
     g, slots, _ = grow_directory(cells, max_depth, capacity)
     directory = spark.createDataFrame([(i, b) for i, b in enumerate(slots)], "slot int, bucket int")
-    slot = F.shiftrightunsigned("key", 64 - g).cast("int") if g else F.lit(0)
+    slot = F.shiftrightunsigned("key", 64 - g).cast("int") if g else F.col("key").bitwiseAND(F.lit(0)).cast("int")
 
     # bucket files: texts of the keys that occur more than once, in key ranges
     colliding = (rows.join(repeated, "key", "left_semi")
@@ -80,7 +80,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = buckets.groupBy("bucket", "key", "text").agg(
         F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("keep"))
     chain = Window.partitionBy("bucket", "key").orderBy(F.desc("keep"))
-    entries = entries.withColumn("chain", F.row_number().over(chain) - 1)
+    # stored: the join below then deals both sides anew, and a key with many rows can be split
+    entries = stored(entries.withColumn("chain", F.row_number().over(chain) - 1), "entries")
 
     members = (buckets.join(entries, ["bucket", "key", "text"])
                .select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("group_size").cast("long"),
