@@ -93,5 +93,5 @@ def running_sum(df: DataFrame, group: list[str], cell: list[str], order: Iterabl
 
 def n_cells(rows: int, groups: int = 1, per_cell: int = 20_000, most: int = 65_536) -> int:
     """Cells per group so that a cell holds about ``per_cell`` rows even if one
-    group holds all; 32 at least, so that a large group is spread at any size."""
-    return max(32, min(most, rows // per_cell))
+    group holds all; 256 at least, so that a large group is spread at any size."""
+    return max(256, min(most, rows // per_cell))

@@ -26,6 +26,7 @@ BLOCK = 256
 BLOCKS_PER_SHARD = 4096
 MOST_PASSES = 3
 SEED = 20240229
+DRAWS_PER_TASK = 50_000
 STEPS = 24               # of the swap-or-not shuffle
 
 
@@ -92,7 +93,8 @@ def mix(docs: DataFrame, block: int = BLOCK, per_shard: int = BLOCKS_PER_SHARD,
                            F.least((F.col("block") + 1) * block - F.col("start"), F.col("size")).alias("to"),
                            F.greatest(F.col("start") - F.col("block") * block, F.lit(0)).alias("at"))
 
-    draws = drawn_blocks(targets, block, per_shard, seed)
+    # stored, so that the join knows how large they are
+    draws = stored(drawn_blocks(targets, block, per_shard, seed), "draws")
     keep = F.least(F.col("to"), F.col("from") + F.col("words") - F.col("at"))
     spans = (pieces.join(draws, ["s", "block"])
              .filter(F.col("at") < F.col("words"))
@@ -112,8 +114,9 @@ def drawn_blocks(targets: DataFrame, block: int, per_shard: int, seed: int) -> D
            .withColumn("all", F.sum("draws").over(Window.partitionBy()))
            .filter("draws > 0"))
     # draws are made in two steps, so that no row unfolds into more than 4,096
+    parts = (per.agg(F.sum("draws")).first()[0] or 0) // DRAWS_PER_TASK + 1
     runs = (per.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("draws") - 1) / 4096))).alias("run"))
-            .repartition(F.col("s"), F.col("run")))
+            .repartition(parts, "s", "run"))
     each = runs.select("*", F.explode(F.sequence(F.col("run") * 4096, F.least(F.col("run") * 4096 + 4095, F.col("draws") - 1))).alias("draw"))
     nth, pas = F.col("draw") % F.col("blocks"), F.floor(F.col("draw") / F.col("blocks"))
     # the last, shorter block ends each pass; the others are permuted anew in each
