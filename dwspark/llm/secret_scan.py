@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are words with a run of at least MIN_LENGTH credential characters, a
-digit among them. The forest sees a candidate's length, its classes of characters and the
+Candidates are the runs of at least MIN_LENGTH credential characters in a word, a
+digit among them; a word may hold several. The forest sees a candidate's length, its classes of characters and the
 transitions between them, how much of it is covered by words of a dictionary,
 the path it stands in, and the words next to it. It is trained on labelled
 findings, MAX_TRAIN of them at most, chosen by hash; all findings are scored. The dictionary
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, row_identity, stored
@@ -26,8 +26,10 @@ RUN = r"[A-Za-z0-9_+/=.@:-]"
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """One row per candidate: row (identity of the document), doc_id, word_no,
-    candidate, before2, before1, after (words next to it, null at an end), path.
+    """One row per candidate: row (identity of the document), doc_id, word_no, run_no
+    (its place among the runs of the word), candidate, word (the part of the word that
+    belongs to it), before2, before1, after (words next to it, null at an end or where another
+    candidate of the word stands between), path.
     Null, empty and digit-free texts have none; repeated rows count once."""
     path = F.col(f"`{path_col}`").cast("string") if path_col in docs.columns else F.lit(None).cast("string")
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), path.alias("path"))
@@ -38,14 +40,28 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
                   lambda i: (F.length(F.get("words", i)) >= MIN_LENGTH) & F.get("words", i).rlike("[0-9]")
                   & F.get("words", i).rlike(f"{RUN}{{{MIN_LENGTH}}}"))
     rows = rows.withColumn("at", at)
-    found = F.transform("at", lambda i: F.struct(
-        i.alias("word_no"), F.get("words", i).alias("word"), F.get("words", i - 2).alias("before2"),
-        F.get("words", i - 1).alias("before1"), F.get("words", i + 1).alias("after")))
+    found = F.flatten(F.transform("at", _runs))
     # explode_outer: an inner explode would have its filter pushed below, where the words are split anew for each
     return (rows.select("row", "doc_id", "path", F.explode_outer(found).alias("f")).filter("f IS NOT NULL")
-            .select("row", "doc_id", "path", "f.*")
-            .withColumn("candidate", F.regexp_extract("word", f"{RUN}{{{MIN_LENGTH},}}", 0))
-            .filter(F.col("candidate").rlike("[0-9]")).dropDuplicates(["row", "word_no"]))
+            .select("row", "doc_id", "path", "f.*").dropDuplicates(["row", "word_no", "run_no"]))
+
+
+def _runs(i: Column) -> Column:
+    """The candidates of word ``i``. Gaps lie around the runs, so a run's part of the word is the
+    gap before it, with the run before that if it is its name, and the last gap after the last run:
+    the parts of a word are no longer than twice the word."""
+    word = F.get("words", i)
+    runs, gaps = F.regexp_extract_all(word, F.lit(f"{RUN}{{{MIN_LENGTH},}}"), 0), F.split(word, f"{RUN}{{{MIN_LENGTH},}}", -1)
+
+    def one(run: Column, k: Column) -> Column:
+        before, gap, last = F.get(runs, k - 1), F.get(gaps, k), k == F.size(runs) - 1
+        name = (k > 0) & (~before.rlike("[0-9]") | before.rlike("[=:]$") | gap.rlike("""^["'`]?[=:]"""))
+        first = (k == 0) | ((k == 1) & name)
+        part = F.concat(F.when(name, F.concat(F.get(gaps, k - 1), before)).otherwise(""), gap, run,
+                        F.when(last, F.get(gaps, k + 1)).otherwise(""))
+        return F.struct(i.alias("word_no"), k.alias("run_no"), part.alias("word"), F.when(first, F.get("words", i - 2)).alias("before2"),
+                        F.when(first, F.get("words", i - 1)).alias("before1"), F.when(last, F.get("words", i + 1)).alias("after"), run.alias("candidate"))
+    return F.filter(F.transform(runs, one), lambda f: f["candidate"].rlike("[0-9]"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -> DataFrame:
@@ -64,9 +80,9 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     c, n = F.col("candidate"), F.length("candidate")
     share = lambda pattern: F.regexp_count(c, F.lit(pattern)) / n
     near = F.concat_ws(" ", "before2", "before1", "word")
-    letters = (found.select("row", "word_no", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), 0)).alias("word"))
-               .join(words, "word").groupBy("row", "word_no").agg(F.sum(F.length("word")).alias("covered")))
-    return (found.join(letters, ["row", "word_no"], "left").withColumns({
+    letters = (found.select("row", "word_no", "run_no", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), 0)).alias("word"))
+               .join(words, "word").groupBy("row", "word_no", "run_no").agg(F.sum(F.length("word")).alias("covered")))
+    return (found.join(letters, ["row", "word_no", "run_no"], "left").withColumns({
         "length": n.cast("double"), "lower": share("[a-z]"), "upper": share("[A-Z]"), "digits": share("[0-9]"),
         "marks": share("[^A-Za-z0-9]"), "hex": c.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double"),
         "digit_to_letter": share("[0-9](?=[A-Za-z])"), "letter_to_digit": share("[A-Za-z](?=[0-9])"),
@@ -93,10 +109,10 @@ def weak_labels(found: DataFrame) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, max_train: int = MAX_TRAIN,
                  trees: int = 40, depth: int = 6, seed: int = 5, **columns) -> DataFrame:
-    """One row per candidate: doc_id, word_no, candidate, probability, is_secret.
+    """One row per candidate: doc_id, word_no, run_no, candidate, probability, is_secret.
 
-    ``labelled`` has (candidate, label 0 or 1), or (doc_id, word_no, label) of
-    reviewed findings; without it ``weak_labels`` are used. Null labels don't
+    ``labelled`` has (candidate, label 0 or 1), or (doc_id, word_no, run_no, label) of
+    reviewed findings, where a label without run_no holds for all of a word; without it ``weak_labels`` are used. Null labels don't
     count. If a class is missing nothing can be learned: probability is null
     and every candidate stays a finding.
     """
@@ -104,14 +120,14 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold:
     if labelled is None:
         known = weak_labels(scored)
     else:
-        on = ["doc_id", "word_no"] if "word_no" in labelled.columns else ["candidate"]
+        on = [c for c in ("doc_id", "word_no", "run_no") if c in labelled.columns] if "word_no" in labelled.columns else ["candidate"]
         known = scored.join(labelled.select(*on, F.col("label").cast("double").alias("label")).dropDuplicates(on), on, "left")
-    known = (known.filter("label IN (0.0, 1.0)").orderBy(F.xxhash64("row", "word_no"), "row", "word_no").limit(max_train))
+    known = (known.filter("label IN (0.0, 1.0)").orderBy(F.xxhash64("row", "word_no", "run_no"), "row", "word_no", "run_no").limit(max_train))
     known = stored(known.select("label", *FEATURES), "labelled-findings")
     if known.select("label").distinct().count() < 2:
-        return scored.select("doc_id", "word_no", "candidate", F.lit(None).cast("double").alias("probability"), F.lit(True).alias("is_secret"))
+        return scored.select("doc_id", "word_no", "run_no", "candidate", F.lit(None).cast("double").alias("probability"), F.lit(True).alias("is_secret"))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assemble.transform(known))
     p = vector_to_array("probability")[1]
     return (forest.transform(assemble.transform(scored)).withColumn("p", p)
-            .select("doc_id", "word_no", "candidate", F.col("p").alias("probability"), (F.col("p") >= threshold).alias("is_secret")))
+            .select("doc_id", "word_no", "run_no", "candidate", F.col("p").alias("probability"), (F.col("p") >= threshold).alias("is_secret")))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwspark.llm import quality as Q
-from dwspark.llm.secret_scan import dictionary, findings, scan_secrets
+from dwspark.llm.secret_scan import dictionary, findings, scan_secrets, with_features
 
 from conftest import SCHEMA, prose
 from test_dedup import collected, key, plain_groups, shingles
@@ -121,6 +121,21 @@ def test_findings_carry_their_place_and_neighbours(spark, docs, empty):
     assert findings(docs).count() == 0
 
 
+def test_all_runs_of_a_word_are_candidates(spark):
+    df = spark.createDataFrame([(1, 'x api_secret_key="AKIA1234567890ABCD"', None), (2, "client_secret='9f8a7b6c5d4e3f2a1b0c'", None),
+                                (3, '{"user_id":"1234567890123","access_token":"ghp_a1b2c3d4e5f6a7b8","session_key":"00ffee11dd22cc33"}', None),
+                                (4, "abcd1234efgh5678,9999aaaa8888bbbb", None)], "doc_id long, text string, source string")
+    found = findings(df)
+    got = {(r.doc_id, r.word_no, r.candidate): r.run_no for r in found.collect()}
+    assert got == {(1, 1, "AKIA1234567890ABCD"): 1, (2, 0, "9f8a7b6c5d4e3f2a1b0c"): 1, (3, 0, "1234567890123"): 0, (3, 0, "ghp_a1b2c3d4e5f6a7b8"): 2,
+                   (3, 0, "00ffee11dd22cc33"): 3, (4, 0, "abcd1234efgh5678"): 0, (4, 0, "9999aaaa8888bbbb"): 1}
+    seen = {r.candidate: (r.named, r.assigned) for r in with_features(found, dictionary(df)).collect()}
+    assert seen["AKIA1234567890ABCD"] == seen["9f8a7b6c5d4e3f2a1b0c"] == seen["ghp_a1b2c3d4e5f6a7b8"] == (1, 1) and seen["1234567890123"] == (0, 1)
+    out = scan_secrets(df)
+    assert out.columns == ["doc_id", "word_no", "run_no", "candidate", "probability", "is_secret"]
+    assert {(r.doc_id, r.word_no, r.candidate): r.run_no for r in out.collect()} == got
+
+
 def test_dictionary_counts_all_documents(spark):
     df = spark.createDataFrame([("Alpha beta ab",)] * 3 + [("alpha, gamma",)], "text string")
     assert sorted(r.word for r in dictionary(df, min_count=3).collect()) == ["alpha", "beta"]
