@@ -2,32 +2,39 @@
 
 The content view sees a text only as byte bigrams and trigrams, hashed into a
 normalised vector; the metadata view sees source, language, length and layout. Each
-is a logistic regression. In each round both are trained, each is calibrated
-on held-out labels, and the pool documents of which one view is sure become
+is a logistic regression, fitted to labelled rows and calibrated on held-out ones.
+In each round, all pool documents of which one view is sure are
 pseudo-labelled training rows of the other view. A last regression, fitted on
 held-out rows too, combines the two calibrated views; every document is then
 scored with it.
 
-The models are fitted on bounded samples: MAX_LABELLED labelled rows and
-MAX_POOL unlabelled rows, chosen by a hash of the id over all rows. Scoring
-covers every document and its whole text.
+MAX_LABELLED labelled rows are used at most, chosen by a
+hash of the id. All documents outside that sample are pool (a label that was not drawn is not
+read): their counts of grams are
+stored once, and each step of a round is one pass over them, in which tasks apply the
+two teachers and add up the losses and gradients of the two learners; only
+these sums reach the driver. Scoring covers every document and its whole text.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from ..session import scratch_path
+from .common import ship, stored
 
-MAX_LABELLED, MAX_POOL = 4_000, 2_000
-ROUNDS, SURE, MOST_NEW = 3, 0.97, 400
+MAX_LABELLED = 6_000
+ROUNDS, SURE = 3, 0.97
+STEPS = 8                          # of a round's fit; a step is a pass over the pool, or a few where it must be shortened
+SLOTS = 64                         # tasks that add up the sums of the others
 ACCEPT = 0.3                       # a document goes only if good quality is that unlikely
 FEW = 300                          # grams; the vector of a text with fewer is shorter, so its score stays near the mean
 CONTENT_BITS, META_BITS = 11, 8
@@ -35,40 +42,74 @@ PARTS = 10**15                     # of the hash range, fine enough for a sample
 PIECE = 1 << 20                    # bytes of a text that are counted at a time
 
 
+def gram_counts(text: str | None) -> np.ndarray:
+    """Counts of a text's hashed byte bigrams and trigrams."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    counts = np.zeros(1 << CONTENT_BITS, np.int64)
+    for lo in range(0, len(data), PIECE):
+        b = data[lo:lo + PIECE + 2].astype(np.uint32)
+        two = b[:-1] * 257 + b[1:]
+        grams = [two] if len(two) else []
+        if len(b) > 2:
+            grams.append(two[:-1] * 263 + b[2:] + 70_001)
+        for g in grams:
+            counts += np.bincount((g * np.uint32(2654435761)) >> np.uint32(32 - CONTENT_BITS), minlength=len(counts))
+    return counts
+
+
 def content_features(texts: list[str | None]) -> np.ndarray:
-    """A row per text: square roots of the shares of hashed byte bigrams and trigrams, all
+    """A row per text: square roots of the shares of its grams, all
     smaller the fewer there are; zeros for an empty text."""
-    size = 1 << CONTENT_BITS
-    out = np.zeros((len(texts), size), np.float32)
+    out = np.zeros((len(texts), 1 << CONTENT_BITS), np.float32)
     for i, t in enumerate(texts):
-        data = np.frombuffer((t or "").encode(), np.uint8)
-        counts = np.zeros(size, np.int64)
-        for lo in range(0, len(data), PIECE):
-            b = data[lo:lo + PIECE + 2].astype(np.uint32)
-            two = b[:-1] * 257 + b[1:]
-            grams = [two] if len(two) else []
-            if len(b) > 2:
-                grams.append(two[:-1] * 263 + b[2:] + 70_001)
-            for g in grams:
-                counts += np.bincount((g * np.uint32(2654435761)) >> np.uint32(32 - CONTENT_BITS), minlength=size)
+        counts = gram_counts(t)
         if total := counts.sum():
             out[i] = np.sqrt(counts / (total + FEW))
     return out
 
 
-def meta_features(rows: pd.DataFrame) -> np.ndarray:
-    """A row per document: hashed source and language, classes of length, line count and mean line length."""
-    size = 1 << META_BITS
-    out = np.zeros((len(rows), size), np.float32)
+def meta_places(rows: pd.DataFrame) -> np.ndarray:
+    """A row per document: places of its hashed source and language, classes of length, line count and mean line length."""
+    out = np.zeros((len(rows), 5), np.uint8)
     lines = rows["n_lines"].fillna(1).clip(lower=1).to_numpy(float)
     chars = rows["n_chars"].fillna(0).clip(lower=0).to_numpy(float)
     for i, (source, lang, n, m) in enumerate(zip(rows["source"], rows["lang"], chars, lines, strict=True)):
-        for f in (f"source={source}", f"lang={lang}", f"chars={int(np.log2(n + 1) * 2)}",
-                  f"lines={int(np.log2(m) * 2)}", f"width={int(np.log2(n / m + 1) * 2)}"):
-            out[i, zlib.crc32(f.encode()) % size] += 1
+        names = (f"source={source}", f"lang={lang}", f"chars={int(np.log2(n + 1) * 2)}",
+                 f"lines={int(np.log2(m) * 2)}", f"width={int(np.log2(n / m + 1) * 2)}")
+        out[i] = [zlib.crc32(f.encode()) % (1 << META_BITS) for f in names]
+    return out
+
+
+def _at_places(places: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(places), 1 << META_BITS), np.float32)
+    np.add.at(out, (np.arange(len(places))[:, None], places), 1)
     return out / np.float32(np.sqrt(5))
 
 
+def meta_features(rows: pd.DataFrame) -> np.ndarray:
+    """A row per document, a normalised vector of what is at its places."""
+    return _at_places(meta_places(rows))
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in a byte each, or in four where one needs more."""
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def unpacked(content: list[bytes], meta: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Content and metadata features of stored rows."""
+    size = 1 << CONTENT_BITS
+    x = np.empty((len(content), size), np.float32)
+    small = np.array([len(c) == size for c in content])
+    x[small] = np.frombuffer(b"".join(c for c in content if len(c) == size), np.uint8).reshape(-1, size)
+    for i in np.flatnonzero(~small):
+        x[i] = np.frombuffer(content[i], np.uint32)
+    total = x.sum(1, dtype=np.float64)
+    np.sqrt(x, out=x)
+    x /= np.sqrt(total + FEW).astype(np.float32)[:, None]
+    return x, _at_places(np.frombuffer(b"".join(meta), np.uint8).reshape(-1, 5))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -122,40 +163,100 @@ class CoTrained:
         return _sigmoid(self.combine[0] * u + self.combine[1] * v + self.combine[2])
 
 
-def co_train(x: np.ndarray, z: np.ndarray, y: np.ndarray, held: np.ndarray, pool_x: np.ndarray, pool_z: np.ndarray,
-             rounds: int = ROUNDS, sure: float = SURE, most: int = MOST_NEW) -> CoTrained:
-    """x, z: content and metadata features of labelled rows; held: those kept for calibration."""
+Views = tuple[np.ndarray, np.ndarray]
+Teachers = list[tuple[np.ndarray, tuple[float, float]]]     # weights and scale of each view
+
+
+def pool_sums(views: Views, teachers: Teachers, learners: list[np.ndarray], sure: float) -> list[np.ndarray]:
+    """For each view, and class 0 and 1 of its pseudo-labels - the rows of which the other
+    view's teacher is sure: the learner's loss, the rows, and the gradient, the bias last."""
+    said = [_sigmoid(a * (v @ w[:-1] + w[-1]) + b) for v, (w, (a, b)) in zip(views, teachers, strict=True)]
+    out = []
+    for v, w, p in zip(views, learners, reversed(said), strict=True):
+        part = np.zeros((2, v.shape[1] + 3))
+        for c, rows in enumerate((1 - p >= sure, p >= sure)):
+            if rows.any():
+                part[c] = _class_sums(v[rows], w, c)
+        out.append(part)
+    return out
+
+
+def _class_sums(x: np.ndarray, w: np.ndarray, c: int) -> np.ndarray:
+    s = (x @ w[:-1] + w[-1]).astype(np.float64)
+    error = _sigmoid(s) - c
+    return np.concatenate([[np.logaddexp(0, s).sum() - c * s.sum(), len(x)], error.astype(np.float32) @ x, [error.sum()]])
+
+
+def minimise(f: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int, rate: float = 8.0) -> np.ndarray:
+    """L-BFGS from ``x``; a step that does not lower ``f`` is shortened."""
+    value, g = f(x)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        d, ways = -g, []
+        for s, t in reversed(past):
+            ways.append((s @ d) / (s @ t))
+            d = d - ways[-1] * t
+        d = d * ((past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else rate)
+        for (s, t), a in zip(past, reversed(ways), strict=True):
+            d = d + (a - (t @ d) / (s @ t)) * s
+        length = 1.0
+        for _ in range(6):
+            new, g2 = f(x + length * d)
+            if new <= value + 1e-4 * length * (g @ d):
+                break
+            length /= 4
+        else:
+            return x
+        if (s := length * d) @ (t := g2 - g) > 1e-12:
+            past.append((s, t))
+        x, value, g = x + s, new, g2
+    return x
+
+
+def co_train(x: np.ndarray, z: np.ndarray, y: np.ndarray, held: np.ndarray, pool_x: np.ndarray, pool_z: np.ndarray, **options) -> CoTrained:
+    """x, z: content and metadata features of labelled rows; held: those kept for calibration; the pool's features in memory."""
+    return co_train_on((x, z), y, held, lambda *a: pool_sums((pool_x, pool_z), *a), **options)
+
+
+def co_train_on(views: Views, y: np.ndarray, held: np.ndarray, pool: Callable[..., list[np.ndarray]],
+                rounds: int = ROUNDS, sure: float = SURE, steps: int = STEPS, penalty: float = 1e-5) -> CoTrained:
+    """``pool`` gives ``pool_sums`` over all unlabelled rows. Both classes weigh the same; within a class, a
+    pseudo-labelled row counts as a labelled one, and all of them as much as the labelled ones at most."""
     train = ~held
-    extra: list[list[tuple[int, int]]] = [[], []]          # (pool row, label) that each view was given
-    used: list[set[int]] = [set(), set()]
-    pseudo = []
-    for r in range(rounds + 1):
-        models, scales = [], []
-        for k, (own, pool) in enumerate(((x, pool_x), (z, pool_z))):
-            rows = np.array([i for i, _ in extra[k]], int)
-            more = np.array([c for _, c in extra[k]], y.dtype)
-            w = fit_logistic(np.concatenate([own[train], pool[rows]]) if len(rows) else own[train],
-                             np.concatenate([y[train], more]) if len(rows) else y[train])
-            models.append(w)
-            scales.append(fit_scale(own[held] @ w[:-1] + w[-1], y[held]))
-        if r == rounds or not len(pool_x):
-            break
-        given = []
-        for k, pool in enumerate((pool_x, pool_z)):
-            (a, b), w, other = scales[k], models[k], 1 - k
-            p = _sigmoid(a * (pool @ w[:-1] + w[-1]) + b)
-            new = []
-            for label, q in ((1, p), (0, 1 - p)):
-                ranked = np.argsort(-q, kind="stable")
-                new += [(int(i), label) for i in ranked[:most * 4] if q[i] >= sure and int(i) not in used[other]][:most]
-            extra[other] += new
-            used[other] |= {i for i, _ in new}
-            given.append(len(new))
-        pseudo.append((given[0], given[1]))
-        if not any(given):
+    known = [[v[train & (y == c)] for c in (0, 1)] for v in views]
+    ends = np.cumsum([v.shape[1] + 1 for v in views])[:-1]
+    models, pseudo = [fit_logistic(v[train], y[train], penalty) for v in views], []
+    calibrated = lambda: [fit_scale(v[held] @ w[:-1] + w[-1], y[held]) for v, w in zip(views, models, strict=True)]
+    scales = calibrated()
+    for _ in range(rounds):
+        teachers, given = list(zip(models, scales, strict=True)), []
+
+        def joint(theta: np.ndarray) -> tuple[float, np.ndarray]:
+            """Loss and gradient of both learners."""
+            learners = [w.astype(np.float32) for w in np.split(theta, ends)]
+            value, gradient = 0.0, []
+            sums = pool(teachers, learners, sure)
+            given[:] = [tuple(int(part[:, 1].sum()) for part in reversed(sums))]
+            for rows, w, part in zip(known, learners, sums, strict=True):
+                g = np.zeros(len(w))
+                for c in (0, 1):
+                    n, m = len(rows[c]), part[c, 1]
+                    own = _class_sums(rows[c], w, c) + part[c] * min(1.0, n / max(m, 1))
+                    value += 0.5 * own[0] / max(own[1], 1)
+                    g += 0.5 * own[2:] / max(own[1], 1)
+                g[:-1] += penalty * w[:-1]
+                value += penalty / 2 * float(w[:-1] @ w[:-1])
+                gradient.append(g)
+            return value, np.concatenate(gradient)
+
+        fitted = minimise(joint, np.concatenate(models).astype(np.float64), steps)
+        pseudo.append(given[0])
+        if not any(given[0]):
             break
+        models = [w.astype(np.float32) for w in np.split(fitted, ends)]
+        scales = calibrated()
     model = CoTrained(models[0], models[1], (scales[0], scales[1]), np.array([1.0, 0.0, 0.0]), pseudo)
-    u, v = model.views(x[held], z[held])
+    u, v = model.views(views[0][held], views[1][held])
     model.combine = _fit_combination(np.stack([u, v], 1), y[held])
     return model
 
@@ -192,24 +293,67 @@ def _sampled(df: DataFrame, most: int, seed: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PARTS)) < int(PARTS * most / n))
 
 
+def _pool(docs: DataFrame, chosen: DataFrame) -> Callable[..., list[np.ndarray]]:
+    """``pool_sums`` over all rows whose id is not ``chosen``; their counts are stored once, by tasks that read the documents."""
+    view = _document_view(docs).join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")      # max_labelled rows at most
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.iloc[lo:lo + 256]
+                yield pd.DataFrame({"content": [pack_counts(gram_counts(t)) for t in part["text"]],
+                                    "meta": [r.tobytes() for r in meta_places(part)]})
+
+    counted = view.mapInPandas(count, "content binary, meta binary")
+    path = scratch_path(docs.sparkSession, "pool")
+    counted.write.option("compression", "zstd").parquet(path)
+    rows = docs.sparkSession.read.schema(counted.schema).parquet(path)
+    shapes = [(2, (1 << bits) + 3) for bits in (CONTENT_BITS, META_BITS)]
+    ends = np.cumsum([a * b for a, b in shapes])
+
+    def sums(teachers: Teachers, learners: list[np.ndarray], sure: float) -> list[np.ndarray]:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for batch in batches:
+                for lo in range(0, len(batch), 1024):
+                    part = batch.iloc[lo:lo + 1024]
+                    found = pool_sums(unpacked(list(part["content"]), list(part["meta"])), teachers, learners, sure)
+                    found = np.concatenate([f.ravel() for f in found])
+                    total = found if total is None else total + found
+            if total is not None:
+                at = TaskContext.get().partitionId()
+                yield pd.DataFrame({"slot": [at % SLOTS], "part": [at], "sums": [total.tobytes()]})
+
+        def add(parts: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"slot": parts["slot"].iloc[:1], "sums": [_added(parts.sort_values("part")["sums"])]})
+
+        found = (rows.mapInPandas(run, "slot int, part int, sums binary")
+                 .groupBy("slot").applyInPandas(add, "slot int, sums binary").toPandas())
+        total = np.frombuffer(_added(found.sort_values("slot")["sums"]) or bytes(8 * int(ends[-1])))
+        return [f.reshape(shape) for f, shape in zip(np.split(total, ends[:-1]), shapes, strict=True)]
+
+    return sums
+
+
+def _added(sums: pd.Series) -> bytes:
+    return np.sum([np.frombuffer(b) for b in sums], axis=0).tobytes() if len(sums) else b""
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_labelled: int = MAX_LABELLED,
-                max_pool: int = MAX_POOL, seed: int = 11) -> CoTrained | None:
+                seed: int = 11, **options) -> CoTrained | None:
     """A model from documents with labels 0 and 1, a bounded sample of them, and
-    a bounded pool without labels. Null labels and ids, and ids labelled both ways, are
+    all other documents. Null labels and ids, and ids labelled both ways, are
     left out. None if a class has fewer than 8 labelled documents."""
     ship(docs.sparkSession)
     labels = (labels.select("doc_id", F.col(label_col).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IN (0, 1)")
               .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).filter("y = y2").drop("y2"))
     view = _document_view(docs)
-    chosen = _sampled(labels, max_labelled, seed)
+    chosen = stored(_sampled(labels, max_labelled, seed), "chosen-labels")
     known = _featured(view.join(chosen, "doc_id"), ["y"]).limit(2 * max_labelled).toPandas()
     if min((known["y"] == 0).sum(), (known["y"] == 1).sum()) < 8:
         return None
-    n = docs.count()
-    others = view.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(PARTS)) < int(PARTS * min(1, max_pool / max(n, 1))))
-    pool = _featured(others.join(labels.select("doc_id"), "doc_id", "left_anti"), []).limit(2 * max_pool).toPandas()
     known = known.sort_values(["doc_id", "meta"]).reset_index(drop=True)
-    pool = pool.sort_values(["doc_id", "meta"]).reset_index(drop=True)
+
     def matrix(p: pd.DataFrame, c: str, bits: int) -> np.ndarray:
         """The column's rows as one matrix; the column itself is given up, the driver holds each row once."""
         out = np.empty((len(p), 1 << bits), np.float32)
@@ -223,8 +367,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
         held = np.zeros(len(y), bool)
         for c in (0, 1):
             held[np.flatnonzero(y == c)[::4]] = True
-    return co_train(matrix(known, "content", CONTENT_BITS), matrix(known, "meta", META_BITS), y, held,
-                    matrix(pool, "content", CONTENT_BITS), matrix(pool, "meta", META_BITS))
+    return co_train_on((matrix(known, "content", CONTENT_BITS), matrix(known, "meta", META_BITS)), y, held, _pool(docs, chosen), **options)
 
 
 def _featured(view: DataFrame, carry: list[str]) -> DataFrame:

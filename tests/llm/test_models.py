@@ -6,6 +6,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,17 @@ def test_quality_edges(spark, clashing, empty, rows):
     assert Q.score_quality(only_text, shifted).count() == len(rows) + 80
 
 
+def test_all_unlabelled_documents_teach(spark):
+    rows, labels = judged(6000, 4)
+    few = [x for x in labels if x[0] < 400]
+    model = Q.fit_quality(spark.createDataFrame(rows, SCHEMA).repartition(5), spark.createDataFrame(few, "doc_id long, quality int"))
+    assert max(max(given) for given in model.pseudo) > 4_000
+    x, z = Q.content_features([r[1] for r in rows]), Q.meta_features(pd.DataFrame([dict(source=r[3], lang=r[2], n_chars=r[4], n_lines=1) for r in rows]))
+    packed = [Q.pack_counts(Q.gram_counts(r[1])) for r in rows[:9]] + [Q.pack_counts(Q.gram_counts("ab" * 999))]
+    assert np.allclose(Q.unpacked(packed, [bytes(5)] * 10)[0], np.concatenate([x[:9], Q.content_features(["ab" * 999])]), atol=1e-6)
+    assert ((model.score(x, z) > 0.5) == [y for _, y in labels]).mean() > 0.97
+
+
 def test_features_cover_whole_texts():
     a = Q.content_features(["x" * (Q.PIECE + 5) + "yz" * 50])
     b = Q.content_features(["x" * (Q.PIECE + 5)])
