@@ -8,7 +8,7 @@ pseudo-labelled training rows of the other view. A last regression, fitted on
 held-out rows too, combines the two calibrated views; every document is then
 scored with it.
 
-MAX_LABELLED labelled rows are used at most, chosen by a
+MAX_LABELLED labelled rows are used at most, half of them of each class, chosen by a
 hash of the id. All documents outside that sample are pool (a label that was not drawn is not
 read): their counts of grams are
 stored once, and each step of a round is one pass over them, in which tasks apply the
@@ -38,7 +38,6 @@ SLOTS = 64                         # tasks that add up the sums of the others
 ACCEPT = 0.3                       # a document goes only if good quality is that unlikely
 FEW = 300                          # grams; the vector of a text with fewer is shorter, so its score stays near the mean
 CONTENT_BITS, META_BITS = 11, 8
-PARTS = 10**15                     # of the hash range, fine enough for a sample of any table
 PIECE = 1 << 20                    # bytes of a text that are counted at a time
 
 
@@ -285,14 +284,6 @@ def _document_view(docs: DataFrame) -> DataFrame:
                        F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("double").alias("n_lines"))
 
 
-def _sampled(df: DataFrame, most: int, seed: int) -> DataFrame:
-    """About ``most`` rows at most, evenly by a hash of doc_id over all rows; all of them if there are fewer."""
-    n = df.count()
-    if n <= most:
-        return df
-    return df.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PARTS)) < int(PARTS * most / n))
-
-
 def _pool(docs: DataFrame, chosen: DataFrame) -> Callable[..., list[np.ndarray]]:
     """``pool_sums`` over all rows whose id is not ``chosen``; their counts are stored once, by tasks that read the documents."""
     view = _document_view(docs).join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")      # max_labelled rows at most
@@ -341,18 +332,25 @@ def _added(sums: pd.Series) -> bytes:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_labelled: int = MAX_LABELLED,
                 seed: int = 11, **options) -> CoTrained | None:
-    """A model from documents with labels 0 and 1, a bounded sample of them, and
+    """A model from documents with labels 0 and 1, a bounded sample of each class, and
     all other documents. Null labels and ids, and ids labelled both ways, are
-    left out. None if a class has fewer than 8 labelled documents."""
+    left out; of several rows with one labelled id, the one with the smallest hash counts.
+    None if a class has fewer than 8 labelled documents."""
     ship(docs.sparkSession)
     labels = (labels.select("doc_id", F.col(label_col).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IN (0, 1)")
               .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).filter("y = y2").drop("y2"))
-    view = _document_view(docs)
-    chosen = stored(_sampled(labels, max_labelled, seed), "chosen-labels")
-    known = _featured(view.join(chosen, "doc_id"), ["y"]).limit(2 * max_labelled).toPandas()
-    if min((known["y"] == 0).sum(), (known["y"] == 1).sum()) < 8:
+    labels = stored(labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
+    found = {r.y: r.n for r in labels.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if min(found.get(0, 0), found.get(1, 0)) < 8:
         return None
-    known = known.sort_values(["doc_id", "meta"]).reset_index(drop=True)
+    first = [labels.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_labelled // 2) for c in (0, 1)]
+    chosen = stored(first[0].unionByName(first[1]), "chosen-labels")
+    view = _document_view(docs)
+    columns = [c for c in view.columns if c != "doc_id"]
+    known = (view.join(F.broadcast(chosen), "doc_id")              # max_labelled rows at most
+             .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64(*columns).alias("hash"), *columns)).alias("row"))
+             .select("doc_id", "y", *[f"row.{c}" for c in columns]))
+    known = _featured(known, ["y"]).toPandas().sort_values("doc_id").reset_index(drop=True)
 
     def matrix(p: pd.DataFrame, c: str, bits: int) -> np.ndarray:
         """The column's rows as one matrix; the column itself is given up, the driver holds each row once."""

@@ -84,6 +84,19 @@ def test_all_unlabelled_documents_teach(spark):
     assert ((model.score(x, z) > 0.5) == [y for _, y in labels]).mean() > 0.97
 
 
+def test_labelled_sample_by_class_and_one_row_an_id(spark):
+    rows, labels = judged(400)
+    rare = [(i, y) for i, y in labels if y or i < 40]                          # 10 bad ones, 300 good ones
+    hot = [(1, rows[0][1] + str(i), "en", "s1", 9) for i in range(600)]        # one labelled id with most rows
+    known = spark.createDataFrame(rare, "doc_id long, quality int")
+    first = Q.fit_quality(spark.createDataFrame(rows + hot, SCHEMA), known, max_labelled=40)
+    again = Q.fit_quality(spark.createDataFrame(hot[::-1] + rows[::-1], SCHEMA), known, max_labelled=40)
+    assert first is not None and np.allclose(first.content, again.content, atol=1e-3)
+    y = np.array([y for _, y in labels])
+    x, z = Q.content_features([r[1] for r in rows]), Q.meta_features(pd.DataFrame([dict(source=r[3], lang=r[2], n_chars=r[4], n_lines=1) for r in rows]))
+    assert ((first.score(x, z) > 0.5) == y).mean() > 0.9
+
+
 def test_features_cover_whole_texts():
     a = Q.content_features(["x" * (Q.PIECE + 5) + "yz" * 50])
     b = Q.content_features(["x" * (Q.PIECE + 5)])
