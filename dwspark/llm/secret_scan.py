@@ -4,7 +4,7 @@ Candidates are the runs of at least MIN_LENGTH credential characters in a word,
 digit among them; a word may hold several. The forest sees a candidate's length, its classes of characters and the
 transitions between them, how much of it is covered by words of a dictionary,
 the path it stands in, and the words next to it. It is trained on labelled
-findings, MAX_TRAIN of them at most, chosen by hash; all findings are scored. The dictionary
+findings, MAX_TRAIN of them at most, half of them of each class, chosen by hash; all findings are scored. The dictionary
 is counted over all documents.
 """
 
@@ -113,7 +113,7 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold:
 
     ``labelled`` has (candidate, label 0 or 1), or (doc_id, word_no, run_no, label) of
     reviewed findings, where a label without run_no holds for all of a word; without it ``weak_labels`` are used. Null labels don't
-    count. If a class is missing nothing can be learned: probability is null
+    count; both classes weigh the same. If a class is missing among all labels nothing can be learned: probability is null
     and every candidate stays a finding.
     """
     scored = stored(with_features(findings(docs, **columns), dictionary(docs, columns.get("text_col", "text"))), "findings")
@@ -122,12 +122,15 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold:
     else:
         on = [c for c in ("doc_id", "word_no", "run_no") if c in labelled.columns] if "word_no" in labelled.columns else ["candidate"]
         known = scored.join(labelled.select(*on, F.col("label").cast("double").alias("label")).dropDuplicates(on), on, "left")
-    known = (known.filter("label IN (0.0, 1.0)").orderBy(F.xxhash64("row", "word_no", "run_no"), "row", "word_no", "run_no").limit(max_train))
-    known = stored(known.select("label", *FEATURES), "labelled-findings")
-    if known.select("label").distinct().count() < 2:
+    known = stored(known.filter("label IN (0.0, 1.0)").select("row", "word_no", "run_no", "label", *FEATURES), "labelled-findings")
+    found = {r.label: min(r.n, max_train // 2) for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(found) < 2:
         return scored.select("doc_id", "word_no", "run_no", "candidate", F.lit(None).cast("double").alias("probability"), F.lit(True).alias("is_secret"))
+    sample = [known.filter(F.col("label") == c).orderBy(F.xxhash64("row", "word_no", "run_no"), "row", "word_no", "run_no").limit(n)
+              .withColumn("weight", F.lit(max(found.values()) / n)) for c, n in sorted(found.items())]
+    known = stored(sample[0].unionByName(sample[1]), "training-findings")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assemble.transform(known))
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight").fit(assemble.transform(known))
     p = vector_to_array("probability")[1]
     return (forest.transform(assemble.transform(scored)).withColumn("p", p)
             .select("doc_id", "word_no", "run_no", "candidate", F.col("p").alias("probability"), (F.col("p") >= threshold).alias("is_secret")))

@@ -161,6 +161,15 @@ def test_all_runs_of_a_word_are_candidates(spark):
     assert {(r.doc_id, r.word_no, r.candidate): r.run_no for r in out.collect()} == got
 
 
+def test_few_known_secrets_among_many_findings(spark):
+    rows, truth = secrets()
+    docs = spark.createDataFrame([r for r in rows if r[0] % 3 or r[0] < 30], SCHEMA)     # 10 secrets, 200 others
+    labelled = spark.createDataFrame([(c, int(v)) for c, v in truth.items()], "candidate string, label int")
+    got = scan_secrets(docs, labelled, max_train=20).collect()
+    assert all(r.probability is not None for r in got)
+    assert np.mean([r.is_secret == truth[r.candidate] for r in got]) > 0.9
+
+
 def test_dictionary_counts_all_documents(spark):
     df = spark.createDataFrame([("Alpha beta ab",)] * 3 + [("alpha, gamma",)], "text string")
     assert sorted(r.word for r in dictionary(df, min_count=3).collect()) == ["alpha", "beta"]
