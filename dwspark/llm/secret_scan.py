@@ -22,6 +22,9 @@ MIN_LENGTH, MAX_TRAIN, MIN_COUNT = 12, 20_000, 20
 # FIXED VALUES: names that credentials are assigned to, and words that mark samples.
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|credential|bearer|auth)"
 SAMPLE = r"(?i)(example|sample|dummy|test|placeholder|changeme|your[_-]|xxxx)"
+KEY = r"(A3T[A-Z0-9]|AKIA|ASIA)[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{16,}|glpat-[\w-]{16,}|[rs]k_(live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[\w-]{10,}|AIza[\w-]{30,}|eyJ[\w-]{10,}\.[\w-]{10,}"
+CLEAR = (r"^[+-]?[0-9]+([.:/_,-][0-9]+)*[.:]?$|^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.+-]+Z?$"       # numbers, dates, addresses
+         r"|^[A-Za-z]+://|^[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}[.:]?$")                                   # URLs, mail
 RUN = r"[A-Za-z0-9_+/=.@:-]"
 
 
@@ -75,6 +78,10 @@ FEATURES = ["length", "lower", "upper", "digits", "marks", "hex", "digit_to_lett
             "distinct", "coverage", "in_path", "path_depth", "path_sample", "named", "assigned", "quoted", "sample", "at_sign", "dots"]
 
 
+# what labels are made from where none are given, and quotes, which come with an assignment: not seen by the forest then
+CONTEXT = ["named", "assigned", "sample", "quoted"]
+
+
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     """Adds the columns of FEATURES, all numbers between 0 and 1 or counts."""
     c, n = F.col("candidate"), F.length("candidate")
@@ -101,10 +108,14 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Labels where none are given by people: 1 for a random-looking run assigned to
-    a credential's name, 0 for one that is neither named nor assigned; the rest have no label."""
-    return found.withColumn("label", F.when((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("sample") == 0), 1.0)
-                            .when((F.col("named") == 0) & (F.col("assigned") == 0), 0.0))
+    """Labels where none are given by people: 1 for a well-known key format and for what is
+    assigned to a credential's name, 0 for a clear shape (number, date, address, URL, mail or
+    dictionary words) that is not named; samples and all other runs, such as a random one
+    in running text, have no label. The forest must not see CONTEXT then."""
+    clear = F.col("candidate").rlike(CLEAR) | (F.col("coverage") >= 0.6)
+    key = F.col("candidate").rlike(KEY)
+    return found.withColumn("label", F.when((F.col("sample") == 0) & (key | ((F.col("named") == 1) & (F.col("assigned") == 1) & ~clear)), 1.0)
+                            .when(clear & ~key & (F.col("named") == 0), 0.0))
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, max_train: int = MAX_TRAIN,
@@ -129,7 +140,8 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold:
     sample = [known.filter(F.col("label") == c).orderBy(F.xxhash64("row", "word_no", "run_no"), "row", "word_no", "run_no").limit(n)
               .withColumn("weight", F.lit(max(found.values()) / n)) for c, n in sorted(found.items())]
     known = stored(sample[0].unionByName(sample[1]), "training-findings")
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    seen = FEATURES if labelled is not None else [c for c in FEATURES if c not in CONTEXT]
+    assemble = VectorAssembler(inputCols=seen, outputCol="features")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight").fit(assemble.transform(known))
     p = vector_to_array("probability")[1]
     return (forest.transform(assemble.transform(scored)).withColumn("p", p)

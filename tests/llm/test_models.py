@@ -161,6 +161,15 @@ def test_all_runs_of_a_word_are_candidates(spark):
     assert {(r.doc_id, r.word_no, r.candidate): r.run_no for r in out.collect()} == got
 
 
+def test_bare_keys_are_secrets_by_weak_labels(spark):
+    rows, truth = secrets()
+    rng = random.Random(8)
+    bare = {"".join(rng.choice("0123456789abcdef") for _ in range(40)): i for i in range(150)}
+    rows += [(1000 + i, f"run it with {k} now" if i % 2 else k, "en", "src/a", 1) for k, i in bare.items()]
+    got = {r.candidate: r.is_secret for r in scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert np.mean([got[k] for k in bare]) > 0.98 and np.mean([got[c] == v for c, v in truth.items()]) > 0.98
+
+
 def test_few_known_secrets_among_many_findings(spark):
     rows, truth = secrets()
     docs = spark.createDataFrame([r for r in rows if r[0] % 3 or r[0] < 30], SCHEMA)     # 10 secrets, 200 others
