@@ -35,8 +35,8 @@ def _mix(a: np.ndarray, b: np.ndarray, level: int) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def build_mph(a: np.ndarray, b: np.ndarray, count: np.ndarray) -> dict[str, bytes]:
-    """Arrays over distinct keys (a, b): level sizes, their bits, fingerprints and counts by rank.
+def build_mph(a: np.ndarray, b: np.ndarray, count: np.ndarray, whole: bool = False) -> dict[str, bytes]:
+    """Arrays over distinct keys (a, b): level sizes, their bits, fingerprints (the ``whole`` key or 32 bits) and counts by rank.
     What is left after the last level (next to nothing) is kept as a sorted list at the end."""
     left, sizes, bits, order = np.arange(len(a)), [], [], []
     for level in range(LEVELS):
@@ -54,14 +54,16 @@ def build_mph(a: np.ndarray, b: np.ndarray, count: np.ndarray) -> dict[str, byte
     order = np.concatenate([*order, left]).astype(np.int64)
     return {"sizes": np.array(sizes, np.int64).tobytes(), "bits": b"".join(x.tobytes() for x in bits),
             "rest": np.stack([a[left], b[left]]).tobytes(),
-            "prints": (b[order] >> np.uint64(32)).astype(np.uint32).tobytes(),
+            "prints": (np.stack([a[order], b[order]]) if whole else (b[order] >> np.uint64(32)).astype(np.uint32)).tobytes(),
             "counts": np.minimum(count[order], 2**32 - 1).astype(np.uint32).tobytes()}
 
 
 def probe_mph(index: dict[str, bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Counts of keys (a, b); 0 for a key that the index does not hold."""
     sizes = np.frombuffer(index["sizes"], np.int64)
-    prints, counts = np.frombuffer(index["prints"], np.uint32), np.frombuffer(index["counts"], np.uint32)
+    counts = np.frombuffer(index["counts"], np.uint32)
+    whole = len(index["prints"]) == 16 * len(counts)
+    prints = np.frombuffer(index["prints"], np.uint64).reshape(2, -1) if whole else np.frombuffer(index["prints"], np.uint32)
     out, place = np.zeros(len(a), np.int64), np.full(len(a), -1, np.int64)
     left, start, ranks = np.arange(len(a)), 0, 0
     for level, m in enumerate(sizes):
@@ -77,7 +79,10 @@ def probe_mph(index: dict[str, bytes], a: np.ndarray, b: np.ndarray) -> np.ndarr
         where = {k: i for i, k in enumerate(zip(*rest.tolist(), strict=True))}
         place[left] = [ranks + where[k] if (k := (int(x), int(y))) in where else -1 for x, y in zip(a[left], b[left], strict=True)]
     found = place >= 0
-    found[found] = prints[place[found]] == (b[found] >> np.uint64(32)).astype(np.uint32)
+    if whole:
+        found[found] = (prints[0, place[found]] == a[found]) & (prints[1, place[found]] == b[found])
+    else:
+        found[found] = prints[place[found]] == (b[found] >> np.uint64(32)).astype(np.uint32)
     out[found] = counts[place[found]]
     return out
 
@@ -122,7 +127,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shard = F.pmod("b", F.lit(shards)).cast("int")
     head = counts.filter(F.col("n") >= max(min_docs, total / heavy))            # at most ``heavy`` rows
     top = head.toPandas()
-    held = build_mph(_u64(top["a"]), _u64(top["b"]), top["n"].to_numpy())
+    held = build_mph(_u64(top["a"]), _u64(top["b"]), top["n"].to_numpy(), whole=True)     # lines it doesn't hold probe it too
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         arrays = build_mph(_u64(part["a"]), _u64(part["b"]), part["n"].to_numpy())

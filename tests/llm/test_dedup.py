@@ -191,3 +191,12 @@ def test_perfect_hash_is_minimal_and_rejects_strangers():
     x, y = rng.integers(0, 2**64, (2, 5000), dtype=np.uint64)
     assert (probe_mph(index, x, y) == 0).all()
     assert (probe_mph(build_mph(a[:0], b[:0], n[:0]), a, b) == 0).all()
+
+
+def test_held_lines_are_told_from_unknown_ones():
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, 2**63, 1, np.uint64) for _ in range(2))
+    unknown = rng.integers(0, 2**63, 20_000, np.uint64), b ^ rng.integers(1, 2**32, 20_000, np.uint64)     # the same upper half of b
+    held = build_mph(a, b, np.array([7]), whole=True)
+    assert probe_mph(held, a, b).tolist() == [7] and not probe_mph(held, *unknown).any()
+    assert probe_mph(build_mph(a, b, np.array([7])), a, b).tolist() == [7]
