@@ -15,12 +15,15 @@ from .chat_format import conversation_digests, format_windows
 from .common import stored, table, utf8_bytes
 from .decontamination import contained_items
 from .exact_dedup import exact_dedup
+from .lexical_search import ranked_search
 from .line_dedup import line_dedup
 from .mixing import document_rows, mix, taken_words
 from .near_dedup import near_dedup
+from .prefix_trie import prefix_trie, rebuilt_conversations
 from .quality import score_quality
 from .secret_scan import scan_secrets
 from .sharding import shard_balanced
+from .substring_dedup import remove_repeated_spans
 from .token_output import read_token_files, vocabulary_path, write_token_files
 
 
@@ -85,14 +88,29 @@ def op10_bit_plane_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op11_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_super_kmer_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_spans(table(spark, sf_dir, "documents"), width=50, with_text=False).drop("kept_text")
+
+
+def op13_collapsed_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt_conversations(table(spark, sf_dir, "conversations"))).drop("node", "parent")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_label_propagation_shards, op2_weighted_mix, op3_co_trained_quality, op4_minhash_hamming_dedup,
              op5_line_dedup, op6_secret_forest, op7_budgeted_chat_windows, op8_extendible_hash_dedup,
-             op9_containment_decontamination, op10_bit_plane_token_files]
+             op9_containment_decontamination, op10_bit_plane_token_files, op11_best_position_search,
+             op12_super_kmer_substring_dedup, op13_collapsed_prefix_trie]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     found = {"op4_minhash_hamming_dedup": sql.NEAR_DEDUP, "op5_line_dedup": sql.LINE_DEDUP,
-             "op8_extendible_hash_dedup": sql.EXACT_DEDUP, "op9_containment_decontamination": sql.CONTAINED_ITEMS}
+             "op8_extendible_hash_dedup": sql.EXACT_DEDUP, "op9_containment_decontamination": sql.CONTAINED_ITEMS,
+             "op11_best_position_search": sql.RANKED_SEARCH, "op12_super_kmer_substring_dedup": sql.REPEATED_SPANS,
+             "op13_collapsed_prefix_trie": sql.PREFIX_TRIE}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
