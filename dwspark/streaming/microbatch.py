@@ -7,19 +7,14 @@ those whose key the sink does not hold, and folding an event into the history
 twice changes nothing; so a replay, a lost checkpoint or a batch of old and new
 files all end in the same tables.
 
-A table is a set of immutable folders and a manifest, a small text file that
-names those that count. A batch writes its folders under names that were never used
-before and then creates the next manifest, which fails if it exists. That one step
-publishes all of the batch; nothing is renamed, and what a crashed attempt
-left is named by no manifest. Small folders are compacted, folders that the
-last manifests don't name are removed.
+A table is a store of published versions (``operators.versions``): a batch writes
+new folders and publishes them in one step. Small parts are merged in tiers, so a row is rewritten
+a few times in its life and a large part never.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +22,15 @@ from pyspark.sql import functions as F
 from ..functions.calendar import time_key
 from ..operators import scd
 from ..operators.sinks import new_rows
+from ..operators.versions import Manifest, VersionLog
 from ..session import scratch_path
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 FACT_SCHEMA = "event_id bigint, user_id bigint, time_key int, event_type string, value double, event_date date"
-MANIFESTS_KEPT = 5
-PARTS_BEFORE_COMPACTION = 32
+PARTS_PER_TIER = 8           # parts of one tier that are merged into one of the next
+LAST_TIER = 4               # whose parts are large and stay as they are
 ROWS_PER_BUCKET = 1_000_000
+MOST_BUCKETS = 1 << 14      # so that a manifest stays small; beyond it buckets hold more rows
 
 
 def read_event_stream(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
@@ -51,70 +48,10 @@ def event_fact_rows(events: DataFrame) -> DataFrame:
                          "event_type", "value")
 
 
-@dataclass
-class Manifest:
-    """The folders of a table: part name -> where it is, and the table's settings."""
-    version: int = 0
-    parts: dict[str, str] = field(default_factory=dict)
-    settings: dict[str, int] = field(default_factory=dict)
-
-
-class ManifestTable:
-    """Immutable folders under ``base``/data, named by ``base``/_manifest/<version>."""
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
-        self.jvm = spark.sparkContext._jvm
-        self.fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _path(self, p: str):
-        return self.jvm.org.apache.hadoop.fs.Path(p)
-
-    def _versions(self) -> list[int]:
-        root = self._path(f"{self.base}/_manifest")
-        if not self.fs.exists(root):
-            return []
-        return sorted(int(s.getPath().getName()) for s in self.fs.listStatus(root))
-
-    def read(self) -> Manifest:
-        versions = self._versions()
-        if not versions:
-            return Manifest()
-        lines = self.spark.read.text(f"{self.base}/_manifest/{versions[-1]}").collect()
-        found = json.loads("".join(r.value for r in lines))
-        return Manifest(versions[-1], found["parts"], found["settings"])
-
-    def new_folder(self) -> str:
-        return f"data/{uuid.uuid4().hex}"
-
-    def publish(self, last: Manifest, parts: dict[str, str], settings: dict[str, int] | None = None) -> None:
-        """The one step that makes a batch visible; fails if another writer was faster."""
-        self.fs.mkdirs(self._path(f"{self.base}/_manifest"))
-        body = json.dumps({"parts": parts, "settings": settings or last.settings}).encode()
-        out = self.fs.create(self._path(f"{self.base}/_manifest/{last.version + 1}"), False)
-        try:
-            out.write(bytearray(body))
-        finally:
-            out.close()
-        self._expire()
-
-    def _expire(self) -> None:
-        """Old manifests go, and with them the folders that no kept manifest names."""
-        versions = self._versions()
-        old, kept = versions[:-MANIFESTS_KEPT], versions[-MANIFESTS_KEPT:]
-        if not old:
-            return
-        named: set[str] = set()
-        for v in kept:
-            lines = self.spark.read.text(f"{self.base}/_manifest/{v}").collect()
-            named |= {p.split("/")[1] for p in json.loads("".join(r.value for r in lines))["parts"].values()}
-        for v in old:
-            self.fs.delete(self._path(f"{self.base}/_manifest/{v}"), False)
-        for s in self.fs.listStatus(self._path(f"{self.base}/data")):
-            if s.getPath().getName() not in named:
-                self.fs.delete(s.getPath(), True)
-
-    def load(self, schema: str, paths: list[str], base: str = "data") -> DataFrame:
+class ManifestTable(VersionLog):
+    """A table of immutable folders: see ``operators.versions``."""
+
+    def load(self, schema: str, paths: list[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.base}/{p}" for p in paths])
@@ -154,13 +91,20 @@ def append_events(spark: SparkSession, sink: str, batch: DataFrame) -> None:
         fresh.write.partitionBy("event_date").parquet(f"{table.base}/{folder}")
     finally:
         rows.unpersist()
-    parts = {**last.parts, folder: folder}
-    if len(parts) > PARTS_BEFORE_COMPACTION:
+    table.publish(last, _merged(table, {**last.parts, f"0/{uuid.uuid4().hex}": folder}))
+
+
+def _merged(table: ManifestTable, parts: dict[str, str]) -> dict[str, str]:
+    """A part's name begins with its tier; as many as PARTS_PER_TIER of one tier become one of the next."""
+    for tier in range(LAST_TIER):
+        same = [p for p in parts if p.startswith(f"{tier}/")]
+        if len(same) < PARTS_PER_TIER:
+            continue
         whole = table.new_folder()
-        (_load_fact(table, Manifest(0, parts)).hint("rebalance", "event_date")
+        (_load_fact(table, Manifest(0, {p: parts[p] for p in same})).hint("rebalance", "event_date")
          .write.partitionBy("event_date").parquet(f"{table.base}/{whole}"))
-        parts = {whole: whole}
-    table.publish(last, parts)
+        parts = {p: f for p, f in parts.items() if p not in same} | {f"{tier + 1}/{uuid.uuid4().hex}": whole}
+    return parts
 
 
 def stream_events_to_fact(spark: SparkSession, source_dir: str, sink: str | None = None,
@@ -196,7 +140,7 @@ def fold_events(spark: SparkSession, base: str, batch: DataFrame, rows_per_bucke
     table = ManifestTable(spark, base)
     last = table.read()
     n = last.settings.get("buckets", 1)
-    split = last.settings.get("largest", 0) > rows_per_bucket
+    split = last.settings.get("largest", 0) > rows_per_bucket and n < MOST_BUCKETS
     n = 2 * n if split else n
     log = batch.select("user_id", "ts", "event_id", F.col("event_type").alias("status")).persist()
     try:

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from dwspark.operators import versions
 from dwspark.plans import history
 from dwspark.streaming import microbatch as MB
 
@@ -83,20 +84,95 @@ def test_a_crash_before_publishing_leaves_nothing_behind(spark, events, tmp_path
     assert _versions(MB.current_snapshot(spark, base)) == _versions(want)
 
 
-def test_two_writers_cannot_publish_the_same_version(spark, events, tmp_path):
-    table = MB.ManifestTable(spark, str(tmp_path / "t"))
+def _table(spark, tmp_path, **k):
+    return MB.ManifestTable(spark, str(tmp_path / "t"), **k)
+
+
+def test_two_writers_cannot_publish_the_same_version(spark, tmp_path):
+    table = _table(spark, tmp_path)
     first = table.read()
     table.publish(first, {"a": "data/a"})
-    with pytest.raises(Exception, match="exist"):
+    with pytest.raises(versions.Conflict, match="exist"):
         table.publish(first, {"b": "data/b"})
     assert table.read().parts == {"a": "data/a"}
 
 
-def test_old_folders_expire_and_small_ones_are_compacted(spark, events, tmp_path, monkeypatch):
-    monkeypatch.setattr(MB, "PARTS_BEFORE_COMPACTION", 3)
+def test_of_writers_at_once_one_publishes(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    first = _table(spark, tmp_path).read()
+
+    def write(k):
+        try:
+            return _table(spark, tmp_path).publish(first, {f"p{k}": f"data/{k}"}).parts
+        except versions.Conflict:
+            return None
+    for _ in range(5):                                           # rounds: each follows the last winner
+        with ThreadPoolExecutor(8) as pool:
+            won = [x for x in pool.map(write, range(8)) if x]
+        assert len(won) == 1
+        first = _table(spark, tmp_path).read()
+        assert first.parts == won[0]
+
+
+@pytest.mark.parametrize("content", [b"", b"12 ab", b'{"parts": {}, "settings": {}}', b"5 0000\n{\"a\"", "\xff\x00".encode("latin-1")])
+def test_torn_and_foreign_manifests_are_passed_over(spark, tmp_path, content):
+    table = _table(spark, tmp_path)
+    table.publish(table.read(), {"a": "data/a"})
+    for name in ("2", "notes.txt", ".3-hidden", "_SUCCESS"):
+        (tmp_path / "t" / "_manifest" / name).write_bytes(content)
+    last = table.read()
+    assert last.version == 1 and last.parts == {"a": "data/a"}
+    assert table.publish(last, {"b": "data/b"}).version == 3 and table.read().parts == {"b": "data/b"}
+
+
+def test_a_stream_goes_on_after_a_torn_manifest(spark, events, tmp_path):
+    sink = str(tmp_path / "fact")
+    MB.append_events(spark, sink, events.filter("event_id % 3 = 0"))
+    (tmp_path / "fact" / "_manifest" / "2").write_bytes(b"")
+    MB.append_events(spark, sink, events.filter("event_id % 3 = 1"))
+    half_written = (tmp_path / "fact" / "_manifest" / "3").read_bytes()[:-7]
+    (tmp_path / "fact" / "_manifest" / "4").write_bytes(half_written)
+    MB.append_events(spark, sink, events)
+    assert _rows(MB.event_fact(spark, sink)) == _rows(MB.event_fact_rows(events))
+
+
+def test_the_claim_of_a_writer_holds_for_its_lease(spark, tmp_path, monkeypatch):
+    table = _table(spark, tmp_path)
+    first = table.publish(table.read(), {"a": "data/a"})
+    assert table._create(f"{table.base}/_claims/2")                # another writer has claimed, and not published
+    with pytest.raises(versions.Conflict, match="another writer"):
+        table.publish(first, {"b": "data/b"})
+    monkeypatch.setattr(versions, "LEASE", 0.0)                    # it died
+    assert table.publish(first, {"b": "data/b"}).version == 3
+
+
+def test_small_parts_are_merged_in_tiers_and_large_ones_stay(spark, events, tmp_path, monkeypatch):
+    monkeypatch.setattr(MB, "PARTS_PER_TIER", 3)
+    monkeypatch.setattr(MB, "LAST_TIER", 1)
     sink = str(tmp_path / "fact")
+    large = set()
     for k in range(9):
         MB.append_events(spark, sink, events.filter(f"event_id % 9 = {k}"))
+        parts = MB.ManifestTable(spark, sink).read().parts
+        now = {f for p, f in parts.items() if p.startswith("1/")}
+        assert large <= now                                          # merged once, never again
+        large = now
     assert _rows(MB.event_fact(spark, sink)) == _rows(MB.event_fact_rows(events))
-    assert len(os.listdir(f"{sink}/data")) <= 3 * MB.MANIFESTS_KEPT
-    assert len([f for f in os.listdir(f"{sink}/_manifest") if not f.startswith(".")]) == MB.MANIFESTS_KEPT
+    assert len(large) == 3 and len(parts) == 3
+
+
+def test_folders_expire_by_age(spark, tmp_path, monkeypatch):
+    for k in range(versions.KEPT + 3):
+        (tmp_path / "t" / "data" / str(k)).mkdir(parents=True)
+        table = _table(spark, tmp_path)
+        table.publish(table.read(), {"p": f"data/{k}"})
+    (tmp_path / "t" / "data" / "open").mkdir()                     # of a writer that has not published yet
+    assert len(os.listdir(tmp_path / "t" / "data")) == versions.KEPT + 4
+    assert len(table.versions()) == versions.KEPT
+    old = [str(k) for k in range(3)]
+    for name in old:
+        os.utime(tmp_path / "t" / "data" / name, (0, 0))
+    table = _table(spark, tmp_path, keep_seconds=3600.0)
+    table.publish(table.read(), {"p": "data/7"})
+    left = set(os.listdir(tmp_path / "t" / "data"))
+    assert "open" in left and not left & set(old)
