@@ -7,8 +7,8 @@ from . import history
 
 
 def _modules():
-    from . import corporate_queries, incremental, quality_queries, rule_queries, stateful, stream_queries
-    return [history, corporate_queries, incremental, quality_queries, rule_queries, stateful, stream_queries]
+    from . import corporate_queries, incremental, load_queries, quality_queries, rule_queries, stateful, stream_queries
+    return [history, corporate_queries, incremental, quality_queries, rule_queries, stateful, load_queries, stream_queries]
 
 
 def queries() -> dict:

@@ -24,84 +24,19 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import time_key
 from ..functions.keys import surrogate_key
-from ..functions.rules import MONEY, UNKNOWN_KEY
+from ..functions.rules import UNKNOWN_KEY
 from ..operators import scd
 from ..operators.sinks import items_of_new, stage
-from ..sources.binding import SRC_RETAIL, SRC_WHOLESALE, SourceTables
+from ..sources.binding import SRC_RETAIL, SRC_WHOLESALE
+from ..sources.bounds import BoundedSources, EarlierSources
 from ..sources.readers import sf_table
 from .corporate import Corporate
 
-# Parameters of the scenario: the days of the two loads, and which rows the earlier state lacked or had otherwise.
+# Parameters of the scenario: the days of the two loads.
 INITIAL_DAY, DELTA_DAY = "2001-03-01", "2001-04-01"
-NEW_EVERY, OLD_NAME, OLD_TITLE, OLD_PRICE, OLD_PHONE, OLD_POST = 13, 5, 3, 7, 4, 6
-OLDER = " (before)"
 SALE = ["source_system", "sale_id"]
 
 
-def _older(df: DataFrame, key: str, every: int, changes: dict) -> DataFrame:
-    """``df`` as it was: without each NEW_EVERY-th key, and each ``every``-th with other values."""
-    n = F.col(key).cast("bigint")
-    return (df.filter(n % NEW_EVERY != 0)
-            .withColumns({c: F.when(n % every == 0, old).otherwise(F.col(c)) for c, old in changes.items()}))
-
-
-def _was(c: str):
-    return F.concat(F.col(c), F.lit(OLDER))
-
-
-class EarlierSources(SourceTables):
-    """The sources when the initial load ran."""
-
-    @cached_property
-    def wholesale_customers(self) -> DataFrame:
-        return _older(SourceTables.wholesale_customers.func(self), "customer_id", OLD_NAME, {"company_name": _was("company_name")})
-
-    @cached_property
-    def retail_persons(self) -> DataFrame:
-        return _older(SourceTables.retail_persons.func(self), "person_id", OLD_NAME, {"profession": _was("profession")})
-
-    @cached_property
-    def wholesale_employees(self) -> DataFrame:
-        return _older(SourceTables.wholesale_employees.func(self), "employee_id", OLD_TITLE, {"title": _was("title")})
-
-    @cached_property
-    def products(self) -> DataFrame:
-        return _older(SourceTables.products.func(self), "product_id", OLD_PRICE, {"price": (F.col("price") + 1).cast(MONEY)})
-
-    @cached_property
-    def retail_suppliers(self) -> DataFrame:
-        return _older(SourceTables.retail_suppliers.func(self), "supplier_id", OLD_PHONE, {"number": F.lit("0")})
-
-    @cached_property
-    def retail_addresses(self) -> DataFrame:
-        return _older(SourceTables.retail_addresses.func(self), "person_id", OLD_POST, {"postal_code": F.lit("0")})
-
-    @cached_property
-    def wholesale_carriers(self) -> DataFrame:
-        """Those of the orders of the time, with another phone each."""
-        found = self.orders.select(F.substring_index("o_orderpriority", "-", 1).alias("carrier_id")).distinct()
-        return SourceTables.wholesale_carriers.func(self).join(found, "carrier_id", "left_semi").withColumn("phone", _was("phone"))
-
-
-class BoundedSources(SourceTables):
-    """The sources now, transactions only beyond the bounds (literals, so they reach both scans)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, bounds: dict[str, int]):
-        self.bounds = bounds
-        super().__init__(spark, sf_dir, order_filter=self._beyond)
-
-    def _beyond(self, orders: DataFrame) -> DataFrame:
-        """One condition on the key alone for the scan, and one by source."""
-        key, by_source = F.col("o_orderkey"), F.lit(False)
-        for source, bound in self.bounds.items():
-            by_source = by_source | ((F.col("source_system") == source) & (key > bound))
-        return orders.filter((key > min(self.bounds.values())) & by_source)
-
-    @cached_property
-    def lines(self) -> DataFrame:
-        return SourceTables.lines.func(self).filter(F.col("l_orderkey") > min(self.bounds.values()))
-
-
 VERSIONED = {  # entity -> (corporate table, keys)
     "customer": ("customers", ["source_system", "customer_id"]),
     "employee": ("employees", ["source_system", "employee_id"]),
@@ -121,6 +56,26 @@ def _merge(state: DataFrame | None, batch: DataFrame, keys: list[str], day: str)
     return scd.scd2_merge(state, batch, keys, attrs, day)
 
 
+def touched_keys(now: Corporate, entity: str) -> DataFrame:
+    """Keys that the delta, the transactions of ``now``, mentions (P6, P7: not null, distinct)."""
+    sales = now.sales_items
+    bought = now.purchase_lines.select(F.lit(SRC_RETAIL).alias("source_system"), "product_id",
+                                       F.col("l_suppkey").cast("string").alias("supplier_id"))
+    if entity == "product":
+        found = sales.select("source_system", "product_id").union(bought.select("source_system", "product_id"))
+    elif entity == "supplier":
+        found = bought.select("source_system", "supplier_id")
+    elif entity == "address":                         # of touched customers, employees and suppliers
+        own = (now.customers.join(touched_keys(now, "customer"), ["source_system", "customer_id"], "left_semi")
+               .select("source_system", "address_id"))
+        staff = touched_keys(now, "employee").select("source_system", F.concat(F.lit("EMP-"), "employee_id"))
+        shops = touched_keys(now, "supplier").select("source_system", F.concat(F.lit("SUP-"), "supplier_id"))
+        found = own.union(staff).union(shops)
+    else:
+        found = sales.select("source_system", f"{entity}_id")
+    return found.dropna().distinct()
+
+
 class StatefulLoad:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -130,8 +85,7 @@ class StatefulLoad:
     # -- initial load -----------------------------------------------------------
     @cached_property
     def earlier(self) -> Corporate:
-        cut = self.cut
-        return Corporate(EarlierSources(self.spark, self.sf_dir, order_filter=lambda o: o.filter(F.col("o_orderkey") <= cut)))
+        return Corporate(EarlierSources(self.spark, self.sf_dir, upto=self.cut))
 
     def initial(self, entity: str) -> DataFrame:
         """The stored state of an entity after the initial load."""
@@ -169,23 +123,7 @@ class StatefulLoad:
         return corp
 
     def touched(self, entity: str) -> DataFrame:
-        """Keys that the delta mentions (P6, P7: not null, distinct)."""
-        sales = self.now.sales_items
-        bought = self.now.purchase_lines.select(F.lit(SRC_RETAIL).alias("source_system"), "product_id",
-                                                F.col("l_suppkey").cast("string").alias("supplier_id"))
-        if entity == "product":
-            found = sales.select("source_system", "product_id").union(bought.select("source_system", "product_id"))
-        elif entity == "supplier":
-            found = bought.select("source_system", "supplier_id")
-        elif entity == "address":                         # of touched customers, employees and suppliers
-            own = (self.now.customers.join(self.touched("customer"), ["source_system", "customer_id"], "left_semi")
-                   .select("source_system", "address_id"))
-            staff = self.touched("employee").select("source_system", F.concat(F.lit("EMP-"), "employee_id"))
-            shops = self.touched("supplier").select("source_system", F.concat(F.lit("SUP-"), "supplier_id"))
-            found = own.union(staff).union(shops)
-        else:
-            found = sales.select("source_system", f"{entity}_id")
-        return found.dropna().distinct()
+        return touched_keys(self.now, entity)
 
     def reread(self, entity: str) -> DataFrame:
         """The touched rows of an entity as the source has them now."""
