@@ -219,9 +219,12 @@ def purchases_category_by_quarter(m: Marts, f: MartFilters = NO_FILTERS) -> Data
 
 
 # -- deliveries -------------------------------------------------------------------
-def _deliveries(m: Marts, f: MartFilters, allowed, *cal_cols: str) -> DataFrame:
-    fd = f.period(m.fact_deliveries, "order_date", allowed)
-    if "carrier" in allowed and f.carrier is not None:
+def _deliveries(m: Marts, f: MartFilters, allowed, *cal_cols: str, lookups: bool = False) -> DataFrame:
+    """``lookups``: the card reads employee or carrier keys."""
+    by_carrier = "carrier" in allowed and f.carrier is not None
+    lean = not (lookups or by_carrier) and isinstance(m, Marts) and "fact_deliveries" not in m.__dict__
+    fd = f.period(m.fact_deliveries_core if lean else m.fact_deliveries, "order_date", allowed)
+    if by_carrier:
         chosen = m.dim_carrier.filter(F.col("carrier_name") == f.carrier).select("carrier_key")
         fd = fd.join(chosen, "carrier_key", "left_semi")
     return _with_calendar(fd, m, "order_time_key", cal_cols)
@@ -260,14 +263,14 @@ def _per_carrier(m: Marts, d: DataFrame, *aggs) -> DataFrame:
 
 
 def deliveries_delay_by_carrier(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
-    d = _deliveries(m, f, P).filter(F.col("delay_days").isNotNull())
+    d = _deliveries(m, f, P, lookups=True).filter(F.col("delay_days").isNotNull())
     g = _per_carrier(m, d, F.sum("delay_days").alias("s"), F.count("delay_days").alias("n"))
     return (g.groupBy("carrier_name").agg(ratio(F.sum("s"), F.sum("n"), 1).alias("avg_delay"))
             .orderBy(F.col("avg_delay").desc()))
 
 
 def deliveries_freight_by_carrier(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
-    d = _deliveries(m, f, P)
+    d = _deliveries(m, f, P, lookups=True)
     g = _per_carrier(m, d, F.sum("freight").alias("s"), F.count("freight").alias("n"))
     return (g.groupBy("carrier_name").agg(ratio(F.sum("s"), F.sum("n"), 2).alias("avg_freight"))
             .orderBy(F.col("avg_freight").desc_nulls_first()))
@@ -279,7 +282,7 @@ def deliveries_by_month(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
 
 
 def deliveries_top10_employees(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
-    d = _deliveries(m, f, P_CARRIER)
+    d = _deliveries(m, f, P_CARRIER, lookups=True)
     per_key = d.groupBy("employee_key").agg(F.sum("order_value").alias("v"))
     emp = m.dim_employee.select("employee_key", "employee_name")
     by_name = (per_key.join(emp, "employee_key", "left")
@@ -289,7 +292,7 @@ def deliveries_top10_employees(m: Marts, f: MartFilters = NO_FILTERS) -> DataFra
 
 
 def deliveries_carrier_summary(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
-    d = _deliveries(m, f, P)
+    d = _deliveries(m, f, P, lookups=True)
     g = _per_carrier(m, d, F.count(F.lit(1)).alias("c"), F.sum("order_value").alias("v"),
                      F.sum("freight").alias("fs"), F.count("freight").alias("fn"),
                      F.sum("days_to_ship").alias("ss"), F.count("days_to_ship").alias("sn"),
@@ -303,7 +306,7 @@ def deliveries_carrier_summary(m: Marts, f: MartFilters = NO_FILTERS) -> DataFra
 
 
 def deliveries_carrier_by_quarter(m: Marts, f: MartFilters = NO_FILTERS) -> DataFrame:
-    d = _deliveries(m, f, P, "quarter")
+    d = _deliveries(m, f, P, "quarter", lookups=True)
     per_key = d.groupBy("carrier_key", "quarter").agg(F.sum("freight").alias("v"))
     x = quarter_crosstab(per_key.join(_carriers(m), "carrier_key"), "carrier_name", "quarter", "v", "carrier_name")
     return x.select("carrier_name", *[F.col(c).cast(MONEY_SUM).alias(c) for c in ("T1", "T2", "T3", "T4", "total")]) \

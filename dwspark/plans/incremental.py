@@ -1,12 +1,8 @@
-"""Incremental loads from an id watermark (E2), on the same code path as
-the full load: the delta is nothing but an order filter handed to the
-source binding, so ``initial + delta == full`` by construction and is
-checked against the oracle.
-
-Scenario used by the registered queries: the initial load takes the
-orders up to half of the largest order key (a scalar subquery, evaluated
-once); the watermarks are then read back from that load's corporate
-headers and the delta is everything above them.
+"""Delta queries behind an id watermark (E2), on the same code path as
+the full load: the delta is nothing but bounded sources. Scenario of the
+registered queries: the initial load took the orders up to half of the
+largest order key, and the delta is everything above its watermarks. Loads
+that keep state are in ``loads``.
 """
 
 from __future__ import annotations
@@ -16,9 +12,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sinks import items_of_new
+from ..operators.sinks import items_of_new, stage
 from ..oracle.binding import with_binding
 from ..sources.binding import SRC_RETAIL, SRC_WHOLESALE
+from ..sources.bounds import BoundedSources
 from ..sources.readers import sf_table
 from .marts import Marts
 
@@ -36,38 +33,35 @@ def watermark_by_source(headers: DataFrame, sources: list[str], id_col: str) ->
                .agg(F.coalesce(F.max(F.col("__id").try_cast("bigint")), F.lit(0).cast("bigint")).alias("watermark")))
 
 
-def after_watermark(wm: DataFrame):
-    """Orders above their source's watermark. The watermark table has
-    one row per source system (bounded by design), hence the broadcast."""
-    def f(o: DataFrame) -> DataFrame:
-        j = o.join(F.broadcast(wm), "source_system", "left")
-        return j.filter(F.col("o_orderkey") > F.coalesce(F.col("watermark"), F.lit(0))).drop("watermark")
-    return f
-
-
 class IncrementalLoad:
+    """The delta behind an initial load. The watermarks are a few numbers, so they are read first and reach the
+    scans of orders and lines as literals (``BoundedSources``)."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def split(self):
+    def cut(self) -> int:
         orders = sf_table(self.spark, self.sf_dir, "orders", ["o_orderkey"])
-        return orders.select((F.max("o_orderkey") / 2).cast("bigint")).scalar()
+        return (orders.agg(F.max("o_orderkey")).first()[0] or 0) // 2
 
     @cached_property
     def initial(self) -> Marts:
-        cut = self.split
-        return Marts(self.spark, self.sf_dir, order_filter=lambda o: o.filter(F.col("o_orderkey") <= cut))
+        return Marts(self.spark, self.sf_dir, src=BoundedSources(self.spark, self.sf_dir, upto=self.cut))
 
     @cached_property
     def sales_watermarks(self) -> DataFrame:
-        return watermark_by_source(self.initial.corp.sale_headers, [SRC_WHOLESALE, SRC_RETAIL], "sale_id")
+        """Of the orders that were loaded: those with items, whose keys alone are read."""
+        src = self.initial.src
+        loaded = (src.orders.select("source_system", F.col("o_orderkey").alias("sale_id"))
+                  .join(src.lines.select(F.col("l_orderkey").alias("sale_id")), "sale_id", "left_semi"))
+        return stage(watermark_by_source(loaded, [SRC_WHOLESALE, SRC_RETAIL], "sale_id"), "sales-watermarks")
 
     @cached_property
     def purchase_watermarks(self) -> DataFrame:
         loaded = self.initial.corp.purchase_lines.select(
             F.lit(SRC_RETAIL).alias("source_system"), F.col("l_orderkey").alias("purchase_order"))
-        return watermark_by_source(loaded, [SRC_RETAIL], "purchase_order")
+        return stage(watermark_by_source(loaded, [SRC_RETAIL], "purchase_order"), "purchase-watermarks")
 
     @cached_property
     def watermarks(self) -> DataFrame:
@@ -75,17 +69,21 @@ class IncrementalLoad:
                 .unionByName(self.purchase_watermarks.withColumn("stream", F.lit("purchases")))
                 .select("stream", "source_system", "watermark"))
 
+    def _beyond(self, watermarks: DataFrame) -> Marts:
+        bounds = {r.source_system: r.watermark for r in watermarks.collect()}       # a row per source system
+        return Marts(self.spark, self.sf_dir, src=BoundedSources(self.spark, self.sf_dir, bounds))
+
     @cached_property
     def sales_delta(self) -> Marts:
-        return Marts(self.spark, self.sf_dir, order_filter=after_watermark(self.sales_watermarks))
+        return self._beyond(self.sales_watermarks)
 
     @cached_property
     def purchases_delta(self) -> Marts:
-        return Marts(self.spark, self.sf_dir, order_filter=after_watermark(self.purchase_watermarks))
+        return self._beyond(self.purchase_watermarks)
 
     # -- staging (delta extracts) -------------------------------------------------
     def delta_sales(self) -> DataFrame:
-        li = self.sales_delta.corp.sales_lines
+        li = self.sales_delta.corp.sales_items
         return li.select("source_system", "sale_id", "customer_id", "order_date", "employee_id", "carrier_id",
                          "product_id", "quantity", "unit_price", "discount_rate")
 

@@ -35,14 +35,14 @@ def staged_marts(spark: SparkSession, sf_dir: str) -> Marts:
 
 class Marts:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, order_filter=None,
-                 corp=None):
+                 corp=None, src=None):
         """``corp`` replaces the computed corporate layer with stored tables
         (``warehouse.StoredCorporate``): marts are built from the corporate
-        layer only (F7)."""
+        layer only (F7); ``src`` replaces the sources, e.g. by bounded ones."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
-        self.src = SourceTables(spark, sf_dir, order_filter)
+        self.src = src if src is not None else SourceTables(spark, sf_dir, order_filter)
         self.corp = corp if corp is not None else Corporate(self.src)
 
     # -- dimensions ------------------------------------------------------------
@@ -184,27 +184,36 @@ class Marts:
 
     @cached_property
     def order_values(self) -> DataFrame:
-        """A1: items pre-aggregated to the order (wholesale money rule)."""
+        """A1: items pre-aggregated to the order (wholesale money rule). An order's header columns are the same in all its
+        items; as part of the group key they let a filter on them pass below the aggregate, to the scan."""
         li = self.corp.sales_items.filter(F.col("source_system") == SRC_WHOLESALE)
-        return li.groupBy("o_orderkey").agg(
-            F.sum("item_total").alias("order_value"), F.max("ship_date").alias("last_ship_date"),
-            *[F.first(c).alias(c) for c in ("source_system", "sale_id", "order_date", "o_orderstatus", "customer_id",
-                                            "employee_id", "carrier_id", "due_date", "freight")])
+        return li.groupBy("o_orderkey", "source_system", "sale_id", "order_date", "o_orderstatus", "customer_id", "employee_id",
+                          "carrier_id", "due_date", "freight").agg(
+            F.sum("item_total").alias("order_value"), F.max("ship_date").alias("last_ship_date"))
+
+    @cached_property
+    def fact_deliveries_core(self) -> DataFrame:
+        """``fact_deliveries`` without the employee and carrier lookups, for the cards that read neither."""
+        return self._deliveries(self.order_values)
 
     @cached_property
     def fact_deliveries(self) -> DataFrame:
         """One row per wholesale order with items."""
         # lines are read once: value, ship date and header of an order in one aggregate
-        h = self.order_values.withColumn("shipped_date", F.when(F.col("o_orderstatus") != "O", F.col("last_ship_date")))
-        h = self._lookup(h, self.employee_keys, "employee_key", "employee_id", "employee_key")
+        h = self._lookup(self.order_values, self.employee_keys, "employee_key", "employee_id", "employee_key")
         h = self._lookup(h, self.carrier_keys, "carrier_key", "carrier_id", "carrier_key")
+        return self._deliveries(h, "employee_key", "carrier_key")
+
+    @staticmethod
+    def _deliveries(orders: DataFrame, *looked_up: str) -> DataFrame:
+        h = orders.withColumn("shipped_date", F.when(F.col("o_orderstatus") != "O", F.col("last_ship_date")))
         return h.select(
             "source_system", "sale_id",
             time_key(F.col("order_date")).alias("order_time_key"),
             F.when(F.col("shipped_date").isNotNull(), time_key(F.col("shipped_date"))).alias("ship_time_key"),
             F.col("order_date"), F.col("shipped_date"),
             surrogate_key(F.col("source_system"), F.col("customer_id")).alias("customer_key"),
-            "employee_key", "carrier_key",
+            *looked_up,
             surrogate_key(F.col("source_system"), F.col("customer_id")).alias("address_key"),
             F.coalesce(F.col("order_value"), F.lit(0)).cast("decimal(25,2)").alias("order_value"),
             "freight",

@@ -1,5 +1,7 @@
 """Full load == initial load + incremental delta (one code path)."""
-from dwspark.plans.incremental import IncrementalLoad
+import pytest
+
+from dwspark.plans.incremental import IncrementalLoad, queries
 from dwspark.plans.marts import Marts
 
 
@@ -26,3 +28,13 @@ def test_watermarks_cover_every_source(spark, sf_small):
     wm = {(r.stream, r.source_system): r.watermark for r in IncrementalLoad(spark, sf_small).watermarks.collect()}
     assert set(wm) == {("sales", "WHOLESALE"), ("sales", "RETAIL"), ("purchases", "RETAIL")}
     assert all(v > 0 for v in wm.values())
+
+
+@pytest.mark.parametrize("name", ["delta_sales", "delta_purchases", "fact_sales_incremental", "fact_purchases_incremental",
+                                  "fact_deliveries_incremental", "touched_customers"])
+def test_deltas_read_lines_once_and_bounded(spark, sf_small, name):
+    plan = queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "FileScan" in x]
+    assert sum("lineitem.parquet" in x for x in scans) == 1
+    assert all("GreaterThan(l_orderkey" in x for x in scans if "lineitem.parquet" in x)
+    assert any("GreaterThan(o_orderkey" in x for x in scans if "orders.parquet" in x)

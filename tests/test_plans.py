@@ -21,6 +21,15 @@ def test_no_udf_no_cartesian(spark, name):
         assert bad not in p, f"{name} uses {bad}"
 
 
+@pytest.mark.parametrize("card", D.DELIVERIES, ids=lambda c: c.__name__)
+def test_period_filter_of_deliveries_reaches_the_orders_scan(spark, card):
+    p = _plan(card(Marts(spark, SF), MartFilters(date_from="1996-01-01", date_to="1996-12-31")))
+    scans = [line for line in p.split("\n") if "orders.parquet" in line and "o_orderdate" in line]
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in line for line in scans)
+    reads_keys = card.__name__ in ("deliveries_top10_employees",) or "carrier" in card.__name__
+    assert reads_keys or "s_suppkey#" not in "".join(x for x in p.split("\n") if "FileScan" in x and "s_name" in x)
+
+
 def test_period_filter_and_pruning_reach_the_scan(spark):
     m = Marts(spark, SF)
     df = D.deliveries_count(m, MartFilters(date_from="1996-01-01", date_to="1996-12-31"))
