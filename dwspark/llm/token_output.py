@@ -17,8 +17,7 @@ import os
 import re
 import string
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,83 +36,98 @@ RECORD_SCHEMA = ("part int, record int, first long, ids long, doc_ids array<long
                  "block int, unit string, planes array<int>, payload binary")
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-# A byte-level vocabulary writes a byte as a letter: printable ones as they are in Latin-1, the others, in order, from 256 on.
-_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_LETTERS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
-SPACE_LETTER = chr(BYTE_LETTERS[0x20])
-RUN = re.compile(r" \s|\s ")         # a space next to other white space
+OTHER_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"                          # white space but for the space and the line feed
+OTHER = OTHER_ASCII + "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(chr(c) for c in range(0x2000, 0x200B))
 
 
 class Encoder:
-    """Ids of texts. A text is cut at each space that stands between two other
-    characters that are not white space; the byte-level pre-tokenizer always
-    starts a new word there, so the pieces encode to the same ids as the whole
-    text. Most pieces occur again and again; each is encoded once and its ids
-    are kept as bytes, up to WORDS_HELD pieces."""
+    """Ids of texts. The byte-level pre-tokenizer starts a new word at each space that stands between two characters that are
+    not white space, and makes a line feed that does so an id of its own; so a text may be cut there, and its pieces
+    encode to the same ids as the whole text. A piece that follows a space is held by its text, one that
+    follows a line feed by a line feed and its text. Most pieces occur again and again; each is encoded
+    once and its ids are kept as bytes, up to WORDS_HELD pieces. Special tokens in a text count as the
+    tokenizer has them; a text that holds one is encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks use the cores already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.held: dict[str, bytes] = {}          # ids of a piece with its space before it
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.held: dict[str, bytes] = {}
         self.trails: dict[str, bytes] = {}        # ids of a run of punctuation
-        self.model = self.tokenizer.model
-        self.by_model = all(self._model_ids(w) == self._bytes([" " + w])[0] for w in ("hello", "Straße", "été", "слово", "語"))
-        self.line = int(np.frombuffer(self._bytes(["\n"])[0], np.uint32)[0])
-        self.by_line = self._bytes([" 1a\n b2"])[0] == b"".join(self._bytes([" 1a", "\n", " b2"]))
-
-    def _batch(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, np.uint32).tobytes() for ids in self._batch(texts)]
-
-    def _model_ids(self, word: str) -> bytes:
-        """Ids of a space and a run of letters, which the pre-tokenizer never splits."""
-        letters = SPACE_LETTER + (word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS))
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Letters, with or without punctuation behind them, go to the vocabulary's model at once. Other
-        pieces without white space are encoded many at a time, a line feed between them: it is an id of its own."""
-        left = []
+        line = self._ids(["\n"])[0]
+        self.line = int(line[0])
+        # the vocabulary is one in which line feeds can be told apart
+        self.by_line = len(line) == 1 and [x.tolist() for x in self._ids([" 1a\n b2", "c\nd"])] == [
+            [*x, self.line, *y] for x, y in ((self._ids([" 1a"])[0], self._ids([" b2"])[0]), (self._ids(["c"])[0], self._ids(["d"])[0]))]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The pieces of a text whose words are parted by single spaces and line feeds, the first as after a line feed."""
+        if not text or any(c in text for c in (OTHER_ASCII if text.isascii() else OTHER)):
+            return None
+        marked = text.replace("\n", " \n")
+        if "  " in marked or "\n " in marked or marked[0] == " " or marked[-1] in " \n":
+            return None
+        pieces = marked.split(" ")
+        pieces[0] = "\n" + pieces[0]
+        return pieces
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Words are learned without the punctuation behind them, many at a time: with line feeds between them they don't touch."""
+        parts, new = [], set()
         for p in pieces:
             word = p.rstrip(string.punctuation)
-            if self.by_model and word.isalpha():
-                ids = self._model_ids(word)
-                if len(word) < len(p):
-                    trail = p[len(word):]
-                    if trail not in self.trails:
-                        self.trails[trail] = self._bytes([trail])[0]
-                    ids += self.trails[trail]
-                self.held[p] = ids
-            else:
-                left.append(p)
-        plain = [p for p in left if self.by_line and p.split() == [p]]
-        for i in range(0, len(plain), 10_000):
-            some = plain[i:i + 10_000]
-            ids = np.frombuffer(self._bytes([" " + "\n ".join(some)])[0], np.uint32)
-            ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
-            raw, at = ids.tobytes(), 0
-            for piece, end in zip(some, ends, strict=True):
-                self.held[piece] = raw[4 * at:4 * end]
-                at = end + 1
-        known = set(plain)
-        rest = [p for p in left if p not in known]
-        self.held.update(zip(rest, self._bytes([" " + p for p in rest]), strict=True))
+            if not (word.isalpha() or word[:1] == "\n" and word[1:].isalpha()):
+                word = p
+            parts.append((p, word))
+            if word not in self.held:
+                new.add(word)
+        after_line = [w for w in new if w[0] == "\n" and w.split() == [w[1:]]]
+        after_space = [w for w in new if w.split() == [w]]
+        for some, first, between in ((after_space, " ", "\n "), (after_line, "", "")):
+            for i in range(0, len(some), 10_000):
+                self._learn_many(some[i:i + 10_000], first, between)
+        rest = [w for w in new if w not in self.held]
+        self.held.update(zip(rest, (x.tobytes() for x in self._ids([" " + w for w in rest])), strict=True))
+        for p, word in parts:
+            if p is not word:
+                trail = p[len(word):]
+                if trail not in self.trails:
+                    self.trails[trail] = self._ids([trail])[0].tobytes()
+                self.held[p] = self.held[word] + self.trails[trail]
+
+    def _learn_many(self, words: list[str], first: str, between: str) -> None:
+        ids = self._ids([first + between.join(words)])[0]
+        at = np.flatnonzero(ids == self.line)
+        raw = ids.tobytes()
+        if between:                    # the line feeds are no part of the words
+            bounds = zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True)
+        else:                          # each word begins with its own
+            bounds = zip(at.tolist(), [*at[1:].tolist(), len(ids)], strict=True)
+        self.held.update((w, raw[4 * lo:4 * hi]) for w, (lo, hi) in zip(words, bounds, strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [CUT.split(t) if RUN.search(t) else t.split(" ") for t in texts]
-        heads = self._batch([pieces[0] for pieces in cut])
-        tails = [pieces[1:] for pieces in cut]
+        out: list[np.ndarray | None] = [None] * len(texts)
+        whole = [i for i, t in enumerate(texts) if not self.by_line or any(s in t for s in self.special)]
+        left = set(range(len(texts))).difference(whole)
+        cut = {i: p for i in left if (p := self._cut(texts[i])) is not None}
+        odd = sorted(left.difference(cut))                       # other white space: cut where a single space is
+        tails = {i: CUT.split(texts[i]) for i in odd}
+        for i, ids in zip([*whole, *odd], self._ids([*(texts[i] for i in whole), *(tails[i][0] for i in odd)]), strict=True):
+            out[i] = ids
         if len(self.held) > WORDS_HELD:
             self.held.clear()
             self.trails.clear()
-        self._learn(list(set().union(*tails).difference(self.held)))
+        self._learn(set().union(*cut.values(), *(tails[i][1:] for i in odd)).difference(self.held))
         ids = self.held.__getitem__
-        return [np.concatenate((np.array(head, np.uint32), np.frombuffer(b"".join(map(ids, tail)), np.uint32)))
-                for head, tail in zip(heads, tails, strict=True)]
+        for i, pieces in cut.items():
+            out[i] = np.frombuffer(b"".join(map(ids, pieces)), np.uint32)[1:]        # without the line feed before the first piece
+        for i in odd:
+            out[i] = np.concatenate((out[i], np.frombuffer(b"".join(map(ids, tails[i][1:])), np.uint32)))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}

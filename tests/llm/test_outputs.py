@@ -147,16 +147,26 @@ ODD = ["", " ", "  ", " a", "a  b", "a \n b", "\n\n x", "x\t y z", "<|endoftext|
        "tab\tx y\n", "it's a 'll don't 123 4 5,6 !? ", "\U0001F642 \U0001F642‍\U0001F642 x", "a\x85 b\x1c c", "line\nline two \nthree"]
 
 
+def plain_tokenizer():
+    """The tokenizer as it is in its file, not the object that the operator holds."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(vocabulary_path())
+
+
 def test_pieces_encode_like_whole_texts(rows):
-    enc = Encoder(vocabulary_path())
-    texts = ODD + [r[1] or "" for r in rows]
+    rng = random.Random(6)
+    parts = ["a", "B", " ", "  ", "\n", "\n\n", "é", "\t", "'s", "don't", ".", "...", "1", "23", "\u3000", "\xa0", "\x85", "\x1c", "\u200b", "語",
+             "<|endoftext|>", "<|endo", "\U0001F642", "\r\n", "_", "x y", "word", " and", "\nThen"]
+    texts = ODD + [r[1] or "" for r in rows] + ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(5000)]
+    enc, plain = Encoder(vocabulary_path()), plain_tokenizer()
     for text, ids in zip(texts, enc.encode(texts), strict=True):
-        assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert plain.encode("<|endoftext|>", add_special_tokens=False).ids == enc.encode(["<|endoftext|>"])[0].tolist() == [50256]
 
 
 @pytest.mark.parametrize("unit", ["byte", "bit"])
 def test_token_files_round_trip(spark, clashing, rows, unit):
-    enc = Encoder(vocabulary_path()).tokenizer
+    enc = plain_tokenizer()
     path = write_token_files(clashing, vocabulary_path(), parts=3, unit=unit, block=64, record=500)
     got = read_token_files(spark, path, with_ids=True).orderBy("start").collect()
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x))
