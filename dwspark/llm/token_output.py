@@ -77,14 +77,15 @@ class Encoder:
 
     def _learn(self, pieces: Iterable[str]) -> None:
         """Words are learned without the punctuation behind them, many at a time: with line feeds between them they don't touch."""
-        parts, new = [], set()
+        new, trailing = set(), {}
         for p in pieces:
-            word = p.rstrip(string.punctuation)
-            if not (word.isalpha() or word[:1] == "\n" and word[1:].isalpha()):
-                word = p
-            parts.append((p, word))
-            if word not in self.held:
-                new.add(word)
+            if not p.isalpha():
+                word = p.rstrip(string.punctuation)
+                if len(word) < len(p) and (word.isalpha() or word[:1] == "\n" and word[1:].isalpha()):
+                    trailing[p] = word
+                    p = word
+            if p not in self.held:
+                new.add(p)
         after_line = [w for w in new if w[0] == "\n" and w.split() == [w[1:]]]
         after_space = [w for w in new if w.split() == [w]]
         for some, first, between in ((after_space, " ", "\n "), (after_line, "", "")):
@@ -92,12 +93,11 @@ class Encoder:
                 self._learn_many(some[i:i + 10_000], first, between)
         rest = [w for w in new if w not in self.held]
         self.held.update(zip(rest, (x.tobytes() for x in self._ids([" " + w for w in rest])), strict=True))
-        for p, word in parts:
-            if p is not word:
-                trail = p[len(word):]
-                if trail not in self.trails:
-                    self.trails[trail] = self._ids([trail])[0].tobytes()
-                self.held[p] = self.held[word] + self.trails[trail]
+        for p, word in trailing.items():
+            trail = p[len(word):]
+            if trail not in self.trails:
+                self.trails[trail] = self._ids([trail])[0].tobytes()
+            self.held[p] = self.held[word] + self.trails[trail]
 
     def _learn_many(self, words: list[str], first: str, between: str) -> None:
         ids = self._ids([first + between.join(words)])[0]
