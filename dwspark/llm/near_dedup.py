@@ -14,11 +14,12 @@ Texts with the same shingle set are one node. A key with many nodes is first
 worked off in stars: every node is compared with the head of its keys only, and
 linked nodes become one component; heads differ from round to round. What is left are keys
 whose nodes lie in different components. They are compared in blocks: a unit holds two blocks
-of a key, and what leaves it is no list of pairs but a spanning forest of the
-pairs within the radius. The trees of all units form clusters, and a cluster is
+of a key, and what leaves it is no list of pairs: the nodes that are within the radius of another
+component's, and edges between components, a forest over those of the unit. The components that such edges
+connect form clusters, and the nodes of a cluster that were within the radius are
 compared in blocks again, now on the full shingle sets. So no pair within the
-radius is missed, rows grow with the nodes and not with their pairs, and no unit is larger than
-two blocks.
+radius is missed, and no unit is larger than two blocks. What units emit grows with their nodes and components, not
+with pairs; but a key of n nodes is compared in (n / KEY_BLOCK)^2 / 2 units, so a node goes to n / KEY_BLOCK of them.
 """
 
 from __future__ import annotations
@@ -143,17 +144,20 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
     mixed = (at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("count"))
              .filter("lo != hi").select("key", "count"))
     left = at.join(mixed, "key").join(sizes, "node")
-    trees = stored(_in_units(left, "key", KEY_BLOCK).mapInPandas(
-        lambda batches: _forests(batches, lambda g: _within_radius(g, percent)), "a binary, b binary"), "radius-trees")
-    if not trees.limit(1).count():
+    near = stored(_in_units(left, "key", KEY_BLOCK).mapInPandas(
+        lambda batches: _forests(batches, lambda g: _within_radius(g, percent)), FOREST), "radius-forests")
+    edges = stored(near.filter("node IS NULL").select("a", "b").distinct(), "component-edges")
+    if not edges.limit(1).count():
         return of
-    clusters = components(trees).withColumnRenamed("component", "cluster")
-    count = clusters.groupBy("cluster").agg(F.count("*").alias("count"))
-    told = clusters.join(count, "cluster").join(texts, "node")
+    clusters = components(edges).withColumnsRenamed({"component": "cluster", "node": "component"})
+    told = near.filter("node IS NOT NULL").select("node").distinct()
     told = (told.withColumn("component", F.col("node")) if of is None else
             told.join(of, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    told = stored(told.join(clusters, "component"), "cluster-nodes")
+    count = told.groupBy("cluster").agg(F.count("*").alias("count"))
+    told = told.join(count, "cluster").join(texts, "node")
     take(_in_units(told, "cluster", CLUSTER_BLOCK).mapInPandas(
-        lambda batches: _forests(batches, lambda g: _similar(g, percent)), "a binary, b binary"))
+        lambda batches: _forests(batches, lambda g: _similar(g, percent)), FOREST).filter("node IS NULL").select("a", "b").distinct())
     return of
 
 
@@ -169,20 +173,33 @@ def _in_units(rows: DataFrame, group: str, block: int) -> DataFrame:
             .withColumn("unit", F.xxhash64(*unit)).drop("i", "j", group))
 
 
-def _forests(batches: Iterator[pd.DataFrame], linked: Callable[[pd.DataFrame], np.ndarray]) -> Iterator[pd.DataFrame]:
-    """For each unit, edges (a, b) that connect what ``linked``, a matrix over its rows, connects."""
-    def tree(g: pd.DataFrame) -> list[tuple[bytes, bytes]]:
-        if len(g) < 2:
-            return []
-        near, nodes = linked(g), g["node"].tolist()
-        label = np.arange(len(g))
-        while True:
-            new = np.minimum(label, np.where(near, label, len(g)).min(axis=1))
-            new = new[new]
-            if (new == label).all():
-                return [(nodes[i], nodes[k]) for i, k in enumerate(label) if i != k]
-            label = new
+def _forest(g: pd.DataFrame, linked: Callable[[pd.DataFrame], np.ndarray]) -> list[tuple[bytes | None, bytes | None, bytes | None]]:
+    """A unit's rows that ``linked``, a matrix of pairs of different components, links, as (None, None, node), and edges
+    (component, component, None) that connect what it connects: one less than the components at most."""
+    if len(g) < 2 or not (near := linked(g)).any():
+        return []
+    of, names = pd.factorize(g["component"])
+    i, j = np.nonzero(near)
+    i, j = of[i], of[j]
+    label = np.arange(len(names))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return ([(names[c], names[k], None) for c, k in enumerate(label.tolist()) if c != k]
+            + [(None, None, n) for n in g["node"][near.any(axis=1)]])
+
 
+FOREST = "a binary, b binary, node binary"
+
+
+def _forests(batches: Iterator[pd.DataFrame], linked: Callable[[pd.DataFrame], np.ndarray]) -> Iterator[pd.DataFrame]:
+    """``_forest`` of each unit."""
+    tree = lambda g: _forest(g, linked)
     held = None
     for batch in batches:
         batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -191,9 +208,9 @@ def _forests(batches: Iterator[pd.DataFrame], linked: Callable[[pd.DataFrame], n
         found = [e for lo, hi in zip(cuts, cuts[1:], strict=False) for e in tree(batch.iloc[lo:hi])]
         held = batch.iloc[cuts[-1]:]
         if found:
-            yield pd.DataFrame(found, columns=["a", "b"])
+            yield pd.DataFrame(found, columns=["a", "b", "node"])
     if held is not None and (found := tree(held)):
-        yield pd.DataFrame(found, columns=["a", "b"])
+        yield pd.DataFrame(found, columns=["a", "b", "node"])
 
 
 def _apart(g: pd.DataFrame, percent: int, n: np.ndarray) -> np.ndarray:
@@ -249,7 +266,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     component. Null ids count only where a component has no other.
     """
     grouped = grouped_rows(docs, id_col, text_col, percent)
-    least = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # stored: the join below then deals both sides anew, and a group with many rows can be split
+    least = stored(grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("component_id")), "least-ids")
     return (grouped.join(least, "group", "left")
             .withColumn("component_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
