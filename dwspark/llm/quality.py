@@ -33,6 +33,7 @@ from .common import ship, stored
 
 MAX_LABELLED = 6_000
 ROUNDS, SURE = 3, 0.97
+FIRST_STEPS = 40                   # of the first fit, to the labelled rows alone
 STEPS = 8                          # of a round's fit; a step is a pass over the pool, or a few where it must be shortened
 SLOTS = 64                         # tasks that add up the sums of the others
 ACCEPT = 0.3                       # a document goes only if good quality is that unlikely
@@ -113,16 +114,34 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-5, steps: int = 400, rate: float = 8.0) -> np.ndarray:
-    """Weights, the bias last, by gradient steps with momentum; both classes weigh the same."""
-    w, v = np.zeros(x.shape[1] + 1, np.float32), np.zeros(x.shape[1] + 1, np.float32)
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
-    for _ in range(steps):
-        error = (_sigmoid(x @ w[:-1] + w[-1]) - y) * weight
-        step = np.append(x.T @ error + penalty * w[:-1], error.sum()).astype(np.float32)
-        v = 0.9 * v - rate * step
-        w = w + v
-    return w
+CHUNK = 512        # labelled rows, kept as half floats, that are widened at a time
+
+
+def scores(x: np.ndarray, rows: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Raw scores of some rows."""
+    w = w.astype(np.float32)
+    return np.concatenate([np.zeros(0, np.float32)] + [x[rows[i:i + CHUNK]].astype(np.float32) @ w[:-1] + w[-1] for i in range(0, len(rows), CHUNK)])
+
+
+def _labelled_sums(x: np.ndarray, rows: np.ndarray, w: np.ndarray, c: int) -> np.ndarray:
+    """Loss, count and gradient of some rows of class ``c``."""
+    out = np.zeros(len(w) + 2)
+    for i in range(0, len(rows), CHUNK):
+        out += _class_sums(x[rows[i:i + CHUNK]].astype(np.float32), w, c)
+    return out
+
+
+def fit_logistic(x: np.ndarray, classes: list[np.ndarray], penalty: float = 1e-5, steps: int = FIRST_STEPS) -> np.ndarray:
+    """Weights, the bias last, from the rows of class 0 and 1; both classes weigh the same."""
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        w, value, g = theta.astype(np.float32), 0.0, np.zeros(len(theta))
+        for c, rows in enumerate(classes):
+            own = _labelled_sums(x, rows, w, c)
+            value += 0.5 * own[0] / max(own[1], 1)
+            g += 0.5 * own[2:] / max(own[1], 1)
+        g[:-1] += penalty * theta[:-1]
+        return value + penalty / 2 * float(theta[:-1] @ theta[:-1]), g
+    return minimise(loss, np.zeros(x.shape[1] + 1), steps).astype(np.float32)
 
 
 def fit_scale(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -221,11 +240,10 @@ def co_train_on(views: Views, y: np.ndarray, held: np.ndarray, pool: Callable[..
                 rounds: int = ROUNDS, sure: float = SURE, steps: int = STEPS, penalty: float = 1e-5) -> CoTrained:
     """``pool`` gives ``pool_sums`` over all unlabelled rows. Both classes weigh the same; within a class, a
     pseudo-labelled row counts as a labelled one, and all of them as much as the labelled ones at most."""
-    train = ~held
-    known = [[v[train & (y == c)] for c in (0, 1)] for v in views]
+    known, kept = [np.flatnonzero(~held & (y == c)) for c in (0, 1)], np.flatnonzero(held)
     ends = np.cumsum([v.shape[1] + 1 for v in views])[:-1]
-    models, pseudo = [fit_logistic(v[train], y[train], penalty) for v in views], []
-    calibrated = lambda: [fit_scale(v[held] @ w[:-1] + w[-1], y[held]) for v, w in zip(views, models, strict=True)]
+    models, pseudo = [fit_logistic(v, known, penalty) for v in views], []
+    calibrated = lambda: [fit_scale(scores(v, kept, w), y[kept]) for v, w in zip(views, models, strict=True)]
     scales = calibrated()
     for _ in range(rounds):
         teachers, given = list(zip(models, scales, strict=True)), []
@@ -236,11 +254,11 @@ def co_train_on(views: Views, y: np.ndarray, held: np.ndarray, pool: Callable[..
             value, gradient = 0.0, []
             sums = pool(teachers, learners, sure)
             given[:] = [tuple(int(part[:, 1].sum()) for part in reversed(sums))]
-            for rows, w, part in zip(known, learners, sums, strict=True):
+            for v, w, part in zip(views, learners, sums, strict=True):
                 g = np.zeros(len(w))
                 for c in (0, 1):
-                    n, m = len(rows[c]), part[c, 1]
-                    own = _class_sums(rows[c], w, c) + part[c] * min(1.0, n / max(m, 1))
+                    n, m = len(known[c]), part[c, 1]
+                    own = _labelled_sums(v, known[c], w, c) + part[c] * min(1.0, n / max(m, 1))
                     value += 0.5 * own[0] / max(own[1], 1)
                     g += 0.5 * own[2:] / max(own[1], 1)
                 g[:-1] += penalty * w[:-1]
@@ -255,8 +273,8 @@ def co_train_on(views: Views, y: np.ndarray, held: np.ndarray, pool: Callable[..
         models = [w.astype(np.float32) for w in np.split(fitted, ends)]
         scales = calibrated()
     model = CoTrained(models[0], models[1], (scales[0], scales[1]), np.array([1.0, 0.0, 0.0]), pseudo)
-    u, v = model.views(views[0][held], views[1][held])
-    model.combine = _fit_combination(np.stack([u, v], 1), y[held])
+    s = [a * scores(v, kept, w) + b for v, w, (a, b) in zip(views, models, model.scales, strict=True)]
+    model.combine = _fit_combination(np.stack(s, 1), y[kept])
     return model
 
 
@@ -350,22 +368,27 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     known = (view.join(F.broadcast(chosen), "doc_id")              # max_labelled rows at most
              .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64(*columns).alias("hash"), *columns)).alias("row"))
              .select("doc_id", "y", *[f"row.{c}" for c in columns]))
-    known = _featured(known, ["y"]).toPandas().sort_values("doc_id").reset_index(drop=True)
-
-    def matrix(p: pd.DataFrame, c: str, bits: int) -> np.ndarray:
-        """The column's rows as one matrix; the column itself is given up, the driver holds each row once."""
-        out = np.empty((len(p), 1 << bits), np.float32)
-        for i, row in enumerate(p.pop(c)):
-            out[i] = np.frombuffer(row, np.float16)
+    table = _featured(known, ["y"]).toArrow()
+    order = np.argsort(np.array([str(d) for d in table["doc_id"].to_pylist()]))         # an order of its own, whatever the tasks were
+    ids, y = table["doc_id"].to_pylist(), table["y"].to_numpy().astype(np.float32)[order]
+
+    def matrix(c: str, bits: int) -> np.ndarray:
+        """The column's rows as one matrix of half floats; nothing else of the sample is held."""
+        out = np.empty((table.num_rows, 1 << bits), np.float16)
+        at = np.empty(table.num_rows, np.int64)
+        at[order] = np.arange(table.num_rows)
+        for i, row in enumerate(table[c]):
+            out[at[i]] = np.frombuffer(row.as_buffer(), np.float16)
         return out
 
-    held = np.array([zlib.crc32(str(d).encode()) % 4 == 0 for d in known["doc_id"]])
-    y = known["y"].to_numpy(np.float32)
+    held = np.array([zlib.crc32(str(ids[i]).encode()) % 4 == 0 for i in order])
     if min(((y == c) & (held == h)).sum() for c in (0, 1) for h in (True, False)) == 0:
         held = np.zeros(len(y), bool)
         for c in (0, 1):
             held[np.flatnonzero(y == c)[::4]] = True
-    return co_train_on((matrix(known, "content", CONTENT_BITS), matrix(known, "meta", META_BITS)), y, held, _pool(docs, chosen), **options)
+    views = matrix("content", CONTENT_BITS), matrix("meta", META_BITS)
+    del table
+    return co_train_on(views, y, held, _pool(docs, chosen), **options)
 
 
 def _featured(view: DataFrame, carry: list[str]) -> DataFrame:
