@@ -290,15 +290,16 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = stored(texts.select("id", "same", "text").mapInArrow(
         lambda b: _scan(b, width, part), "id long, same long, start int, n int, minimiser long, string long"), "super-k-mers")
 
-    shared = (found.groupBy("minimiser").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-              .filter("lo < hi").select("minimiser"))
+    # stored: the join below then deals both sides anew, and a minimiser with many rows can be split
+    shared = stored(found.groupBy("minimiser").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                    .filter("lo < hi").select("minimiser"), "shared-minimisers")
     found = stored(found.join(shared, "minimiser", "left_semi"), "shared-super-k-mers")
 
     # equal super-k-mers are one; its string is cut from the text of its least document
     strings = found.groupBy("minimiser", "string").agg(
         F.min(F.struct("id", "same", "start", "n")).alias("at"), F.max("id").alias("hi"))
     strings = stored(strings.select("minimiser", "string", "at.*", "hi"), "strings")
-    large = (strings.groupBy("minimiser").agg(F.ceil(F.count("*") / bucket).cast("int").alias("salts")).filter("salts > 1"))
+    large = stored(strings.groupBy("minimiser").agg(F.ceil(F.count("*") / bucket).cast("int").alias("salts")).filter("salts > 1"), "large-buckets")
     strings = strings.join(large, "minimiser", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     strings = strings.withColumn("salt", F.pmod(F.xxhash64("string"), "salts").cast("int")).withColumn("lo", F.col("id"))
     parts = strings.groupBy("id", "same").agg(
