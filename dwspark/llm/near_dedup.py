@@ -179,19 +179,19 @@ def _forest(g: pd.DataFrame, linked: Callable[[pd.DataFrame], np.ndarray]) -> li
     if len(g) < 2 or not (near := linked(g)).any():
         return []
     of, names = pd.factorize(g["component"])
-    i, j = np.nonzero(near)
-    i, j = of[i], of[j]
-    label = np.arange(len(names))
+    linked_rows = np.flatnonzero(near.any(axis=1))
+    joined = np.zeros((len(names), len(names)), bool)
+    for r in linked_rows:                           # row by row, so that no list of the pairs is made
+        joined[of[r], of[near[r]]] = True
+    label = np.arange(len(names), dtype=np.int32)
     while True:
-        new = label.copy()
-        np.minimum.at(new, i, label[j])
-        np.minimum.at(new, j, label[i])
+        new = np.minimum(label, np.where(joined, label, np.int32(len(names))).min(axis=1))
         new = new[new]
         if (new == label).all():
             break
         label = new
     return ([(names[c], names[k], None) for c, k in enumerate(label.tolist()) if c != k]
-            + [(None, None, n) for n in g["node"][near.any(axis=1)]])
+            + [(None, None, n) for n in g["node"].to_numpy()[linked_rows]])
 
 
 FOREST = "a binary, b binary, node binary"
