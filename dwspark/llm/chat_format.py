@@ -5,7 +5,9 @@ within one cell of the grid form a window, a turn that crosses a grid line is a
 window of its own; so windows are aligned to turns, a cell never holds more
 than the budget leaves for new turns, and no window waits for the one before.
 Every window starts with the conversation's system turn and a limited history:
-turns right before it, while they fit in the history's share of the budget.
+turns right before it, while they fit in the history's share of the budget and
+in what the system turn and the window's own turns leave of it. A window exceeds
+the budget only if the system turn and one turn alone do; it has no history then.
 Targets are the assistant's texts; in repeated turns they are masked, so each
 counts once.
 
@@ -56,7 +58,9 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history_tokens: int =
     Nulls in role and text count as empty. Turns are put in order of turn
     (null first), role and text; repeated rows are turns of their own. A null
     conv_id is one conversation. A first turn of role system is the system
-    turn. A turn above the budget is a window on its own, uncut.
+    turn. A turn above the budget is a window on its own, uncut. Tokens are
+    words plus MARKERS a turn, so a budget in a tokenizer's ids is to be divided
+    by its ids per word.
     """
     turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = stored(turns.withColumn("conv", row_identity(F.col("conv_id").cast("string")))
@@ -80,12 +84,16 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history_tokens: int =
              .withColumn("room", F.greatest(F.lit(budget - history_tokens) - F.col("sys"), F.lit(1)))
              .withColumn("grid", F.floor(F.col("start") / F.col("room")))
              .withColumn("window", F.col("grid") * 2 + (F.floor((F.col("start") + F.col("tokens") - 1) / F.col("room")) > F.col("grid")).cast("int")))
-    plain = plain.select("conv", "conv_id", "window", "pos", "start", "tokens", "role", "text")
-    spans = plain.groupBy("conv", "window").agg(F.min("pos").alias("first"), F.min("start").alias("from"))
-
-    wanted = (spans.select("conv", "window", "from", F.explode(F.sequence(F.lit(1), F.lit(history_turns))).alias("back"), "first")
-              .select("conv", F.col("window").alias("into"), "from", (F.col("first") - F.col("back")).alias("pos")))
-    history = (wanted.join(plain.drop("window"), ["conv", "pos"]).filter(F.col("from") - F.col("start") <= history_tokens)
+    plain = plain.select("conv", "conv_id", "window", "pos", "start", "tokens", "role", "text", "sys")
+    # what the system turn and the new turns leave of the budget bounds the history too
+    spans = (plain.groupBy("conv", "window").agg(F.min("pos").alias("first"), F.min("start").alias("from"),
+                                                 (F.lit(budget) - F.max("sys") - F.sum("tokens")).alias("left"))
+             .withColumn("left", F.least(F.lit(history_tokens), F.col("left"))))
+    plain = plain.drop("sys")
+
+    wanted = (spans.filter("left > 0").select("conv", "window", "from", "left", F.explode(F.sequence(F.lit(1), F.lit(history_turns))).alias("back"), "first")
+              .select("conv", F.col("window").alias("into"), "from", "left", (F.col("first") - F.col("back")).alias("pos")))
+    history = (wanted.join(plain.drop("window"), ["conv", "pos"]).filter(F.col("from") - F.col("start") <= F.col("left"))
                .select("conv", "conv_id", F.col("into").alias("window"), "pos", "tokens", "role", "text", F.lit(True).alias("again")))
     leads = (system.select("conv", "conv_id", "pos", "tokens", "role", "text")
              .join(spans.select("conv", "window", "first"), "conv", "left")
