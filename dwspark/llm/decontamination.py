@@ -3,15 +3,18 @@
 A test item is small and a document may be long, so their Jaccard similarity
 says little; what counts is the share of the item's shingles that the document
 holds. Items are partitioned by size (powers of two). An item's sketch is its
-bottom-k MinHash: the k shingles with the least hash, k following from its
-partition's upper size u as u - ceil(share * u) + 1. A document that holds the
-share misses fewer than k of the item's shingles, so it holds at least one of
-the sketch: the search loses no document, however long. Documents are
+bottom-k MinHash: the k shingles that come first, those in the fewest documents
+before others and then by hash, k following from its partition's upper size u
+as u - ceil(share * u) + 1. A document that holds the share misses fewer than k
+of the item's shingles, so it holds at least one of the sketch, in whatever
+order: the search loses no document, however long. Rare shingles first keep a
+sentence that many items and documents share out of the sketches. Documents are
 partitioned by size too, and one that is too small for an item's share is no
 candidate. Candidates are verified by exact containment of the shingle sets.
 
-Sketches are sent to all tasks in blocks of at most BLOCK entries on average;
-the documents are read once for each block.
+Items go in blocks, whose distinct shingles are sent to all tasks. One pass over
+the documents for a block keeps, of each document, the shingles that some item
+has; document frequencies, candidates and their check read only these.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, row_identity, stored, words
 
-BLOCK = 100_000
+BLOCK = 200_000                   # shingles of the items of a block, on average
 
 
 def with_shingles(df: DataFrame, text: Column, width: int = 5) -> DataFrame:
@@ -40,15 +43,17 @@ def with_shingles(df: DataFrame, text: Column, width: int = 5) -> DataFrame:
                          .otherwise(F.array().cast("array<long>"))).drop("_hash")
 
 
-def item_sketches(items: DataFrame, percent: int) -> DataFrame:
-    """Adds to (.., shingles): n, need (shingles that a document must hold) and sketch."""
+def item_sketches(items: DataFrame, found_in: DataFrame, percent: int) -> DataFrame:
+    """(item, need, shingle): the sketches of (item, n, need, shingles), rare shingles
+    first; ``found_in`` has (shingle, docs). A shingle that no document holds is left out."""
     part = F.floor(F.log2(F.col("n")))
     upper = F.pow(F.lit(2), part + 1) - 1
     k = F.least(F.col("n"), upper - F.ceil(upper * percent / 100) + 1).cast("int")
-    by_hash = F.array_sort(F.transform("shingles", lambda s: F.struct(F.xxhash64(F.lit(3), s).alias("h"), s.alias("s"))))
-    return (items.withColumn("n", F.size("shingles")).filter("n > 0")
-            .withColumn("need", F.ceil(F.col("n") * percent / 100).cast("int"))
-            .withColumn("sketch", F.transform(F.slice(by_hash, F.lit(1), k), lambda x: x["s"])))
+    ordered = (items.select("item", "need", k.alias("k"), F.explode("shingles").alias("shingle")).join(found_in, "shingle", "left")
+               .groupBy("item", "need", "k").agg(F.array_sort(F.collect_list(F.struct(
+                   F.coalesce("docs", F.lit(0)).alias("docs"), F.xxhash64(F.lit(3), "shingle").alias("h"), "shingle"))).alias("all")))
+    return (ordered.select("item", "need", F.explode(F.slice("all", F.lit(1), F.col("k"))).alias("x"))
+            .filter("x.docs > 0").select("item", "need", "x.shingle"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
@@ -67,25 +72,27 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", d
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"),
                          row_identity(F.col(item_id), F.col(item_text)).alias("item")).dropDuplicates(["item"])
     items = stored(with_shingles(items, F.col("text")).drop("text"), "item-shingles")
-    items = stored(item_sketches(items, percent)
-                   .select("item", "item_id", "n", "need", "shingles", "sketch"), "item-sketches")
-    entries = items.agg(F.sum(F.size("sketch"))).first()[0] or 0
+    items = (items.withColumn("n", F.size("shingles")).filter("n > 0")
+             .withColumn("need", F.ceil(F.col("n") * percent / 100).cast("int")))
+    entries = items.agg(F.sum("n")).first()[0] or 0
     blocks = entries // block + 1
     found = []
     for b in range(blocks):
         some = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        sketch = some.select("item", "need", F.explode("sketch").alias("shingle"))
+        known = some.select(F.explode("shingles").alias("shingle")).distinct()
         held = (with_shingles(rows, F.col("text"))
-                .select("row", F.size("shingles").alias("n_doc"), F.explode_outer("shingles").alias("shingle")))
-        candidates = (held.join(F.broadcast(sketch), "shingle")                     # BLOCK entries
-                      .filter("n_doc >= need").select("row", "item").distinct())
-        by_row = candidates.groupBy("row").agg(F.collect_list("item").alias("items"))
-        texts = with_shingles(rows.join(by_row, "row"), F.col("text"))
-        pairs = (texts.select("row", "doc_id", F.explode("items").alias("item"), F.col("shingles").alias("of_doc"))
+                .select("row", "doc_id", F.size("shingles").alias("n_doc"), F.explode_outer("shingles").alias("shingle"))
+                .join(F.broadcast(known), "shingle"))                                   # BLOCK entries
+        held = stored(held.groupBy("row", "doc_id", "n_doc").agg(F.collect_set("shingle").alias("held")), "held-shingles")
+        hits = held.select("row", "n_doc", F.explode("held").alias("shingle"))
+        sketch = stored(item_sketches(some, hits.groupBy("shingle").agg(F.count("*").alias("docs")), percent), "item-sketches")
+        candidates = (hits.join(F.broadcast(sketch), "shingle")                         # BLOCK entries
+                      .filter("n_doc >= need").groupBy("row").agg(F.collect_set("item").alias("items")))
+        pairs = (held.join(candidates, "row").select("row", "doc_id", "held", F.explode("items").alias("item"))
                  .join(F.broadcast(some.select("item", "item_id", "n", "need", "shingles")), "item"))
-        found.append(pairs.select("row", "doc_id", "item_id", F.col("n").cast("long").alias("n_item"), "need",
-                                  F.size(F.array_intersect("of_doc", "shingles")).cast("long").alias("n_shared"))
-                     .filter("n_shared >= need"))
+        found.append(stored(pairs.select("row", "doc_id", "item_id", F.col("n").cast("long").alias("n_item"), "need",
+                                         F.size(F.array_intersect("held", "shingles")).cast("long").alias("n_shared"))
+                            .filter("n_shared >= need"), "contained"))
     return (reduce(DataFrame.unionByName, found).dropDuplicates(["row", "item_id", "n_item", "n_shared"])
             .select("row", "doc_id", "item_id", "n_item", "n_shared",
                     (F.col("n_shared") / F.col("n_item")).alias("containment")))
