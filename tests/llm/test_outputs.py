@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwspark.llm.chat_format import CONTROL, conversation_digests, escape, format_windows, read_windows, unescape
-from dwspark.llm.decontamination import contained_items, decontaminate
+from dwspark.llm.decontamination import contained_items, decontaminate, item_sketches, with_shingles
 from dwspark.llm.mixing import document_rows, mix, mixed_texts, permuted, source_targets, taken_words
 from dwspark.llm.sharding import cut_links, shard_balanced
 from dwspark.llm.token_output import Encoder, from_planes, read_token_files, to_planes, vocabulary_path, write_token_files
@@ -315,7 +315,7 @@ def items_of(rows):
     return [*items, items[-1], (90, " ".join(long[20_000:20_040])), (91, " ".join(long[5:9_000]))]
 
 
-@pytest.mark.parametrize("block", [100_000, 10])
+@pytest.mark.parametrize("block", [100_000, 2_000])         # one block, and about five
 def test_contained_items_are_those_of_a_full_comparison(spark, clashing, rows, block):
     items = items_of(rows)
     df = spark.createDataFrame(items, "item_id long, text string").withColumn("n", F.lit("clash")).withColumn("row", F.lit(0))
@@ -323,6 +323,22 @@ def test_contained_items_are_those_of_a_full_comparison(spark, clashing, rows, b
     assert collected(got) == plain_contained(rows, items)
 
 
+def test_a_shared_sentence_makes_no_candidates(spark):
+    """Items and documents that have one sentence in common: none of it is in a sketch, and the one true pair is found."""
+    rng = random.Random(8)
+    said = "answer the following question with one of the options given below please"
+    own = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n))
+    items = [(i, f"{said} {own(25)}") for i in range(60)]
+    texts = [(i, f"{own(15)} {said} {own(40)}") for i in range(60)] + [(60, f"{own(9)} {items[7][1]} {own(9)}")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    hits = with_shingles(docs, F.col("text")).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("docs"))
+    held = with_shingles(bench, F.col("text")).select(F.col("item_id").alias("item"), F.size("shingles").alias("n"), F.lit(1).alias("need"), "shingles")
+    sketch = item_sketches(held, hits, 75)
+    assert {r.item for r in sketch.collect()} == {7} and sketch.join(hits.filter("docs > 2"), "shingle").count() == 0
+    assert [(r.doc_id, r.item_id, r.containment) for r in contained_items(docs, bench).collect()] == [(60, 7, 1.0)]
+
+
 def test_decontaminate_drops_just_the_documents_that_hold_an_item(spark, clashing, empty, rows):
     items = items_of(rows)
     bad = {(d, t) for d, t in {r[:2] for r in rows} if plain_contained([(d, t)], items)}
