@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dwspark.llm.exact_dedup import exact_dedup, grow_directory
+from dwspark.llm.exact_dedup import bucket_files, exact_dedup, grow_directory
 from dwspark.llm.line_dedup import build_mph, line_dedup, probe_mph
 from dwspark.llm.near_dedup import RADIUS, VALUES, chunk_keys, differing_values, near_dedup, one_of_each
 from dwspark.llm.shingles import shingle_sets, signatures
@@ -85,6 +86,22 @@ def test_exact_dedup_empty_and_clashing(empty, clashing, rows):
     assert collected(found) == plain_exact(rows)
 
 
+def test_owner_tasks_read_their_files_without_a_shuffle(spark):
+    rows = spark.range(4000).selectExpr("id % 16 AS owner", "id % 3 AS key", "id AS row", "string(id % 5) AS text")
+    files = bucket_files(rows, 16)
+    own = Window.partitionBy("owner", "key", "text")
+    named = files.withColumn("leader", F.min("row").over(own))
+    assert "Exchange" not in named._jdf.queryExecution().executedPlan().toString()
+    assert files.withColumn("f", F.input_file_name()).groupBy("owner").agg(F.countDistinct("f").alias("n")).filter("n > 1").count() == 0
+    assert named.filter("row = leader").count() == 16 * 3 * 5
+
+
+def test_hot_key_is_dealt_over_owners_and_counted_once(spark):
+    rows = [(i, "hot text" if i % 3 else f"text {i // 6}") for i in range(3000)]
+    found = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), capacity=100)
+    assert collected(found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")) == plain_exact(rows)
+
+
 def test_directory_doubles_and_splits():
     cells = {0: 100, 1: 3, 2: 3, 200: 40, 255: 40}
     g, slots, local = grow_directory(cells, 8, 50)
