@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import CALENDAR_END, CALENDAR_START
 from ..functions.keys import surrogate_key
 
 SCD2_COLS = ["entity_key", "version_key", "valid_from", "valid_to", "is_current"]
@@ -147,40 +148,38 @@ def scd1_upsert(state: DataFrame, batch: DataFrame, keys: list[str], attrs: list
 
 
 def asof_version_join(events: DataFrame, versions: DataFrame, keys: list[str], event_date: str,
-                      bucket: str = "month") -> DataFrame:
+                      bucket: str = "month", span: tuple[str, str] = (CALENDAR_START, CALENDAR_END)) -> DataFrame:
     """Each event gets the version valid on its date
     (``valid_from <= d`` and (``valid_to`` is NULL or ``d <= valid_to``)).
 
-    An equi-join on the key alone would test every event of a hot key
-    against every version of it. Instead:
-    * closed versions are copied into each ``bucket`` (month) they overlap
-      and joined on (key, bucket) with the interval as a residual filter;
-      a key's versions are disjoint, so the copies number at most
-      versions + buckets spanned, and an event meets at most one bucket's
-      worth of versions;
-    * the open version is unique per key, so it is joined on the key alone
-      (at most one partner per event).
-    A hot key then only skews the probe side, which AQE splits. An event
-    before its key's first version, or of a key without versions, has no
-    version and is left out."""
-    trunc = (lambda c: F.trunc(c, bucket))
-    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    Events and versions are united, sorted once by (key, ``bucket``) and day, and the
+    last version is carried forward. A version stands in each bucket (week, month or year) that it
+    overlaps, so a bucket needs nothing of the one before it and a hot key is
+    split by time; its copies number versions + buckets spanned. Dates outside ``span``
+    belong to its first or last bucket: the span bounds the copies of open and old
+    versions, and no result depends on it. Versions of a key must be disjoint, as type-2
+    versions are. An event without a date, before its key's first version, in a gap or
+    of a key without versions has no version and is left out, as is a null key."""
     vcols = [c for c in versions.columns if c not in keys]
-    ecols = events.columns
-
-    closed = (versions.filter(F.col("valid_to").isNotNull())
-              .withColumn("__bucket", F.explode(F.sequence(trunc(F.col("valid_from")),
-                                                           trunc(F.col("valid_to")), step))))
-    e = events.withColumn("__bucket", trunc(F.col(event_date)))
-    c_cond = ([e[k] == closed[k] for k in keys] + [e["__bucket"] == closed["__bucket"],
-              closed["valid_from"] <= e[event_date], e[event_date] <= closed["valid_to"]])
-    hit_closed = e.join(closed, c_cond, "inner").select(*[e[c] for c in ecols], *[closed[c] for c in vcols])
-
-    current = versions.filter(F.col("valid_to").isNull())
-    o_cond = [events[k] == current[k] for k in keys] + [current["valid_from"] <= events[event_date]]
-    hit_open = events.join(current, o_cond, "inner").select(*[events[c] for c in ecols],
-                                                            *[current[c] for c in vcols])
-    return hit_closed.unionByName(hit_open)
+    first, last = (F.lit(d).cast("date") for d in span)
+    at = lambda d: F.trunc(F.least(F.greatest(d, first), last), bucket)
+    known = [F.col(k).isNotNull() for k in keys]
+    vf, vt = F.col("valid_from").cast("date"), F.col("valid_to").cast("date")
+
+    v = (versions.filter(reduce(lambda x, y: x & y, known, vf.isNotNull() & (vt.isNull() | (vf <= vt))))
+         .select(*keys, F.explode(F.sequence(at(vf), at(F.coalesce(vt, last)), F.expr(f"INTERVAL 1 {bucket}"))).alias("__bucket"),
+                 vf.alias("__day"), F.lit(0).alias("__kind"), F.struct(*vcols).alias("__version")))
+    e = (events.filter(reduce(lambda x, y: x & y, known, F.col(event_date).isNotNull()))
+         .select(*keys, at(F.col(event_date).cast("date")).alias("__bucket"), F.col(event_date).cast("date").alias("__day"),
+                 F.lit(1).alias("__kind"), F.struct(*events.columns).alias("__event")))
+    carried = (Window.partitionBy(*keys, "__bucket").orderBy("__day", "__kind")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = (v.unionByName(e, allowMissingColumns=True)
+           .withColumn("__version", F.last("__version", ignorenulls=True).over(carried))
+           .filter((F.col("__kind") == 1) & F.col("__version").isNotNull()))
+    until = F.col("__version.valid_to").cast("date")
+    return (met.filter(until.isNull() | (F.col("__day") <= until))
+            .select(*[F.col("__event")[c].alias(c) for c in events.columns], *[F.col("__version")[c].alias(c) for c in vcols]))
 
 
 def scd2_apply_log(versions: DataFrame, daily: DataFrame, log: DataFrame, keys: list[str],

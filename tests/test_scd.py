@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -110,6 +111,34 @@ def test_asof_join_matches_brute_force(spark, sf_small):
     assert got.count() == ev.count()   # every purchase meets exactly one version
 
 
+def test_asof_join_is_one_sort_of_events_and_versions(spark, sf_small):
+    ev, ver = history.purchase_events(spark, sf_small), history.versions(spark, sf_small)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    count = lambda text, op: len(re.findall(rf"[+:]- {op}", text))
+    got, alone = plan(scd.asof_version_join(ev, ver, ["user_id"], "event_date")), plan(ver)
+    assert "Join" not in got
+    for op in ("FileScan", "Scan parquet", "Window", "Exchange hashpartitioning"):
+        assert count(got, op) <= count(alone, op) + 1
+
+
+def test_asof_join_at_gaps_ends_and_nulls(spark):
+    versions = [("a", "old", D(1970, 1, 5), D(1999, 12, 31)), ("a", "gap before", D(2000, 3, 1), D(2000, 3, 31)),
+                ("a", "open", D(2000, 4, 1), None), ("b", "late", D(2050, 6, 1), None), (None, "null key", D(2000, 1, 1), None),
+                ("c", "no start", None, None), ("c", "turned", D(2001, 1, 2), D(2001, 1, 1))]
+    events = [(1, "a", D(1970, 1, 4)), (2, "a", D(1970, 1, 5)), (3, "a", D(1999, 12, 31)), (4, "a", D(2000, 2, 15)), (5, "a", D(2000, 3, 31)),
+              (6, "a", D(2000, 4, 1)), (7, "a", D(2060, 1, 1)), (8, "b", D(2040, 1, 1)), (9, "b", D(2050, 6, 1)), (10, None, D(2005, 1, 1)),
+              (11, "a", None), (12, "c", D(2001, 1, 1)), (13, "z", D(2001, 1, 1)), (6, "a", D(2000, 4, 1))]
+    v = spark.createDataFrame(versions, "k string, name string, valid_from date, valid_to date")
+    e = spark.createDataFrame(events, "id int, k string, day date")
+    expected = [(2, "old"), (3, "old"), (5, "gap before"), (6, "open"), (6, "open"), (7, "open"), (9, "late")]
+    for bucket in ("week", "month", "year"):
+        got = scd.asof_version_join(e, v, ["k"], "day", bucket)
+        assert got.columns == ["id", "k", "day", "name", "valid_from", "valid_to"]
+        assert sorted((r.id, r.name) for r in got.collect()) == expected
+    assert scd.asof_version_join(e, v.limit(0), ["k"], "day").collect() == []
+    assert scd.asof_version_join(e.limit(0), v, ["k"], "day").collect() == []
+
+
 def test_scd2_invariants_on_history(spark, sf_small):
     from dwspark.operators.quality import dq_scd2
     rep = dq_scd2(history.versions(spark, sf_small), "h", ["user_id"])
