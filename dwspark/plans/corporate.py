@@ -219,10 +219,10 @@ class Corporate:
         """J2 without the address: no person is looked up for cards that never read it."""
         return self._sale_items(self.src.header_attributes(self.src.orders))
 
-    def _sale_items(self, h: DataFrame) -> DataFrame:
+    def _sale_items(self, h: DataFrame, lines: DataFrame | None = None) -> DataFrame:
         """Header x item, inner -- headers without items never load.
         Discount is a money amount per item, rounded per item (C1, C6)."""
-        li = self.src.lines
+        li = self.src.lines if lines is None else lines
         ws = F.col("source_system") == SRC_WHOLESALE
         j = li.join(h, li.l_orderkey == h.o_orderkey, "inner")
         disc = F.when(ws, R.money(F.col("quantity") * F.col("unit_price") * F.col("discount_rate"))) \
