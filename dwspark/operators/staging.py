@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sinks import CODEC
+
 LEASE_SECONDS = 24 * 3600.0        # a run that has staged nothing for so long is dead
 
 
@@ -52,5 +54,5 @@ class StagingRun:
         """Write ``df`` once and read it back; gone when the run ends."""
         self._renew()
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

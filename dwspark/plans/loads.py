@@ -30,11 +30,12 @@ from ..functions.calendar import time_key
 from ..functions.keys import surrogate_key
 from ..functions.rules import UNKNOWN_KEY, days_between, sale_type
 from ..operators import scd
+from ..operators.sinks import CODEC, fresh_items
 from ..operators.staging import StagingRun
 from ..operators.versions import Manifest, VersionLog
 from ..sources.binding import SRC_RETAIL, SRC_WHOLESALE, SourceTables
 from .corporate import Corporate
-from .stateful import REPLACED, VERSIONED, _merge, touched_keys
+from .stateful import REPLACED, TOUCHED, VERSIONED, _merge, _with_version, current_versions, touched_keys, versioned_items
 
 ROWS_PER_BUCKET, MOST_BUCKETS = 1_000_000, 4096
 ENTITIES = VERSIONED | REPLACED
@@ -92,31 +93,25 @@ class Warehouse:
             marks = last.settings.get("watermarks", {})
             now = Corporate(sources(marks.get("sales", {})))
             bought = Corporate(sources(marks.get("purchases", {}))).purchase_lines
-            sold, paid = _together([lambda: run.stage(now.sales_lines, "sales"), lambda: run.stage(bought, "purchases")])
-            now.__dict__ |= {"sales_lines": sold, "sales_items": sold, "purchase_lines": paid}
+            headers, lines, paid = _together([lambda: run.stage(now.headers_with_address, "headers"), lambda: run.stage(now.src.lines, "lines"),
+                                              lambda: run.stage(bought, "purchases")])
+            now.src.__dict__["lines"] = lines
+            now.__dict__ |= {"headers_with_address": headers, "purchase_lines": paid}
+            if last.version:                                    # what names the touched entities; the first load takes all
+                now.__dict__["sales_items"] = run.stage(now._sale_items(headers).select(*TOUCHED), "sales")
 
             # entities do not depend on each other, so their jobs share the executors
             states = _together([lambda e=e: self._merge(next_one, e, now, run, day) for e in ENTITIES])
-            current = {e: s.filter("is_current").select(*VERSIONED[e][1], F.col("version_key").alias(f"{e}_version_key"))
-                       for e, s in zip(ENTITIES, states, strict=True) if e in VERSIONED}
+            current = {e: current_versions(s, e) for e, s in zip(ENTITIES, states, strict=True) if e in VERSIONED}
 
-            sales = sold.selectExpr(*SALES)
-            for entity in VERSIONED:
-                sales = self._with_version(sales, current[entity], entity)
-            purchases = self._with_version(paid.selectExpr(*PURCHASES), current["product"], "product")
+            sales = versioned_items(now, headers, current).selectExpr(*SALES, *[f"{e}_version_key" for e in VERSIONED])
+            purchases = _with_version(paid.selectExpr(*PURCHASES), current["product"], "product")
             load = last.settings.get("loads", 0) + 1
             _together([lambda: next_one.append("sales", load, sales), lambda: next_one.append("purchases", load, purchases)])
             next_one.settings |= {"loads": load, "watermarks": self._watermarks(next_one, marks, load)}
             next_one.settings["days"] = [*last.settings.get("days", []), day]
             return next_one.publish()
 
-    @staticmethod
-    def _with_version(items: DataFrame, current: DataFrame, entity: str) -> DataFrame:
-        """The version current at load, -1 if the entity is unknown. The state of the touched buckets is
-        small beside the facts, and read from files, so Spark knows its size and joins accordingly."""
-        name = f"{entity}_version_key"
-        return items.join(current, ENTITIES[entity][1], "left").withColumn(name, F.coalesce(name, F.lit(UNKNOWN_KEY).cast("bigint")))
-
     def _merge(self, next_one: _Next, entity: str, now: Corporate, run: StagingRun, day: str) -> DataFrame:
         """Merge an entity's rows, all or those of the touched keys, into the buckets of these keys; returns the new state of the buckets."""
         (table, keys), last = ENTITIES[entity], next_one.last
@@ -159,24 +154,20 @@ class Warehouse:
         if not any(pending.values()):
             return last
         load = last.settings["loads"]
-        with StagingRun(self.spark, f"{self.base}/staging") as run:
-            def bring(fact: str, stream: str) -> None:
-                items = self.table(stream, last, pending[stream])
-                if fact == "fact_deliveries":
-                    items = items.filter(F.col("source_system") == SRC_WHOLESALE)
-                fresh = run.stage(self._not_held(last, fact, items, stream), f"fresh-{fact}")
-                next_one.append(fact, f"{load}-{last.version}", getattr(self, f"_{fact}")(fresh, last))
-            _together([lambda f=f, s=s: bring(f, s) for f, s in FACTS.items() if pending[s]])
-            next_one.settings["in_marts"] = sorted(done.union(*pending.values()))
-            return next_one.publish()
+
+        def bring(fact: str, stream: str) -> None:
+            items = self.table(stream, last, pending[stream])           # stored already: nothing to stage
+            if fact == "fact_deliveries":
+                items = items.filter(F.col("source_system") == SRC_WHOLESALE)
+            next_one.append(fact, f"{load}-{last.version}", getattr(self, f"_{fact}")(self._not_held(last, fact, items, stream), last))
+        _together([lambda f=f, s=s: bring(f, s) for f, s in FACTS.items() if pending[s]])
+        next_one.settings["in_marts"] = sorted(done.union(*pending.values()))
+        return next_one.publish()
 
     def _not_held(self, at: Manifest, fact: str, items: DataFrame, stream: str) -> DataFrame:
         if fact not in at.settings["schemas"]:
             return items
-        number, keys = STREAMS[stream], IDENTITY[stream]
-        lo, hi = items.agg(F.min(number), F.max(number)).first()
-        held = self.table(fact, at).filter(F.col(number).between(lo, hi)).select(*keys).distinct()
-        return items.join(held, keys, "left_anti")
+        return fresh_items(self.table(fact, at), items, IDENTITY[stream], STREAMS[stream])
 
     def _carrier_key(self, items: DataFrame, at: Manifest) -> DataFrame:
         known = self.table("carrier", at).select("source_system", "carrier_id", F.lit(True).alias("known"))
@@ -239,7 +230,7 @@ class _Next:
 
     def append(self, name: str, part: object, rows: DataFrame) -> None:
         folder = self.store.log.new_folder()
-        rows.write.parquet(f"{self.store.base}/{folder}")
+        rows.write.option("compression", CODEC).parquet(f"{self.store.base}/{folder}")
         self._keep_schema(name, rows.schema)
         self.parts[f"{name}/{part}"] = folder
 
@@ -247,7 +238,7 @@ class _Next:
         """Write buckets anew; the others keep their folders."""
         folder = self.store.log.new_folder()
         path = f"{self.store.base}/{folder}"
-        rows.withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        rows.withColumn("bucket", bucket).hint("rebalance", "bucket").write.option("compression", CODEC).partitionBy("bucket").parquet(path)
         self._keep_schema(name, rows.schema)
         names = [s.getPath().getName() for s in self.store.log.fs.listStatus(self.store.log._path(path))]
         parts = {f"{name}/{n.split('=')[1]}": f"{folder}/{n}" for n in names if n.startswith("bucket=")}

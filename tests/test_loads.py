@@ -146,3 +146,15 @@ def test_three_loads_of_empty_sources(spark, tmp_path, sf_small):
     assert store.log.read().settings["watermarks"] == {"sales": {"WHOLESALE": 0, "RETAIL": 0}, "purchases": {"RETAIL": 0}}
     store.run(L.sources_at(spark, sf_small, 0), L.DAYS[2])                  # and then there is something
     assert store.table("fact_sales").count() == store.table("sales").count() > 0
+
+
+def test_stored_items_are_not_staged_again_for_the_facts_and_tables_are_small(spark, sf_small, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+    staged, stage = [], staging.StagingRun.stage
+    monkeypatch.setattr(staging.StagingRun, "stage", lambda self, df, name: staged.append(name) or stage(self, df, name))
+    store = Warehouse(spark, str(tmp_path))
+    store.run(L.sources_at(spark, sf_small, 0), L.DAYS[0])
+    assert {"headers", "lines", "purchases"} <= set(staged) and not [n for n in staged if n.startswith("fresh")]
+    for part, folder in store.log.read().parts.items():
+        file = next(f for f in os.listdir(f"{tmp_path}/{folder}") if f.endswith(".parquet"))
+        assert pq.ParquetFile(f"{tmp_path}/{folder}/{file}").metadata.row_group(0).column(0).compression == "ZSTD", part
