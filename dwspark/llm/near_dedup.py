@@ -12,7 +12,8 @@ the full shingle sets of the texts.
 
 Texts with the same shingle set are one node. A key with many nodes is first
 worked off in stars: every node is compared with the head of its keys only, and
-linked nodes become one component; heads differ from round to round. What is left are keys
+linked nodes become one component; heads differ from round to round, and more of them are tried by what
+the rounds before have left apart, so a group of n near copies makes about n candidates. What is left are keys
 whose nodes lie in different components. They are compared in blocks: a unit holds two blocks
 of a key, and what leaves it is no list of pairs: the nodes that are within the radius of another
 component's, and edges between components, a forest over those of the unit. The components that such edges
@@ -37,7 +38,7 @@ from .components import components
 from .shingles import VALUE_BITS, overlap, overlaps, shingle_sets, signatures
 
 VALUES, PER_CHUNK, RADIUS = 64, 4, 30
-STAR_ROUNDS, STAR_HEADS = 2, 8
+STAR_HEADS = (1, 2, 4, 8)       # heads that a node is compared with, by round
 KEY_BLOCK, CLUSTER_BLOCK = 1000, 200    # nodes
 CARRIES = 0x4000800080008000
 
@@ -95,6 +96,18 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a binary, b binary")
 
 
+def _star_pairs(at: DataFrame, r: int, most: int) -> DataFrame:
+    """(a, b): the nodes of mixed keys with ``most`` heads of other components at most. These are the first heads of a node in the
+    round's order, the same few for a whole group, so that candidates grow with the nodes and components are shallow."""
+    heads = (at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                   F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(r))).alias("head"))
+             .filter("lo != hi"))
+    order = F.struct(F.xxhash64("head.node", F.lit(r)).alias("order"), F.col("head.node").alias("b"))
+    return (at.join(heads, "key").filter(F.col("component") != F.col("head.component"))
+            .groupBy(F.col("node").alias("a")).agg(F.collect_set(order).alias("heads"))           # one per key at most
+            .select("a", F.explode(F.slice(F.array_sort("heads"), 1, most)).alias("h")).select("a", "h.b"))
+
+
 def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of the nodes that are linked with another; None if there is none.
     ``nodes``: node, n, sig, row; ``rows``: row, text."""
@@ -124,17 +137,8 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
         of = components(links)
         return True
 
-    for r in range(STAR_ROUNDS):
-        at = labelled()
-        heads = (at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                       F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(r))).alias("head"))
-                 .filter("lo != hi"))
-        # the first heads of a node in the round's order: the same few for a whole group, so that
-        # candidates grow with the nodes and components are shallow; what they miss is left to the units
-        order = F.struct(F.xxhash64("head.node", F.lit(r)).alias("order"), F.col("head.node").alias("b"))
-        pairs = (at.join(heads, "key").filter(F.col("component") != F.col("head.component"))
-                 .groupBy(F.col("node").alias("a")).agg(F.collect_set(order).alias("heads"))      # one per key at most
-                 .select("a", F.explode(F.slice(F.array_sort("heads"), 1, STAR_HEADS)).alias("h")).select("a", "h.b"))
+    for r, most in enumerate(STAR_HEADS):                   # what the heads miss is left to the units
+        pairs = _star_pairs(labelled(), r, most)
         near = (pairs.join(side("a"), "a").join(side("b"), "b").filter(within)
                 .groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(r))).alias("b")))
         if not take(_confirm(near, texts, percent)):

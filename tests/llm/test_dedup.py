@@ -217,3 +217,21 @@ def test_held_lines_are_told_from_unknown_ones():
     held = build_mph(a, b, np.array([7]), whole=True)
     assert probe_mph(held, a, b).tolist() == [7] and not probe_mph(held, *unknown).any()
     assert probe_mph(build_mph(a, b, np.array([7])), a, b).tolist() == [7]
+
+
+def test_a_large_group_of_near_copies_makes_about_one_star_candidate_a_node(spark, monkeypatch):
+    import random
+
+    from dwspark.llm import near_dedup as ND
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(10 ** 6)}" for _ in range(200)]
+    rows = []
+    for i in range(400):                                             # one word of each copy differs, and where
+        text = list(base)
+        text[draw.randrange(200)] = f"own{i}"
+        rows.append((i, " ".join(text)))
+    made, pairs_of = [], ND._star_pairs
+    monkeypatch.setattr(ND, "_star_pairs", lambda *a: made.append(pairs_of(*a)) or made[-1])
+    got = ND.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.component_id, r.kept) for r in got} == {(0, True), (0, False)} and len(got) == 400
+    assert sum(p.count() for p in made) <= 2 * 400                  # 8 a node before
