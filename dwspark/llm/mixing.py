@@ -73,15 +73,17 @@ def mix(docs: DataFrame, block: int = BLOCK, per_shard: int = BLOCKS_PER_SHARD,
     from and to (words of the document, to exclusive). A null source is a
     source like any other, last in order. Rows of size 0 are in no span.
     The result depends on nothing but the rows, their order keys and the seed.
+    ``docs`` is read several times and should be stored; only the targets, a
+    row per source, are stored here.
     """
     total = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     # one row per source: its number stands in for its name, nulls included
     targets = stored(source_targets(total, most).withColumn(
         "s", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))).cast("int") - 1), "targets")
     n = docs.count()
-    rows = stored(docs.withColumn("cell", F.pmod(F.xxhash64("order", F.lit(seed)), F.lit(n_cells(n))))
-                  .join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-                  .drop("_source", "weight"), "mix-rows")
+    rows = (docs.withColumn("cell", F.pmod(F.xxhash64("order", F.lit(seed)), F.lit(n_cells(n))))
+            .join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+            .drop("_source", "weight"))
 
     # each document's place in its source, and the blocks that it is part of
     placed = running_sum(rows.filter("size > 0").select("s", "cell", "order", "row", "size"),
@@ -93,8 +95,8 @@ def mix(docs: DataFrame, block: int = BLOCK, per_shard: int = BLOCKS_PER_SHARD,
                            F.least((F.col("block") + 1) * block - F.col("start"), F.col("size")).alias("to"),
                            F.greatest(F.col("start") - F.col("block") * block, F.lit(0)).alias("at"))
 
-    # stored, so that the join knows how large they are
-    draws = stored(drawn_blocks(targets, block, per_shard, seed), "draws")
+    # the plan takes what few sources unfold into for small; the hint keeps it from being broadcast
+    draws = drawn_blocks(targets, block, per_shard, seed).hint("merge")
     keep = F.least(F.col("to"), F.col("from") + F.col("words") - F.col("at"))
     spans = (pieces.join(draws, ["s", "block"])
              .filter(F.col("at") < F.col("words"))

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from dwspark.llm.decontamination import contained_items, decontaminate, item_ske
 from dwspark.llm.mixing import document_rows, mix, mixed_texts, permuted, source_targets, taken_words
 from dwspark.llm.sharding import cut_links, shard_balanced
 from dwspark.llm.token_output import Encoder, from_planes, read_token_files, to_planes, vocabulary_path, write_token_files
+from dwspark.session import shared_dir
 
 from test_dedup import collected, key, shingles
 
@@ -129,6 +131,16 @@ def test_mix_meets_targets_and_bounds(spark, clashing, rows):
     assert len(slots) == len(spans.select("s", "block", "pass").distinct().collect())
 
 
+def test_mix_stores_the_targets_alone(spark, clashing):
+    """Each file that a task writes to a local folder costs a process or more on the executor."""
+    sizes = document_rows(clashing)
+    folder = Path(shared_dir(spark).removeprefix("file:"), "dwspark")
+    before = set(folder.iterdir())
+    out, spans = mix(sizes, block=16, per_shard=50)
+    out.join(taken_words(spans), "row", "left").collect()
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before] == ["targets"]
+
+
 def test_mixed_texts_hold_the_words_taken(spark, docs):
     numbered = _numbered(spark, docs)
     _, spans = mix(numbered.select("row", "order", "size", "source"), block=16)
