@@ -18,7 +18,6 @@ import re
 import string
 import zlib
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -110,10 +109,6 @@ class Encoder:
             bounds = zip(at.tolist(), [*at[1:].tolist(), len(ids)], strict=True)
         self.held.update((w, raw[4 * lo:4 * hi]) for w, (lo, hi) in zip(words, bounds, strict=True))
 
-    def forget(self) -> None:
-        self.held.clear()
-        self.trails.clear()
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if not self.by_line or any(s in t for s in self.special)]
@@ -124,7 +119,8 @@ class Encoder:
         for i, ids in zip([*whole, *odd], self._ids([*(texts[i] for i in whole), *(tails[i][0] for i in odd)]), strict=True):
             out[i] = ids
         if len(self.held) > WORDS_HELD:
-            self.forget()
+            self.held.clear()
+            self.trails.clear()
         self._learn(set().union(*cut.values(), *(tails[i][1:] for i in odd)).difference(self.held))
         ids = self.held.__getitem__
         for i, pieces in cut.items():
@@ -143,15 +139,11 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-@contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
-    """One per Python worker and vocabulary. The words that it holds go at a task's end: the worker lives on and runs other stages."""
+def encoder(path: str) -> Encoder:
+    """One per Python worker and vocabulary."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
-    try:
-        yield _encoders[path]
-    finally:
-        _encoders[path].forget()
+    return _encoders[path]
 
 
 def to_planes(ids: np.ndarray, unit: str = "byte") -> list[bytes]:
@@ -203,20 +195,19 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
     dealt = dealt.sortWithinPartitions(*keys).select(F.spark_partition_id().alias("part"), "doc_id", "text")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, first, doc_ids, ids, n = 0, 0, [], [], 0
+        enc, number, first, doc_ids, ids, n = encoder(vocabulary), 0, 0, [], [], 0
         part = 0
-        with encoder(vocabulary) as enc:
-            for batch in batches:
-                part = int(batch["part"].iloc[0]) if len(batch) else part
-                texts, names = batch["text"].tolist(), batch["doc_id"].astype("Int64").tolist()
-                for i in range(0, len(texts), TEXTS):
-                    for name, x in zip(names[i:i + TEXTS], enc.encode(texts[i:i + TEXTS]), strict=True):
-                        doc_ids.append(None if name is pd.NA else name)
-                        ids.append(np.append(x, np.uint32(end_id)))
-                        n += len(x) + 1
-                        if n >= record:
-                            yield pd.DataFrame([_record(part, number, first, doc_ids, ids, unit, block)])
-                            number, first, doc_ids, ids, n = number + 1, first + n, [], [], 0
+        for batch in batches:
+            part = int(batch["part"].iloc[0]) if len(batch) else part
+            texts, names = batch["text"].tolist(), batch["doc_id"].astype("Int64").tolist()
+            for i in range(0, len(texts), TEXTS):
+                for name, x in zip(names[i:i + TEXTS], enc.encode(texts[i:i + TEXTS]), strict=True):
+                    doc_ids.append(None if name is pd.NA else name)
+                    ids.append(np.append(x, np.uint32(end_id)))
+                    n += len(x) + 1
+                    if n >= record:
+                        yield pd.DataFrame([_record(part, number, first, doc_ids, ids, unit, block)])
+                        number, first, doc_ids, ids, n = number + 1, first + n, [], [], 0
         if ids:
             yield pd.DataFrame([_record(part, number, first, doc_ids, ids, unit, block)])
 
