@@ -109,6 +109,10 @@ class Encoder:
             bounds = zip(at.tolist(), [*at[1:].tolist(), len(ids)], strict=True)
         self.held.update((w, raw[4 * lo:4 * hi]) for w, (lo, hi) in zip(words, bounds, strict=True))
 
+    def forget(self) -> None:
+        self.held.clear()
+        self.trails.clear()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if not self.by_line or any(s in t for s in self.special)]
@@ -119,8 +123,7 @@ class Encoder:
         for i, ids in zip([*whole, *odd], self._ids([*(texts[i] for i in whole), *(tails[i][0] for i in odd)]), strict=True):
             out[i] = ids
         if len(self.held) > WORDS_HELD:
-            self.held.clear()
-            self.trails.clear()
+            self.forget()
         self._learn(set().union(*cut.values(), *(tails[i][1:] for i in odd)).difference(self.held))
         ids = self.held.__getitem__
         for i, pieces in cut.items():
@@ -146,6 +149,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget_words() -> None:
+    """A Python worker lives on after its tasks and runs other stages; its encoders let go of the words that they hold."""
+    for enc in _encoders.values():
+        enc.forget()
+
+
 def to_planes(ids: np.ndarray, unit: str = "byte") -> list[bytes]:
     """The planes of a block of uint32 ids, lowest first, each compressed."""
     squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -230,6 +239,7 @@ def read_token_files(spark, path: str, with_ids: bool = False) -> DataFrame:
     schema = "part int, doc_id long, at long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_words()                 # the files are written
         for batch in batches:
             for r in batch.itertuples():
                 ends = np.cumsum(r.planes)

@@ -9,6 +9,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,6 +206,32 @@ def test_pieces_encode_like_whole_texts(rows):
     assert plain.encode("<|endoftext|>", add_special_tokens=False).ids == enc.encode(["<|endoftext|>"])[0].tolist() == [50256]
 
 
+def test_workers_hold_no_words_after_files_are_read(spark, docs):
+    """A Python worker outlives its task and goes on to other stages."""
+    def held(batches):
+        from dwspark.llm import token_output
+        for _ in batches:
+            pass
+        yield pd.DataFrame({"n": [len(token_output._encoders)], "words": [sum(len(e.held) + len(e.trails) for e in token_output._encoders.values())]})
+
+    def found():
+        return spark.range(0, 64, 1, 64).mapInPandas(held, "n long, words long").collect()
+
+    path = write_token_files(docs, vocabulary_path(), parts=64)
+    assert any(r.words for r in found())
+    conf = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1k"}       # a task for each file at least
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        read = read_token_files(spark, path).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(read) == docs.count()
+    assert any(r.n for r in found()) and not any(r.words for r in found())
+
+
 @pytest.mark.parametrize("unit", ["byte", "bit"])
 def test_token_files_round_trip(spark, clashing, rows, unit):
     enc = plain_tokenizer()
