@@ -13,14 +13,18 @@ file system that Spark writes to; a lost task leaves no half-written record.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import string
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +34,8 @@ from .common import ship
 
 BLOCK = 65_536             # ids in a block
 RECORD = 524_288           # ids after which a record ends with the document at hand
-WORDS_HELD = 1_500_000      # bound on the word cache of a Python worker
-TEXTS = 500                # encoded at a time
+WORDS_HELD = 1_000_000      # bound on the word cache of a Python worker
+TEXTS, CHARACTERS = 5000, 8_000_000    # encoded at a time, at most, but for a longer text
 RECORD_SCHEMA = ("part int, record int, first long, ids long, doc_ids array<long>, lengths array<long>, "
                  "block int, unit string, planes array<int>, payload binary")
 
@@ -44,8 +48,8 @@ class Encoder:
     """Ids of texts. The byte-level pre-tokenizer starts a new word at each space that stands between two characters that are
     not white space, and makes a line feed that does so an id of its own; so a text may be cut there, and its pieces
     encode to the same ids as the whole text. A piece that follows a space is held by its text, one that
-    follows a line feed by a line feed and its text. Most pieces occur again and again; each is encoded
-    once and its ids are kept as bytes, up to WORDS_HELD pieces. Special tokens in a text count as the
+    follows a line feed by a line feed and its text. Most pieces occur again and again; Arrow numbers the different
+    ones of many texts, each is encoded once and its ids are kept as bytes, up to WORDS_HELD pieces. Special tokens in a text count as the
     tokenizer has them; a text that holds one is encoded whole."""
 
     def __init__(self, path: str):
@@ -55,6 +59,12 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.held: dict[str, bytes] = {}
         self.trails: dict[str, bytes] = {}        # ids of a run of punctuation
+        # the byte-level pre-tokenizer leaves ASCII letters whole and as they are, a space before them as one letter more
+        laws, model = json.loads(self.tokenizer.to_str()), self.tokenizer.model
+        kind = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.by_letters = (laws["normalizer"] is None and laws["model"]["type"] == "BPE" and laws["pre_tokenizer"] is not None
+                           and kind.items() <= laws["pre_tokenizer"].items())
+        self.of_letters = lambda word: array("I", [t.id for t in model.tokenize(word)]).tobytes()
         line = self._ids(["\n"])[0]
         self.line = int(line[0])
         # the vocabulary is one in which line feeds can be told apart
@@ -64,19 +74,35 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The pieces of a text whose words are parted by single spaces and line feeds, the first as after a line feed."""
+    def _marked(self, text: str) -> str | None:
+        """A text whose words are parted by single spaces and line feeds, with spaces between its pieces, the first as after a line feed."""
         if not text or any(c in text for c in (OTHER_ASCII if text.isascii() else OTHER)):
             return None
         marked = text.replace("\n", " \n")
         if "  " in marked or "\n " in marked or marked[0] == " " or marked[-1] in " \n":
             return None
-        pieces = marked.split(" ")
-        pieces[0] = "\n" + pieces[0]
-        return pieces
+        return "\n" + marked
+
+    def _of_marked(self, texts: list[str]) -> Iterator[np.ndarray]:
+        pieces = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        numbered = pieces.flatten().dictionary_encode()
+        different = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        held = list(map(self.held.get, different))
+        new = [i for i, x in enumerate(held) if x is None]
+        self._learn([different[i] for i in new])
+        for i in new:
+            held[i] = self.held[different[i]]
+        ids, n = np.frombuffer(b"".join(held), np.uint32), np.fromiter(map(len, held), np.int64, len(held)) // 4
+        at, number = np.cumsum(n) - n, numbered.indices.to_numpy()
+        ends = np.cumsum(n[number])
+        kind = np.int32 if max(ends[-1], len(ids)) < 2**31 else np.int64
+        flat = ids[np.repeat((at[number] - ends + n[number]).astype(kind), n[number]) + np.arange(ends[-1], dtype=kind)]
+        last = ends[pieces.offsets.to_numpy()[1:] - 1].tolist()
+        return (flat[lo + 1:hi] for lo, hi in zip([0, *last], last, strict=False))     # without the line feed before the first piece
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        """Words are learned without the punctuation behind them, many at a time: with line feeds between them they don't touch."""
+        """Words are learned without the punctuation behind them, those of ASCII letters by the tokenizer's model itself,
+        others many at a time: with line feeds between them they don't touch."""
         new, trailing = set(), {}
         for p in pieces:
             if not p.isalpha():
@@ -86,8 +112,12 @@ class Encoder:
                     p = word
             if p not in self.held:
                 new.add(p)
+        letters = [w for w in new if self.by_letters and w.isascii() and (w.isalpha() or w[:1] == "\n" and w[1:].isalpha())]
+        line = np.uint32(self.line).tobytes()
+        self.held.update((w, line + self.of_letters(w[1:]) if w[0] == "\n" else self.of_letters("Ġ" + w)) for w in letters)
+        new.difference_update(letters)
         after_line = [w for w in new if w[0] == "\n" and w.split() == [w[1:]]]
-        after_space = [w for w in new if w.split() == [w]]
+        after_space = [w for w in new if w.isalpha() or w.split() == [w]]
         for some, first, between in ((after_space, " ", "\n "), (after_line, "", "")):
             for i in range(0, len(some), 10_000):
                 self._learn_many(some[i:i + 10_000], first, between)
@@ -117,22 +147,34 @@ class Encoder:
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if not self.by_line or any(s in t for s in self.special)]
         left = set(range(len(texts))).difference(whole)
-        cut = {i: p for i in left if (p := self._cut(texts[i])) is not None}
-        odd = sorted(left.difference(cut))                       # other white space: cut where a single space is
+        marked = {i: m for i in left if (m := self._marked(texts[i])) is not None}
+        odd = sorted(left.difference(marked))                       # other white space: cut where a single space is
         tails = {i: CUT.split(texts[i]) for i in odd}
         for i, ids in zip([*whole, *odd], self._ids([*(texts[i] for i in whole), *(tails[i][0] for i in odd)]), strict=True):
             out[i] = ids
         if len(self.held) > WORDS_HELD:
             self.forget()
-        self._learn(set().union(*cut.values(), *(tails[i][1:] for i in odd)).difference(self.held))
-        ids = self.held.__getitem__
-        for i, pieces in cut.items():
-            out[i] = np.frombuffer(b"".join(map(ids, pieces)), np.uint32)[1:]        # without the line feed before the first piece
+        if marked:
+            for i, ids in zip(marked, self._of_marked(list(marked.values())), strict=True):
+                out[i] = ids
+        self._learn(set().union(*(tails[i][1:] for i in odd)).difference(self.held))
         for i in odd:
-            out[i] = np.concatenate((out[i], np.frombuffer(b"".join(map(ids, tails[i][1:])), np.uint32)))
+            out[i] = np.concatenate((out[i], np.frombuffer(b"".join(map(self.held.__getitem__, tails[i][1:])), np.uint32)))
         return out
 
 
+def _at_once(texts: list[str]) -> Iterator[slice]:
+    """Slices of at most TEXTS texts and CHARACTERS characters, or one longer text."""
+    lo, n = 0, 0
+    for i, text in enumerate(texts):
+        if i > lo and (i - lo == TEXTS or n + len(text) > CHARACTERS):
+            yield slice(lo, i)
+            lo, n = i, 0
+        n += len(text)
+    if texts:
+        yield slice(lo, len(texts))
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -209,8 +251,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
         for batch in batches:
             part = int(batch["part"].iloc[0]) if len(batch) else part
             texts, names = batch["text"].tolist(), batch["doc_id"].astype("Int64").tolist()
-            for i in range(0, len(texts), TEXTS):
-                for name, x in zip(names[i:i + TEXTS], enc.encode(texts[i:i + TEXTS]), strict=True):
+            for some in _at_once(texts):
+                for name, x in zip(names[some], enc.encode(texts[some]), strict=True):
                     doc_ids.append(None if name is pd.NA else name)
                     ids.append(np.append(x, np.uint32(end_id)))
                     n += len(x) + 1

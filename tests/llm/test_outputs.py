@@ -13,6 +13,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from dwspark.llm import token_output
 from dwspark.llm.chat_format import CONTROL, conversation_digests, escape, format_windows, read_windows, unescape
 from dwspark.llm.decontamination import contained_items, decontaminate, item_sketches, with_shingles
 from dwspark.llm.mixing import document_rows, mix, mixed_texts, permuted, source_targets, taken_words
@@ -206,6 +207,29 @@ def test_pieces_encode_like_whole_texts(rows):
     assert plain.encode("<|endoftext|>", add_special_tokens=False).ids == enc.encode(["<|endoftext|>"])[0].tolist() == [50256]
 
 
+def test_words_of_letters_are_learned_by_the_model(monkeypatch):
+    """Words of ASCII letters, also with punctuation behind them, don't go through the pre-tokenizer; each is learned once."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgXYZ") for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    texts = [f"{w} {v},\n{w}. {v}" for w, v in zip(words, words[1:], strict=False)]
+    enc, plain = Encoder(vocabulary_path()), plain_tokenizer()
+    seen, ids = [], enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda some: seen.extend(some) or ids(some))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in enc.encode(texts)] == want
+    assert [t for t in seen if any(c.isalpha() for c in t)] == []
+    monkeypatch.setattr(enc, "_learn", lambda new: not new or pytest.fail("learned again"))
+    assert [x.tolist() for x in enc.encode(texts)] == want
+
+
+def test_texts_are_encoded_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(token_output, "TEXTS", 3)
+    monkeypatch.setattr(token_output, "CHARACTERS", 10)
+    texts = ["a", "b", "c", "d", "e" * 10, "f" * 30, "", "g" * 6, "h" * 5]
+    assert [texts[s] for s in token_output._at_once(texts)] == [["a", "b", "c"], ["d"], ["e" * 10], ["f" * 30], ["", "g" * 6], ["h" * 5]]
+    assert list(token_output._at_once([])) == []
+
+
 def test_workers_hold_no_words_after_files_are_read(spark, docs):
     """A Python worker outlives its task and goes on to other stages."""
     def held(batches):
