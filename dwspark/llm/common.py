@@ -24,13 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks that ran on it, not
     the whole history, and values such as row numbers are fixed for good.
+    ``files``: that many at most, for tables of few and short rows, of which
+    each shuffle partition would make a file of its own.
     """
     path = scratch_path(df.sparkSession, name)
+    if files:
+        df = df.coalesce(files)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -95,3 +99,8 @@ def n_cells(rows: int, groups: int = 1, per_cell: int = 20_000, most: int = 65_5
     """Cells per group so that a cell holds about ``per_cell`` rows even if one
     group holds all; 256 at least, so that a large group is spread at any size."""
     return max(256, min(most, rows // per_cell))
+
+
+def n_files(rows: int, per_file: int) -> int:
+    """Files for a table of ``rows`` short rows at most; so many at least that all cores of a small cluster write."""
+    return max(24, -(-rows // per_file))

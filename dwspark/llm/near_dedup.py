@@ -33,13 +33,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_identity, ship, stored
+from .common import n_files, row_identity, ship, stored
 from .components import components
 from .shingles import VALUE_BITS, overlap, overlaps, shingle_sets, signatures
 
 VALUES, PER_CHUNK, RADIUS = 64, 4, 30
 STAR_HEADS = (1, 2, 4, 8)       # heads that a node is compared with, by round
 KEY_BLOCK, CLUSTER_BLOCK = 1000, 200    # nodes
+LABELS = 20_000                 # rows a file, of tables of labels
 CARRIES = 0x4000800080008000
 
 
@@ -122,6 +123,7 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
               & (differing_values(F.col("sig_a"), F.col("sig_b")) <= RADIUS))
 
     links, of = None, None
+    files = n_files(nodes.count(), LABELS)
 
     def labelled() -> DataFrame:
         if of is None:
@@ -134,7 +136,7 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
         if not new.limit(1).count():
             return False
         links = new if links is None else links.unionByName(new)
-        of = components(links)
+        of = components(links, files)
         return True
 
     for r, most in enumerate(STAR_HEADS):                   # what the heads miss is left to the units
@@ -150,10 +152,10 @@ def linked_nodes(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame |
     left = at.join(mixed, "key").join(sizes, "node")
     near = stored(_in_units(left, "key", KEY_BLOCK).mapInPandas(
         lambda batches: _forests(batches, lambda g: _within_radius(g, percent)), FOREST), "radius-forests")
-    edges = stored(near.filter("node IS NULL").select("a", "b").distinct(), "component-edges")
+    edges = stored(near.filter("node IS NULL").select("a", "b").distinct(), "component-edges", files)
     if not edges.limit(1).count():
         return of
-    clusters = components(edges).withColumnsRenamed({"component": "cluster", "node": "component"})
+    clusters = components(edges, files).withColumnsRenamed({"component": "cluster", "node": "component"})
     told = near.filter("node IS NOT NULL").select("node").distinct()
     told = (told.withColumn("component", F.col("node")) if of is None else
             told.join(of, "node", "left").withColumn("component", F.coalesce("component", "node")))

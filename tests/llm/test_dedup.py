@@ -235,3 +235,24 @@ def test_a_large_group_of_near_copies_makes_about_one_star_candidate_a_node(spar
     got = ND.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.component_id, r.kept) for r in got} == {(0, True), (0, False)} and len(got) == 400
     assert sum(p.count() for p in made) <= 2 * 400                  # 8 a node before
+
+
+def test_labels_of_components_lie_in_few_files(spark, tmp_path, monkeypatch):
+    """A shuffle partition without more than a few labels makes no file of its own; the components are the same."""
+    from dwspark.llm import common
+    from dwspark.llm.components import components
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    monkeypatch.setattr(common, "scratch_path", lambda _, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    links = [(i, i + 1) for i in range(0, 300) if i % 10 != 9]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = sorted(map(tuple, components(spark.createDataFrame(links, "a long, b long"), 3).collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == [(i, i // 10 * 10) for i in range(300)]
+    tables = list(tmp_path.iterdir())
+    assert len(tables) > 2 and all(len(list(t.glob("part-*"))) <= 3 for t in tables)
+    assert [common.n_files(n, 10) for n in (0, 240, 241, 5000)] == [24, 24, 25, 500]
